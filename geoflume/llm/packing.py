@@ -7,6 +7,7 @@ first bin with room is found in logarithmic time.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from geoflume.llm.common import texts
 
 #: Encoded chunks that one Python worker keeps.
-CACHE = 300_000
+CACHE = 600_000
 _state: dict = {}
 
 
@@ -60,39 +61,69 @@ def first_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np
     return bins, offsets
 
 
-def _encoder(path: str):
-    """text bytes -> token ids as little-endian uint32 bytes. The vocabulary's pre-tokeniser drops white
-    space, so no token crosses it, and each chunk between ASCII white space is encoded once."""
-    if path not in _state:
-        import os
+def _byte_letters() -> dict[int, int]:
+    """Byte -> the letter that byte-level vocabularies write for it: itself if printable, else the next above 255."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    other = (256 + k for k in range(256))
+    return {b: b if b in shown else next(other) for b in range(256)}
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
 
-        _state[path] = (Tokenizer.from_file(path), {})
-    tok, known = _state[path]
+class Chunks(dict):
+    """Chunk between ASCII white space -> its token ids as little-endian uint32 bytes.
+
+    The vocabulary's pre-tokeniser drops white space and cuts between letters
+    and marks, so a word and the marks after it are encoded apart. A plain Latin
+    word in lower case is what the normaliser makes of it and goes straight to
+    the merges; anything else goes through the whole tokenizer.
+    """
 
-    def encode(text: bytes) -> bytes:
-        chunks = text.split()
-        try:
-            return b"".join([known[c] for c in chunks])
-        except KeyError:
-            pass
-        if len(known) > CACHE:
-            known.clear()
-        new = list({c for c in chunks if c not in known})
-        for c, e in zip(new, tok.encode_batch_fast([c.decode("utf-8", "replace") for c in new], add_special_tokens=False)):
-            known[c] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[c] for c in chunks])
+    def __init__(self, path: str):
+        from tokenizers import Tokenizer
 
-    return encode
+        self.tok = Tokenizer.from_file(path)
+        self.letters = _byte_letters()
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
+
+    def whole(self, s: str) -> bytes:
+        return np.array(self.tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        s = chunk.decode("utf-8", "replace")
+        word = s.rstrip(".,;:!?")
+        if word.isalpha() and (word.isascii() or max(word) < "\u0180" and unicodedata.is_normalized("NFC", word)) and len(low := word.lower()) == len(word):
+            ids = self.words.get(low)
+            if ids is None:
+                made = self.tok.model.tokenize(low.encode().decode("latin-1").translate(self.letters))
+                ids = self.words[low] = np.array([t.id for t in made], "<u4").tobytes()
+            if len(word) < len(s):
+                marks = s[len(word) :]
+                ids += self.marks.get(marks) or self.marks.setdefault(marks, self.whole(marks))
+        else:
+            ids = self.whole(s)
+        if len(self) + len(self.words) > CACHE:
+            self.clear()
+            self.words.clear()
+            self.marks.clear()
+        self[chunk] = ids
+        return ids
+
+    def encode(self, text: bytes) -> bytes:
+        return b"".join([self[c] for c in text.split()])
+
+
+def _encoder(path: str) -> Chunks:
+    """One cache for each Python worker, which Spark keeps between tasks."""
+    if path not in _state:
+        _state[path] = Chunks(path)
+    return _state[path]
 
 
 def _piece_rows(path: str, size: int, end_id: int):
     end = np.array([end_id], "<u4").tobytes()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(path)
+        encode = _encoder(path).encode
         for b in batches:
             out: list[tuple] = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):

@@ -193,6 +193,18 @@ def test_packing_round_trip(spark):
     assert len(bins) <= total / 4096 * 1.01 + 1
 
 
+def test_chunks_equal_the_tokenizer():
+    import public_tokenizers as P
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    tok, chunks, rng = Tokenizer.from_file(path), packing.Chunks(path), random.Random(4)
+    parts = ["The", "thea,", "naïve", "e\u0301te", "ÉTÉ", "İx", "ß", "ΣΑΣ", "don't", "'s", "12", "a1", "...", "<|endoftext|>", "日本", "\u00a0", "\x1c", "ﬁ", "ŉ", "x\u0308", "Ĳ", "!", "|", "\u0085y", "ſ", "K"]
+    for _ in range(3000):
+        t = "".join(rng.choice(parts) + rng.choice(["", " ", "\n", "", "."]) for _ in range(rng.randrange(1, 9)))
+        assert chunks.encode(t.encode()) == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes(), t
+
+
 def test_first_fit_decreasing_equals_the_plain_loop():
     rng = np.random.default_rng(2)
     lengths = rng.integers(1, 100, 300)
