@@ -18,4 +18,20 @@ QUERIES = {
     for f in (op1_decontaminate, op2_ngram_join, op3_brown_lm, op4_packing, op5_crf_quality, op6_suffix_dedup, op7_embedding_graph, op8_warc, op9_pii, op10_html_extract)
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op2_ngram_join": r"""with recursive w as (
+        select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+    s as (select distinct doc_id, case when len(w) < 3 then array_to_string(w, ' ') else w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] end as x
+        from (select doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) as i from w where len(w) > 0)),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.x = b.x and a.doc_id <> b.doc_id group by 1, 2),
+    l as (select a, b from p join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 90 * (na.n + nb.n - c)),
+    r(doc_id, o) as (select doc_id, doc_id from documents union select r.doc_id, l.b from r join l on l.a = r.o),
+    e as (select a.doc_id, min(b.doc_id) as class_id from p join n na on na.doc_id = a join n nb on nb.doc_id = b and nb.n = na.n and c = na.n, lateral (select p.a as doc_id) a, lateral (select p.b as doc_id) b group by 1)
+    select d.doc_id, coalesce(n.n, 0) as n_shingles, min(r.o) as component_id, least(d.doc_id, coalesce(any_value(e.class_id), d.doc_id)) as class_id
+    from documents d join r on r.doc_id = d.doc_id left join n on n.doc_id = d.doc_id left join e on e.doc_id = d.doc_id group by d.doc_id, n.n""",
+    "op8_warc": """with p as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+    m as (select payload_bytes, payload_digest, max(page_id) as last from p where payload_bytes >= 1000 group by 1, 2)
+    select page_id, payload_bytes, payload_digest, case when last <> page_id then 'revisit' else 'response' end as record_type, case when last <> page_id then last end as refers_to, true as intact
+    from p left join m using (payload_bytes, payload_digest)""",
+}
