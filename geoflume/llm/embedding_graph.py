@@ -23,7 +23,9 @@ from pyspark.sql import functions as F
 from geoflume.llm.common import connected_components, stage
 
 #: Members of a shard that isn't split further; shards split in one round, parts of each, and members sampled for their centres.
-SHARD, SPLITS, WAYS, SAMPLE = 2000, 256, 8, 128
+SHARD, SPLITS, WAYS, SAMPLE = 2000, 1024, 8, 64
+#: Splits that lie above a shard at most; only vectors that no centres tell apart come so far.
+DEPTH = 40
 #: Edges of a node in one shard, candidates for them, slack of the pruning, and width of the search beam.
 DEGREE, CANDIDATES, ALPHA, BEAM = 24, 64, 1.2, 32
 #: Vectors this far below the threshold are still expanded, as they may lead to others in range.
@@ -60,7 +62,7 @@ def _split_rows(held):
                 if c is None:
                     out.append((cls, v, shard, home))
                     continue
-                near = np.argsort(((c - np.array(v)) ** 2).sum(1), kind="stable")[:2]
+                near = np.argsort(((c - np.array(v)) ** 2).sum(1), kind="stable")[: 2 if home else 1]
                 out += ((cls, v, f"{shard}.{i}", home and k == 0) for k, i in enumerate(near))
             kinds = (pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, kinds)], ["cls", "v", "shard", "home"])
@@ -69,11 +71,11 @@ def _split_rows(held):
 
 
 def shards(vectors: DataFrame) -> DataFrame:
-    """(cls, v, shard, home) from (cls, label, v): every vector in up to two parts of each split, one of them its home."""
+    """(cls, v, shard, home) from (cls, label, v): at each split a vector's home row goes on in its nearest part and is copied to the next one."""
     spark = vectors.sparkSession
     now = stage(vectors.select("cls", "v", F.col("label").cast("string").alias("shard"), F.lit(True).alias("home")), "graph-shards")
-    for _ in range(40):
-        big = [r.shard for r in now.groupBy("shard").count().where(F.col("count") > SHARD).orderBy(F.desc("count"), "shard").limit(SPLITS).collect()]
+    while True:
+        big = [r.shard for r in now.groupBy("shard").count().where((F.col("count") > SHARD) & (F.size(F.split("shard", r"\.")) < DEPTH)).orderBy(F.desc("count"), "shard").limit(SPLITS).collect()]
         if not big:
             break
         ranked = now.where(F.col("shard").isin(big)).groupBy("shard", F.pmod(F.xxhash64("cls"), F.lit(SAMPLE)).alias("k")).agg(F.min_by("v", F.xxhash64("cls", F.lit(3))).alias("v"))
