@@ -462,3 +462,68 @@ def _(s, d):
     return metrics.build_snapshots(merged, metrics.registry(s), NOW).select("metric_id", "subject_id", "window_start", "metric_value", "metric_delta")
 
 
+
+
+# single steps of the metric chain, and streams
+
+
+@query("ref_39_finalize", _chain("select metric_id, subject_grain, subject_id, window_grain, window_start, rollup_rule, metric_value from final"), "records")
+def _(s, d):
+    return metrics.finalize(metrics.build_state(_contributions(s, d)), metrics.registry(s)).select("metric_id", "subject_grain", "subject_id", "window_grain", "window_start", "rollup_rule", "metric_value")
+
+
+@query("ref_45_sorted_sets", "select user_id, list_sort(list(distinct event_type)) as kinds from events group by 1")
+def _(s, d):
+    return read_table(s, d, "events").groupBy("user_id").agg(F.array_sort(F.collect_set("event_type")).alias("kinds"))
+
+
+def _monthly(s, d):
+    o = read_table(s, d, "orders").groupBy("o_custkey", F.date_trunc("month", "o_orderdate").alias("window_start")).agg(F.count("*").cast("double").alias("metric_value"))
+    return o.select(F.lit("orders").alias("metric_id"), F.lit("customer").alias("subject_grain"), F.lpad(F.col("o_custkey").cast("string"), 9, "0").alias("subject_id"), F.lit("month").alias("window_grain"), "window_start", "metric_value")
+
+
+_MONTHLY = "mo as (select lpad(cast(o_custkey as varchar), 9, '0') as subject_id, date_trunc('month', o_orderdate) as window_start, count(*)::double as metric_value from orders group by 1, 2)"
+
+
+@query("ref_47_delta", f"select * from (with {_MONTHLY} select subject_id, window_start, metric_value - coalesce(lag(metric_value) over (partition by subject_id order by window_start), 0) as metric_delta from mo)")
+def _(s, d):
+    return metrics.with_delta(_monthly(s, d)).select("subject_id", "window_start", "metric_delta")
+
+
+@query("ref_48_rank", f"select * from (with {_MONTHLY} select subject_id, window_start, row_number() over (partition by window_start order by metric_value desc, subject_id) as rank from mo)")
+def _(s, d):
+    return metrics.with_rank(_monthly(s, d)).select("subject_id", "window_start", "rank")
+
+
+@query("ref_49_latest_surface", "select subject_id, metric_value from (select o_custkey as subject_id, o_totalprice as metric_value, row_number() over (partition by o_custkey order by o_orderdate desc, 'snap:' || o_orderkey desc) as rn from orders) where rn = 1")
+def _(s, d):
+    c = lambda v: F.lit(v)
+    o = read_table(s, d, "orders").select(c("m").alias("metric_id"), c("customer").alias("subject_grain"), F.col("o_custkey").alias("subject_id"), c("").alias("place_id"), c("day").alias("window_grain"), c(0).alias("window_start"), F.col("o_orderdate").alias("snapshot_at"), F.concat(c("snap:"), "o_orderkey").alias("snapshot_id"), F.col("o_totalprice").alias("metric_value"))
+    return metrics.latest_surface(o).select("subject_id", "metric_value")
+
+
+@query("ref_153_explain_json", "select p_partkey, 'sum' as rollup_rule, 'm' || p_size as summary, 'm' || p_size as ref from part")
+def _(s, d):
+    p = read_table(s, d, "part").select("p_partkey", F.concat(F.lit("m"), "p_size").alias("metric_id"), F.lit("sum").alias("rollup_rule"))
+    return metrics.explain_json(p).select("p_partkey", F.get_json_object("attrs", "$.rollup_rule").alias("rollup_rule"), F.get_json_object("attrs", "$.explainability.summary").alias("summary"), F.get_json_object("evidence", "$[0].ref").alias("ref"))
+
+
+@query("ref_71_stream_latest", "select user_id, event_id, event_type from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) as rn from events) where rn = 1")
+def _(s, d):
+    """A stream over the table's files, run until they are read."""
+    from geoflume.streaming import jobs
+
+    w = jobs.work_dir(s)
+    rows = views.events_stream(s, d).select("user_id", "ts", "event_id", "event_type")
+    jobs.stream_latest(rows, f"{w}/latest", ["user_id"], "ts", f"{w}/chk").awaitTermination()
+    return jobs.current(s, f"{w}/latest")[0].select("user_id", "event_id", "event_type")
+
+
+@query("ref_73_stream_metric_state", _chain(f"select metric_id, subject_grain, subject_id, window_grain, window_start, n, {r4('value_sum')} as value_sum from state where metric_id not in ('entity_count_approx', 'source_count_approx')"), "records")
+def _(s, d):
+    from geoflume.streaming import jobs
+
+    w = jobs.work_dir(s)
+    jobs.stream_metric_state(views.records(s, d, views.events_stream(s, d)), f"{w}/state", f"{w}/chk").awaitTermination()
+    st = jobs.current(s, f"{w}/state")[0]
+    return st.select("metric_id", "subject_grain", "subject_id", "window_grain", "window_start", "n", (F.round(F.col("value_sum") * 10000, 0) / 10000).alias("value_sum"))

@@ -12,17 +12,24 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("timestamp") for c, t in df.dtypes if t == "timestamp_ntz"})
 
 
-def _events(spark: SparkSession, d: str) -> DataFrame:
-    e = read_table(spark, d, "events")
+def events_stream(spark: SparkSession, d: str) -> DataFrame:
+    """The events table as a stream of its files."""
+    path = f"{d}/events.parquet"
+    e = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFilesPerTrigger", 100).parquet(f"{d}/event[s].parquet")  # a pattern may name one file
+    return e.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+def _events(spark: SparkSession, d: str, e: DataFrame | None = None) -> DataFrame:
+    e = read_table(spark, d, "events") if e is None else e
     return e.select(
         "event_id", F.timestamp_millis(F.unix_millis("ts")).alias("ts"), "user_id", "event_type", "value",
         F.get_json_object("props", "$.k").cast("int").alias("k"),
     )
 
 
-def records(spark: SparkSession, d: str) -> DataFrame:
-    """Metric input records from events; nations are both the place and its admin level 0."""
-    e, n = _events(spark, d), read_table(spark, d, "nation")
+def records(spark: SparkSession, d: str, events: DataFrame | None = None) -> DataFrame:
+    """Metric input records from events (a stream, if given); nations are both the place and its admin level 0."""
+    e, n = _events(spark, d, events), read_table(spark, d, "nation")
     place = F.concat(F.lit("plc:"), F.col("user_id") % 25)
     region = n.select(F.col("n_nationkey").cast("long").alias("nk"), F.concat(F.lit("plc:continent:"), "n_regionkey").alias("continent_place_id"))
     j = e.join(F.broadcast(region), F.col("user_id") % 25 == F.col("nk"), "left")

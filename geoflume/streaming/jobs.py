@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -10,6 +13,15 @@ from geoflume.operators import metrics
 from geoflume.operators.versions import latest_version, upsert
 from geoflume.sources.ingest import ais_messages
 
+def work_dir(spark: SparkSession) -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share; without it a local one of this session."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="geoflume-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
+
+
 #: How late a row may be.
 DELAY = "1 day"
 
