@@ -57,7 +57,7 @@ def base_spans(t: str) -> list[tuple[int, int, int]]:
     """(kind's number, start, end) in code points, by kind, then start."""
     out = [(0, s, e) for s, e in _emails(t)]
     if _DIGIT.search(t):
-        out += [(1, *m.span()) for m in _IP.finditer(t) if all(len(p) < 4 or int(p) <= 255 for p in m[0].split(".")) and all(int(p) <= 255 for p in m[0].split("."))]
+        out += [(1, *m.span()) for m in _IP.finditer(t) if all(len(p := x.lstrip("0")) <= 3 and int(p or 0) <= 255 for x in m[0].split("."))]
         for m in _CARD.finditer(t):
             if m.end() - m.start() >= 13 and 13 <= len(d := m[0].replace(" ", "").replace("-", "")) <= 19 and luhn(d):
                 out.append((2, *m.span()))

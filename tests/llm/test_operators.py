@@ -425,6 +425,10 @@ def test_pii_patterns_on_odd_texts():
         assert [f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in pii.base_spans(t)] == brute_pii(t), t
 
 
+def test_pii_very_long_numbers():
+    assert pii.base_spans("9" * 6000 + ".1.1.1") == [] and pii.base_spans("0" * 6000 + "1.1.1.255") == [(1, 0, 6009)]
+
+
 def test_pii_revealing_terms(spark):
     docs = [(i, f"about nothing {i} of note") for i in range(40)] + [(100 + i, f"call zanzibar at joe@x.org today {i}") for i in range(3)] + [(200, "today at call")]
     df = spark.createDataFrame([(i, t, "e", 1) for i, t in docs], "doc_id long, text string, e string, n_chars long")
