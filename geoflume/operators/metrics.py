@@ -172,7 +172,7 @@ def with_delta(df: DataFrame) -> DataFrame:
 
 def with_rank(df: DataFrame) -> DataFrame:
     w = Window.partitionBy("metric_id", "subject_grain", "window_grain", "window_start").orderBy(F.desc("metric_value"), "subject_id")
-    return df.withColumn("rank", F.row_number().over(w))
+    return df.withColumn("rank", F.row_number().over(w).cast("long"))
 
 
 def explain_json(df: DataFrame) -> DataFrame:
@@ -204,7 +204,7 @@ def hotspots(surface: DataFrame, reg: DataFrame) -> DataFrame:
     """Scores of 60 for value, 25 for rise and 15 for rank within metric, grain and window."""
     s = with_family(surface, reg).where("metric_value > 0 or metric_delta > 0").withColumn("rise", F.greatest("metric_delta", F.lit(0.0)))
     w = Window.partitionBy("metric_id", "subject_grain", "window_grain", "window_start")
-    s = s.withColumn("rank", F.row_number().over(w.orderBy(F.desc("metric_value"), "subject_id")))
+    s = s.withColumn("rank", F.row_number().over(w.orderBy(F.desc("metric_value"), "subject_id")).cast("long"))
     s = s.withColumn("most", F.max("metric_value").over(w)).withColumn("rise_most", F.max("rise").over(w)).withColumn("population_size", F.count("*").over(w))
     rank_part = F.when(F.col("population_size") <= 1, 15.0).otherwise((1 - (F.col("rank") - 1) / (F.col("population_size") - 1)) * 15)
     score = _share(F.col("metric_value"), F.col("most")) * 60 + _share(F.col("rise"), F.col("rise_most")) * 25 + rank_part

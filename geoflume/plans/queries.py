@@ -516,7 +516,7 @@ def _(s, d):
     return tracks.gap_events(views.points(s, d)).select("track_id", "point_id", "started_at", "ended_at", "gap_hours", "in_flight")
 
 
-_SEG = _T.replace("with p as", "p as") + ", sp as (select *, sum(case when dt > 7200 or (on_ground and b_ground and dt > 10800) then 1 else 0 end) over (partition by track_id order by observed_at, point_id rows unbounded preceding) + 1 as segment_no from p)"
+_SEG = _T.replace("with p as", "p as") + ", sp as (select *, cast(sum(case when dt > 7200 or (on_ground and b_ground and dt > 10800) then 1 else 0 end) over (partition by track_id order by observed_at, point_id rows unbounded preceding) + 1 as bigint) as segment_no from p)"
 
 
 @query("ref_53_segment_tracks", f"select * from (with {_SEG} select point_id, track_id, segment_no from sp)", "points")
