@@ -9,6 +9,8 @@ cells gives one signature. Linkable sets therefore share a signature.
 Copies are collapsed before the join. In each signature's bucket the members
 meet one pivot after another, and only while they lie in different components,
 so a group of near copies costs about as many comparisons as it has members.
+Pairs whose parity sketches show more different elements than a link allows
+never leave the join of a bucket with itself.
 """
 
 from __future__ import annotations
@@ -26,6 +28,9 @@ from geoflume.llm.common import connected_components, mix64, stage, texts, words
 
 #: Cells of a partition; a signature leaves one of them out.
 CELLS = 3
+#: Words of 64 bits in a set's parity sketch.
+SKETCH = 32
+_BITS = [f"q{i}" for i in range(SKETCH)]
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -119,10 +124,19 @@ def _signature_rows(n: int, num: int, den: int):
     return rows
 
 
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Parity of the elements that hash to each of 64 * SKETCH bits: two sketches differ in no more bits than the sets in elements."""
+    bits = np.bincount((mix64(s + _K[0]) >> np.uint64(32)).astype(np.int64) % (64 * SKETCH), minlength=64 * SKETCH) & 1
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
 def _shingle_rows(n: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([shingles(t.as_py(), n).tobytes() for t in b.column(1)], pa.binary())], ["cls", "s"])
+            sets = [shingles(t.as_py(), n) for t in b.column(1)]
+            q = np.array([sketch(s) for s in sets], np.int64).reshape(len(sets), SKETCH)
+            cols = [b.column(0), pa.array([s.tobytes() for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()), *(pa.array(q[:, i]) for i in range(SKETCH))]
+            yield pa.RecordBatch.from_arrays(cols, ["cls", "s", "n", *_BITS])
 
     return rows
 
@@ -167,7 +181,7 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) ->
     active = stage(rows.withColumn("lo", F.min("cls").over(w)).withColumn("hi", F.max("cls").over(w)).where("lo < hi").select("sig", "cls", "lo"), "ngram-buckets")
 
     wanted = active.select(F.col("cls").alias("doc_id")).distinct()
-    shingled = stage(t.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_shingle_rows(n), "cls long, s binary"), "ngram-shingles")
+    shingled = stage(t.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_shingle_rows(n), "cls long, s binary, n long, " + ", ".join(f"{q} long" for q in _BITS)), "ngram-shingles")
 
     def verified(pairs: DataFrame) -> DataFrame:
         x = pairs.join(shingled.select(F.col("cls").alias("b"), F.col("s").alias("sb")), "b")
@@ -185,8 +199,12 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) ->
         left = stage(left.where((F.col("lo") < F.col("hi")) & (F.col("most") > low)).select("sig", "cls", "rank", "label"), "ngram-left")
         if left.isEmpty():
             break
-        p = left.where(f"rank >= {low} and rank < {high}").select("sig", F.col("cls").alias("a"), F.col("rank").alias("ra"), F.col("label").alias("la"))
-        pairs = p.join(left.select("sig", F.col("cls").alias("b"), "rank", "label"), "sig").where("rank > ra and label <> la").select("a", "b").distinct()
+        sized = left.join(shingled.select("cls", "n", *_BITS), "cls")
+        p = sized.where(f"rank >= {low} and rank < {high}").select("sig", F.col("cls").alias("a"), F.col("rank").alias("ra"), F.col("label").alias("la"), F.col("n").alias("na"), *[F.col(q).alias(f"a{q}") for q in _BITS])
+        # sets that differ in more elements than links may are left out within the join
+        apart = " + ".join(f"bit_count(a{q} ^ {q})" for q in _BITS)
+        near = F.expr(f"rank > ra and label <> la and ({apart}) * {num + den} <= {den - num} * (n + na)")
+        pairs = p.join(sized.withColumnRenamed("sig", "s2"), (F.col("sig") == F.col("s2")) & near).select("a", F.col("cls").alias("b")).distinct()
         more = verified(pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti"))
         tested = tested.union(more)
         parts = connected_components(tested.where("linked"))
