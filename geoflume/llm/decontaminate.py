@@ -31,36 +31,54 @@ _UNITS = frozenset(
     "inch inches ft foot feet yd yard yards mile miles mph kmh lb lbs oz pound pounds ounce ounces gram grams kilogram kilograms meter meters metre metres "
     "kilometer kilometers kilometre kilometres centimeter centimeters liter liters litre litres dollar dollars euro euros cent cents usd eur percent degree degrees".split()
 )
-_TOKEN = re.compile(r"[$€£%°]|\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*")
+_TOKEN = re.compile(r"[.!?\n:;|\"]|[$€£%°]|\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*")
 _NUM, _NAME, _UNIT = (np.uint64(x) for x in (11, 13, 17))
 
 
+#: Hashes of plain words that one Python worker keeps; marks that end a sentence are 0.
+CACHE = 300_000
+_BREAKS = dict.fromkeys(".!?\n:;|\"", 0)
+_plain: dict[str, int] = dict(_BREAKS)
+
+
 def canonical(text: str) -> tuple[np.ndarray, list[str | None]]:
     """Hashes of the template's tokens, and the value of each placeholder (None for plain words).
 
-    A name is a capitalised word that neither starts a sentence nor follows an upper-case word only by shouting:
-    texts whose words are mostly upper case have no names.
+    A name is a capitalised word that doesn't start a sentence; texts whose
+    words are mostly in upper case are shouting and have no names.
     """
-    toks = list(_TOKEN.finditer(text))
-    shouting = sum(m[0].isupper() and len(m[0]) > 1 for m in toks) * 2 > len(toks)
-    out, values = [], []
-    end = -1
-    for m in toks:
-        w = m[0]
+    if len(_plain) > CACHE:
+        _plain.clear()
+        _plain.update(_BREAKS)
+    toks = _TOKEN.findall(text)
+    hashes = list(map(_plain.get, toks))
+    slots: dict[int, str] = {}
+    caps: list[int] = []
+    for i in [i for i, h in enumerate(hashes) if h is None]:
+        w = toks[i]
         if w[0].isdigit():
-            out.append(_NUM)
-            values.append(w)
+            hashes[i], slots[i] = int(_NUM), w
         elif w in "$€£%°" or w.lower() in _UNITS:
-            out.append(_UNIT)
-            values.append(w.lower())
-        elif w[0].isupper() and not shouting and end >= 0 and not re.search(r"[.!?\n:;|\"]", text[end : m.start()]):
-            out.append(_NAME)
-            values.append(w)
+            hashes[i], slots[i] = int(_UNIT), w.lower()
         else:
-            out.append(xxhash.xxh3_64_intdigest(w.lower()))
-            values.append(None)
-        end = m.end()
-    return np.array(out, np.uint64), values
+            hashes[i] = xxhash.xxh3_64_intdigest(w.lower()) or 1
+            if w[0].isupper():
+                caps.append(i)
+            else:
+                _plain[w] = hashes[i]
+    h = np.array(hashes, np.uint64)
+    word = np.flatnonzero(h)
+    if sum(toks[i].isupper() and len(toks[i]) > 1 for i in caps) * 2 <= len(word):
+        for i in caps:
+            if i and h[i - 1]:
+                slots[i] = toks[i]
+        names = [i for i in caps if i in slots]
+        h[names] = _NAME
+    values: list[str | None] = [None] * len(word)
+    if slots:
+        for k, v in zip(np.searchsorted(word, list(slots)).tolist(), slots.values()):
+            values[k] = v
+    return h[word], values
 
 
 def windows(h: np.ndarray, size: int) -> np.ndarray:
