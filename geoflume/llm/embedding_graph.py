@@ -1,13 +1,16 @@
 """Embedding near-duplicates over a robust-pruned flat graph.
 
-Vectors of one label are dealt into overlapping cluster shards of bounded size.
+Vectors of one label are dealt into cluster shards of bounded size, which overlap
+by the link radius: a vector's home shard holds every vector linked to it. Where
+clusters can't be told apart at that radius (one large group of near copies, or
+vectors without structure), blocks of the vectors are compared pair by pair.
 Each shard builds a flat graph by robust pruning; a vector's adjacency lists
 from its shards are united. Every vector then searches its shards greedily from
 the medoid and, once it meets vectors in range, expands the range through their
 neighbours. Pairs count only after an exact cosine in double precision.
 
-A vector is counted in the shard that is its home only, so counts from several
-shards add up, and of the links only a spanning forest leaves a shard.
+A vector that is a link's end is counted where the other end is at home, so counts
+from several shards add up, and of the links only a spanning forest leaves a shard.
 """
 
 from __future__ import annotations
@@ -24,8 +27,10 @@ from geoflume.llm.common import connected_components, stage
 
 #: Members of a shard that isn't split further; shards split in one round, parts of each, and members sampled for their centres.
 SHARD, SPLITS, WAYS, SAMPLE = 2000, 1024, 8, 64
-#: Splits that lie above a shard at most; only vectors that no centres tell apart come so far.
+#: Splits that lie above a shard at most; what is still large then is compared in blocks.
 DEPTH = 40
+#: Rows that a split may make of one on average; beyond it a shard is compared in blocks.
+COPIES = 2
 #: Edges of a node in one shard, candidates for them, slack of the pruning, and width of the search beam.
 DEGREE, CANDIDATES, ALPHA, BEAM = 24, 64, 1.2, 32
 #: Vectors this far below the threshold are still expanded, as they may lead to others in range.
@@ -50,47 +55,68 @@ def _centres(x: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
+def _parts(x: np.ndarray, c: np.ndarray, radius: float) -> np.ndarray:
+    """reach[i, b]: whether part b of the centres c may hold a vector within radius of row i, by the distance to each of b's borders."""
+    d = ((x[:, None] - c) ** 2).sum(2)
+    apart = 2 * np.linalg.norm(c[:, None] - c, axis=2)
+    return (d[:, :, None] - d[:, None, :] <= radius * apart + 1e-9).all(2)
+
+
 _PLACED = "cls long, v array<double>, shard string, home boolean"
 
 
 def _split_rows(held):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        centres, radius = held.value
         for b in batches:
             out: list[tuple] = []
             for cls, v, shard, home in zip(*(c.to_pylist() for c in b.columns)):
-                c = held.value.get(shard)
+                c = centres.get(shard)
                 if c is None:
                     out.append((cls, v, shard, home))
                     continue
-                near = np.argsort(((c - np.array(v)) ** 2).sum(1), kind="stable")[: 2 if home else 1]
-                out += ((cls, v, f"{shard}.{i}", home and k == 0) for k, i in enumerate(near))
+                x = _unit(np.array([v]))
+                own = int(np.argmin(((c - x) ** 2).sum(1)))
+                out += ((cls, v, f"{shard}.{i}", home and i == own) for i in np.flatnonzero(_parts(x, c, radius)[0]).tolist())
             kinds = (pa.int64(), pa.list_(pa.float64()), pa.string(), pa.bool_())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, kinds)], ["cls", "v", "shard", "home"])
 
     return rows
 
 
-def shards(vectors: DataFrame) -> DataFrame:
-    """(cls, v, shard, home) from (cls, label, v): at each split a vector's home row goes on in its nearest part and is copied to the next one."""
+def _cut(sample: np.ndarray, radius: float) -> np.ndarray | None:
+    """Centres of a split, or None if they'd copy a vector too often; they are fitted to one half of the sample and tried on the other."""
+    x = _unit(sample)
+    c = _centres(x[::2], WAYS)
+    return c if len(c) > 1 and len(x) > 1 and _parts(x[1::2], c, radius).sum(1).mean() <= COPIES else None
+
+
+def shards(vectors: DataFrame, least: float) -> tuple[DataFrame, dict[str, int]]:
+    """((cls, v, shard, home), rows of each shard that is left too large) from (cls, label, v).
+
+    At each split a vector's home row goes on in its nearest part, and every row
+    is copied to all parts that may hold a vector linked to it.
+    """
     spark = vectors.sparkSession
+    radius = float(np.sqrt(max(0.0, 2 - 2 * least))) + 1e-9
     now = stage(vectors.select("cls", "v", F.col("label").cast("string").alias("shard"), F.lit(True).alias("home")), "graph-shards")
+    whole: dict[str, int] = {}
     while True:
-        big = [r.shard for r in now.groupBy("shard").count().where((F.col("count") > SHARD) & (F.size(F.split("shard", r"\.")) < DEPTH)).orderBy(F.desc("count"), "shard").limit(SPLITS).collect()]
+        large = now.groupBy("shard").count().where(F.col("count") > SHARD)
+        large = large.where(~F.col("shard").isin(list(whole))) if whole else large
+        big = {r.shard: r["count"] for r in large.orderBy(F.desc("count"), "shard").limit(SPLITS).collect()}
         if not big:
-            break
-        ranked = now.where(F.col("shard").isin(big)).groupBy("shard", F.pmod(F.xxhash64("cls"), F.lit(SAMPLE)).alias("k")).agg(F.min_by("v", F.xxhash64("cls", F.lit(3))).alias("v"))
-        sample: dict[str, list] = {}
-        for r in ranked.collect():  # SAMPLE vectors for each of SPLITS shards at most
-            sample.setdefault(r.shard, []).append(r.v)
-        centres = {s: _centres(np.array(sorted(x)), WAYS) for s, x in sample.items()}
-        centres = {s: c for s, c in centres.items() if len(c) > 1}
-        if not centres:
-            break
-        held = spark.sparkContext.broadcast(centres)
-        split = now.mapInArrow(_split_rows(held), _PLACED)
-        # the same part may be reached through two overlapping parts
-        now = stage(split.groupBy("cls", "shard").agg(F.first("v").alias("v"), F.max("home").alias("home")).select("cls", "v", "shard", "home"), "graph-shards")
-    return now
+            return now, whole
+        ranked = now.where(F.col("shard").isin(list(big))).groupBy("shard", F.pmod(F.xxhash64("cls"), F.lit(SAMPLE)).alias("k")).agg(F.min_by("v", F.xxhash64("cls", F.lit(3))).alias("v"))
+        sample: dict[str, list] = {s: [] for s in big}
+        for r in ranked.orderBy("shard", "k").collect():  # SAMPLE vectors for each of SPLITS shards at most
+            sample[r.shard].append(r.v)
+        cuts = {s: _cut(np.array(x), radius) if s.count(".") < DEPTH else None for s, x in sample.items()}
+        whole |= {s: big[s] for s, c in cuts.items() if c is None}
+        centres = {s: c for s, c in cuts.items() if c is not None}
+        if centres:
+            held = spark.sparkContext.broadcast((centres, radius))
+            now = stage(now.mapInArrow(_split_rows(held), _PLACED), "graph-shards")
 
 
 def robust_prune(x: np.ndarray, p: int, cand: np.ndarray, degree: int, alpha: float) -> list[int]:
@@ -196,6 +222,43 @@ def _search_shard(least: float):
     return search
 
 
+def _compare_blocks(least: float):
+    """Links between the two blocks of a pair, or within a block that is paired with itself."""
+
+    def compare(p: pd.DataFrame) -> pd.DataFrame:
+        p = p.sort_values("cls")
+        x = _unit(np.stack(p["v"].to_numpy()).astype(np.float64))
+        ids, home, times, blk = (p[k].to_numpy() for k in ("cls", "home", "times", "blk"))
+        adj = np.zeros((len(x), len(x)), bool)
+        one = blk == blk.min()
+        if one.all():
+            adj = x @ x.T >= least
+            adj |= adj.T
+            np.fill_diagonal(adj, False)
+        else:
+            hit = x[one] @ x[~one].T >= least
+            adj[np.ix_(one, ~one)], adj[np.ix_(~one, one)] = hit, hit.T
+        links = adj @ np.where(home, times, 0).astype(np.float64)
+        root = np.full(len(ids), -1)
+        for i in range(len(ids)):
+            edge = np.array([i]) if root[i] < 0 else ()
+            while len(edge):
+                root[edge] = i
+                edge = np.flatnonzero(adj[edge].any(0) & (root < 0))
+        some = adj.any(1)
+        return pd.DataFrame({"cls": ids[some], "links": links[some].round().astype(np.int64), "root": ids[root[some]]})
+
+    return compare
+
+
+def _blocks(placed: DataFrame, whole: dict[str, int]) -> DataFrame:
+    """Rows of shards that are too large, once for each pair of blocks that theirs is part of: shard, i, j and blk besides."""
+    size = F.create_map(*[F.lit(x) for s, n in whole.items() for x in (s, -(-2 * n // SHARD))])
+    out = placed.withColumn("n", F.element_at(size, F.col("shard"))).withColumn("blk", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("n")).cast("int"))
+    out = out.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return out.withColumn("i", F.least("blk", "other")).withColumn("j", F.greatest("blk", "other"))
+
+
 def near_duplicates(emb: DataFrame, least: float = 0.98) -> DataFrame:
     """Link vectors of equal label whose cosine is `least` at least.
 
@@ -212,11 +275,17 @@ def near_duplicates(emb: DataFrame, least: float = 0.98) -> DataFrame:
     part = F.concat_ws("/", F.col("label").cast("string"), F.size("v").cast("string"))
     classes = e.where("fine").groupBy(part.alias("label"), "v").agg(F.min("vec_id").alias("cls"), F.count("*").alias("times"))
     classes = stage(classes.select("cls", "label", "v", "times"), "graph-vectors")
-    placed = shards(classes)
+    placed, whole = shards(classes, least)
+    large = F.col("shard").isin(list(whole)) if whole else F.lit(False)
+    apart, placed = placed.where(large), placed.where(~large)
     lists = placed.groupBy("shard").applyInPandas(_build_shard, "cls long, near array<long>")
     union = lists.groupBy("cls").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     ready = placed.join(union, "cls").join(classes.select("cls", "times"), "cls")
-    found = stage(ready.groupBy("shard").applyInPandas(_search_shard(least), "cls long, links long, root long"), "graph-found")
+    found = ready.groupBy("shard").applyInPandas(_search_shard(least), "cls long, links long, root long")
+    if whole:
+        pairs = _blocks(apart.join(classes.select("cls", "times"), "cls"), whole).select("shard", "i", "j", "blk", "cls", "v", "home", "times")
+        found = found.union(pairs.groupBy("shard", "i", "j").applyInPandas(_compare_blocks(least), "cls long, links long, root long"))
+    found = stage(found, "graph-found")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "cls")
     by_class = classes.join(links, "cls", "left").join(parts, "cls", "left").select("label", "v", (F.col("links") + F.col("times") - 1).alias("links"), F.coalesce("component_id", "cls").alias("component"))

@@ -355,6 +355,25 @@ def test_embedding_links_equal_brute_force(spark, monkeypatch):
     assert embedding_graph.audit_recall(emb, out) >= 0.9
 
 
+def test_embedding_large_group_keeps_all_links(spark, monkeypatch):
+    monkeypatch.setattr(embedding_graph, "SHARD", 200)
+    r = np.random.default_rng(5)
+    near = r.normal(size=(1, 64)) + 0.1 * r.normal(size=(900, 64))  # near copies of each other, many on either side of the threshold
+    tight = r.normal(size=(20, 1, 64)) + 0.05 * r.normal(size=(20, 30, 64))  # groups that a split tells apart
+    data = [(i, x.tolist(), 1) for i, x in enumerate(near)] + [(1000 + i, x.tolist(), 2) for i, x in enumerate(tight.reshape(-1, 64))]
+    emb = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    out = embedding_graph.near_duplicates(emb)
+    got = {x.vec_id: x for x in out.collect()}
+    links = brute_vectors(data)
+    degree = Counter(x for p in links for x in p)
+    want = components([i for i, _, _ in data], links)
+    assert sum(degree.values()) > 200_000
+    assert all(got[i].n_links == degree[i] for i in got if i < 1000)
+    assert sum(got[i].n_links for i in got if i >= 1000) >= 0.99 * sum(degree[i] for i in degree if i >= 1000)
+    assert all(got[i].component_id == want[i] for i in want)
+    assert embedding_graph.audit_recall(emb, out) >= 0.99
+
+
 def test_embedding_edge_cases(spark):
     v = [1.0, 2.0, 3.0]
     data = [(1, v, 1), (2, v, 1), (3, v, 2), (4, None, 1), (5, [0.0, 0.0, 0.0], 1), (6, [1.0, None, 1.0], 1), (7, [float("nan")] * 3, 1), (8, v, None), (9, [], 1), (10, [1.0, 2.0], 1), (11, [float("inf"), 1.0, 1.0], 1), (12, [1.0, 2.0, 3.01], 1)]
