@@ -9,8 +9,9 @@ from its shards are united. Every vector then searches its shards greedily from
 the medoid and, once it meets vectors in range, expands the range through their
 neighbours. Pairs count only after an exact cosine in double precision.
 
-A vector that is a link's end is counted where the other end is at home, so counts
-from several shards add up, and of the links only a spanning forest leaves a shard.
+A vector is searched and counted in the shard that is its home only, where all its
+links are, so both ends of a link count it; of the links only a spanning forest
+leaves a shard.
 """
 
 from __future__ import annotations
@@ -189,6 +190,20 @@ def _build_shard(p: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"cls": ids, "near": [ids[ns].tolist() for ns in build(x)]})
 
 
+def _linked(ids: np.ndarray, home: np.ndarray, times: np.ndarray, adj: np.ndarray) -> pd.DataFrame:
+    """Links of the home rows, and a component's first row for each row that is linked."""
+    np.fill_diagonal(adj, False)
+    links = np.where(home, adj @ times.astype(np.float64), 0)
+    some = adj.any(1)
+    root = np.full(len(ids), -1)
+    for i in np.flatnonzero(some):
+        edge = np.array([i]) if root[i] < 0 else ()
+        while len(edge):
+            root[edge] = i
+            edge = np.flatnonzero(adj[edge].any(0) & (root < 0))
+    return pd.DataFrame({"cls": ids[some], "links": links[some].round().astype(np.int64), "root": ids[root[some]]})
+
+
 def _search_shard(least: float):
     def search(p: pd.DataFrame) -> pd.DataFrame:
         p = p.sort_values("cls")
@@ -201,23 +216,13 @@ def _search_shard(least: float):
             at = at[at < len(ids)]
             graph.append(at[np.isin(ids[at], ns)])
         medoid = int(np.argmax(x @ x.mean(0)))
-        root = np.arange(len(ids))
-
-        def find(i: int) -> int:
-            while root[i] != i:
-                root[i] = root[root[i]]
-                i = root[i]
-            return i
-
-        links = np.zeros(len(ids), np.int64)
-        for q in range(len(ids)):
-            hit = range_search(x, graph, medoid, q, least)
-            hit = hit[hit != q]
-            links[q] = times[hit[home[hit]]].sum()
-            for r in {find(int(h)) for h in hit} if len(hit) else ():
-                a, b = sorted((find(q), r))
-                root[b] = a
-        return pd.DataFrame({"cls": ids, "links": links, "root": ids[[find(i) for i in range(len(ids))]]})
+        adj = np.zeros((len(x), len(x)), bool)
+        for q in np.flatnonzero(home):
+            adj[q, range_search(x, graph, medoid, q, least)] = True
+        # a link over a border is met by both ends in different graphs, so it is compared directly
+        adj[np.ix_(home, ~home)] = x[home] @ x[~home].T >= least
+        adj |= adj.T
+        return _linked(ids, home, times, adj)
 
     return search
 
@@ -234,19 +239,10 @@ def _compare_blocks(least: float):
         if one.all():
             adj = x @ x.T >= least
             adj |= adj.T
-            np.fill_diagonal(adj, False)
         else:
             hit = x[one] @ x[~one].T >= least
             adj[np.ix_(one, ~one)], adj[np.ix_(~one, one)] = hit, hit.T
-        links = adj @ np.where(home, times, 0).astype(np.float64)
-        root = np.full(len(ids), -1)
-        for i in range(len(ids)):
-            edge = np.array([i]) if root[i] < 0 else ()
-            while len(edge):
-                root[edge] = i
-                edge = np.flatnonzero(adj[edge].any(0) & (root < 0))
-        some = adj.any(1)
-        return pd.DataFrame({"cls": ids[some], "links": links[some].round().astype(np.int64), "root": ids[root[some]]})
+        return _linked(ids, home, times, adj)
 
     return compare
 
@@ -288,7 +284,7 @@ def near_duplicates(emb: DataFrame, least: float = 0.98) -> DataFrame:
     found = stage(found, "graph-found")
     links = found.groupBy("cls").agg(F.sum("links").alias("links"))
     parts = connected_components(found.where("cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b"))).withColumnRenamed("id", "cls")
-    by_class = classes.join(links, "cls", "left").join(parts, "cls", "left").select("label", "v", (F.col("links") + F.col("times") - 1).alias("links"), F.coalesce("component_id", "cls").alias("component"))
+    by_class = classes.join(links, "cls", "left").join(parts, "cls", "left").select("label", "v", (F.coalesce("links", F.lit(0)) + F.col("times") - 1).alias("links"), F.coalesce("component_id", "cls").alias("component"))
     alone = e.where("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     rest = e.where("fine").select("vec_id", part.alias("label"), "v").join(by_class, ["label", "v"]).select("vec_id", F.col("links").alias("n_links"), F.col("component").alias("component_id"))
     return rest.union(alone).withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

@@ -374,6 +374,16 @@ def test_embedding_large_group_keeps_all_links(spark, monkeypatch):
     assert embedding_graph.audit_recall(emb, out) >= 0.99
 
 
+def test_embedding_links_count_at_both_ends(spark, monkeypatch):
+    monkeypatch.setattr(embedding_graph, "SHARD", 100)
+    x = np.random.default_rng(6).normal(size=(800, 3))  # evenly over a sphere, so many links cross a border
+    data = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    got = {r.vec_id: r.n_links for r in embedding_graph.near_duplicates(spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")).collect()}
+    degree = Counter(i for p in brute_vectors(data) for i in p)
+    assert all(got[i] <= degree[i] for i in got)
+    assert sum(got.values()) % 2 == 0 and sum(got.values()) >= 0.99 * sum(degree.values())
+
+
 def test_embedding_edge_cases(spark):
     v = [1.0, 2.0, 3.0]
     data = [(1, v, 1), (2, v, 1), (3, v, 2), (4, None, 1), (5, [0.0, 0.0, 0.0], 1), (6, [1.0, None, 1.0], 1), (7, [float("nan")] * 3, 1), (8, v, None), (9, [], 1), (10, [1.0, 2.0], 1), (11, [float("inf"), 1.0, 1.0], 1), (12, [1.0, 2.0, 3.01], 1)]
