@@ -2,8 +2,10 @@
 
 Numbers, names and units become typed placeholders, so a question whose values
 were changed keeps its template. Windows of template tokens are hash-joined
-between items and documents; along each diagonal the matched windows count, and
-the slots they hold must map item values to document values one to one.
+between items and documents; matched windows are chained in order over
+neighbouring diagonals, as an inserted or removed word shifts what follows it.
+The item's tokens that the chain covers count, and the slots it holds must map
+item values to document values one to one.
 """
 
 from __future__ import annotations
@@ -11,7 +13,6 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,10 @@ from pyspark.sql import functions as F
 
 from geoflume.llm.common import mix64, stage, texts
 
-#: Tokens of a window; the share of an item's windows that a document must hold on one diagonal.
+#: Tokens of a window; the share of an item's tokens that a document must hold in one chain of windows.
 WINDOW, COVERAGE = 8, 0.6
+#: Tokens by which a chain may shift from one of its runs to the next.
+SHIFT = 8
 #: Item windows up to which the windows are broadcast (16 MB); beyond, they are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
 #: Words that stand for units of measure.
@@ -31,6 +34,8 @@ _UNITS = frozenset(
     "inch inches ft foot feet yd yard yards mile miles mph kmh lb lbs oz pound pounds ounce ounces gram grams kilogram kilograms meter meters metre metres "
     "kilometer kilometers kilometre kilometres centimeter centimeters liter liters litre litres dollar dollars euro euros cent cents usd eur percent degree degrees".split()
 )
+#: Words that belong to the number before them.
+_SCALES = frozenset("hundred hundreds thousand thousands million millions billion billions trillion trillions dozen".split())
 _TOKEN = re.compile(r"[.!?\n:;|\"]|[$€£%°]|\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*")
 _NUM, _NAME, _UNIT = (np.uint64(x) for x in (11, 13, 17))
 
@@ -41,11 +46,13 @@ _BREAKS = dict.fromkeys(".!?\n:;|\"", 0)
 _plain: dict[str, int] = dict(_BREAKS)
 
 
-def canonical(text: str) -> tuple[np.ndarray, list[str | None]]:
+def canonical(text: str, plain: frozenset[str] | None = None) -> tuple[np.ndarray, list[str | None]]:
     """Hashes of the template's tokens, and the value of each placeholder (None for plain words).
 
-    A name is a capitalised word that doesn't start a sentence; texts whose
-    words are mostly in upper case are shouting and have no names.
+    A name is a capitalised word, at the start of a sentence only if it isn't
+    one of the words in `plain` (without them, never there); texts whose words
+    are mostly in upper case are shouting and have no names. A run of names, or
+    of numbers and the words of scale after them, is one placeholder.
     """
     if len(_plain) > CACHE:
         _plain.clear()
@@ -60,6 +67,11 @@ def canonical(text: str) -> tuple[np.ndarray, list[str | None]]:
             hashes[i], slots[i] = int(_NUM), w
         elif w in "$€£%°" or w.lower() in _UNITS:
             hashes[i], slots[i] = int(_UNIT), w.lower()
+        elif w.lower() in _SCALES:
+            number = i and hashes[i - 1] == int(_NUM)
+            hashes[i] = int(_NUM) if number else xxhash.xxh3_64_intdigest(w.lower())
+            if number:
+                slots[i] = w.lower()
         else:
             hashes[i] = xxhash.xxh3_64_intdigest(w.lower()) or 1
             if w[0].isupper():
@@ -69,18 +81,33 @@ def canonical(text: str) -> tuple[np.ndarray, list[str | None]]:
     h = np.array(hashes, np.uint64)
     word = np.flatnonzero(h)
     if sum(toks[i].isupper() and len(toks[i]) > 1 for i in caps) * 2 <= len(word):
-        for i in caps:
-            if i and h[i - 1]:
-                slots[i] = toks[i]
-        names = [i for i in caps if i in slots]
+        names = [i for i in caps if i and h[i - 1] or plain is not None and toks[i].lower() not in plain]
+        slots |= {i: toks[i] for i in names}
         h[names] = _NAME
+    drop = []
+    for i in sorted(slots, reverse=True):
+        if i - 1 in slots and h[i] == h[i - 1] and h[i] != _UNIT:
+            slots[i - 1] += " " + slots.pop(i)
+            drop.append(i)
+    if drop:
+        h[drop] = 0
+        word = np.flatnonzero(h)
     values: list[str | None] = [None] * len(word)
-    if slots:
-        for k, v in zip(np.searchsorted(word, list(slots)).tolist(), slots.values()):
-            values[k] = v
+    for i, k in zip(slots, np.searchsorted(word, list(slots)).tolist()):
+        values[k] = slots[i]
     return h[word], values
 
 
+def plain_words(text: str) -> set[str]:
+    """Words that text has in lower case."""
+    return {w for w in _TOKEN.findall(text) if w[0].islower()}
+
+
+def window_size(n: int, size: int) -> int:
+    """Tokens of the windows of an item of n tokens: so few that the windows beside one changed word still cover COVERAGE of it."""
+    return n if n < size else min(size, max(3, int(n * (1 - COVERAGE))))
+
+
 def windows(h: np.ndarray, size: int) -> np.ndarray:
     """Hash of every window of template tokens; a shorter text is one window."""
     if not len(h):
@@ -96,22 +123,28 @@ def windows(h: np.ndarray, size: int) -> np.ndarray:
 _ITEM = "item_id long, w long, at int, size int, n int, slots array<string>"
 
 
-def _item_rows(size: int):
+def _plain_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        words = set().union(*(plain_words(t.as_py().decode("utf-8", "replace")) for t in b.column(1)))
+        yield pa.RecordBatch.from_arrays([pa.array(sorted(words), pa.string())], ["word"])
+
+
+def _item_rows(size: int, plain):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                h, values = canonical(t.as_py().decode("utf-8", "replace"))
-                w = windows(h, size).view(np.int64).tolist()
-                k = min(size, len(h))
-                out += ((i, x, at, k, len(w), values[at : at + k]) for at, x in enumerate(w) if i is not None)
+                h, values = canonical(t.as_py().decode("utf-8", "replace"), plain.value)
+                k = window_size(len(h), size)
+                w = windows(h, k).view(np.int64).tolist()
+                out += ((i, x, at, k, len(h), values[at : at + k]) for at, x in enumerate(w) if i is not None)
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 6, kinds)], ["item_id", "w", "at", "size", "n", "slots"])
 
     return rows
 
 
-def _doc_rows(sizes: list[int], held):
+def _doc_rows(sizes: list[int], held, plain):
     """Windows of texts, of each size that items have: (doc_id, row, w, at, slots); with `held` only those it holds."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +153,7 @@ def _doc_rows(sizes: list[int], held):
             out: list[tuple] = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
                 raw = t.as_py()
-                h, values = canonical(raw.decode("utf-8", "replace"))
+                h, values = canonical(raw.decode("utf-8", "replace"), plain.value)
                 key = xxhash.xxh3_64_intdigest(raw) - (1 << 63)
                 for k in sizes:
                     if len(h) < k:
@@ -161,23 +194,45 @@ def consistent_share(pairs: list[tuple[str, str]]) -> float:
 _MATCH = "doc_id long, text_key long, item_id long, coverage double, slot_consistency double, reparameterised boolean"
 
 
+def best_chain(rows: list[tuple]) -> tuple[float, float, bool]:
+    """(coverage, consistency, whether a value differs) of the best chain of the matched windows (diagonal, at, n, slots, doc_slots), in order."""
+    runs: list[list] = []  # diagonal, first token, end, (item value, document value) of each token
+    for diag, at, _, slots, doc_slots in rows:
+        if not runs or runs[-1][0] != diag or at > runs[-1][2]:
+            runs.append([diag, at, at, []])
+        run = runs[-1]
+        new = at + len(slots) - run[2]
+        run[3] += list(zip(slots, doc_slots))[len(slots) - new :] if new > 0 else []
+        run[2] += max(0, new)
+    runs.sort(key=lambda r: (r[1], r[0]))
+    by_diag: dict[int, list[int]] = {}
+    covered, before, skipped = [], [], []
+    for k, (diag, start, end, _) in enumerate(runs):
+        best = (end - start, -1, 0)
+        for d in range(diag - SHIFT, diag + SHIFT + 1):
+            for i in by_diag.get(d, ()):
+                skip = max(0, runs[i][2] - start, runs[i][2] + d - start - diag)
+                if runs[i][1] < start and runs[i][1] + d < start + diag and skip < end - start:
+                    best = max(best, (covered[i] + end - start - skip, i, skip))
+        covered.append(best[0])
+        before.append(best[1])
+        skipped.append(best[2])
+        by_diag.setdefault(diag, []).append(k)
+    top, found = max(covered), []
+    for k in (k for k, c in enumerate(covered) if c == top):
+        pairs: list[tuple[str, str]] = []
+        while k >= 0:
+            pairs += [(a, b) for a, b in runs[k][3][skipped[k] :] if a is not None and b is not None]
+            k = before[k]
+        found.append((top / rows[0][2], consistent_share(pairs), any(a != b for a, b in pairs)))
+    return max(found)
+
+
 def _match_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted (doc_id, text_key, item_id, diagonal, at, n, slots, doc_slots) -> the best diagonal of each document and item."""
+    """Sorted (doc_id, text_key, item_id, diagonal, at, n, slots, doc_slots) -> the best chain of each document and item."""
 
     def best(rows: list[tuple]) -> tuple:
-        found = []
-        for _, diag in groupby(rows, key=lambda r: r[3]):
-            diag = list(diag)
-            seen: dict[int, tuple[str, str]] = {}
-            for r in diag:
-                for k, (a, b) in enumerate(zip(r[6], r[7])):
-                    if a is not None and b is not None:
-                        seen[r[4] + k] = (a, b)
-            cover = len({r[4] for r in diag}) / diag[0][5]
-            pairs = list(seen.values())
-            found.append((cover, consistent_share(pairs), any(a != b for a, b in pairs)))
-        top = max(found)
-        return (*rows[0][:3], *top)
+        return (*rows[0][:3], *best_chain([r[3:] for r in rows]))
 
     held: list[tuple] = []
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.bool_())
@@ -199,20 +254,22 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverag
     """Documents that hold a benchmark item's template: doc_id, text_key (hash of the text), item_id, coverage, slot_consistency, reparameterised.
 
     docs: doc_id, text; benchmark: item_id, text; other columns are ignored. A
-    row per pair of which the document holds `coverage` of the item's windows
-    on one diagonal and whose slots map one to one in `consistency` of the
+    row per pair of which the document holds `coverage` of the item's tokens
+    in one chain of windows and whose slots map one to one in `consistency` of the
     places; reparameterised tells whether a value differs. Items shorter than
     the window are one window. Null and blank texts and rows without an id of
     an item match nothing; repeated rows give equal pairs once. On ties the
-    more consistent diagonal counts. Empty tables give no rows.
+    more consistent chain counts. Empty tables give no rows.
     """
     spark = docs.sparkSession
-    items = stage(texts(benchmark, "item_id").mapInArrow(_item_rows(window), _ITEM), "bench-windows")
+    words = texts(benchmark, "item_id").mapInArrow(_plain_rows, "word string").distinct().collect()  # the benchmark's vocabulary
+    plain = spark.sparkContext.broadcast(frozenset(r.word for r in words))
+    items = stage(texts(benchmark, "item_id").mapInArrow(_item_rows(window, plain), _ITEM), "bench-windows")
     sizes = sorted(r.size for r in items.select("size").distinct().collect())  # at most `window` of them
     held = None
     if items.count() <= broadcast_windows:
         held = spark.sparkContext.broadcast(np.unique(np.array([r.w for r in items.select("w").distinct().collect()], np.int64).view(np.uint64)))
-    d = texts(docs).mapInArrow(_doc_rows(sizes, held), "doc_id long, text_key long, w long, pos int, doc_slots array<string>")
+    d = texts(docs).mapInArrow(_doc_rows(sizes, held, plain), "doc_id long, text_key long, w long, pos int, doc_slots array<string>")
     j = d.join(items, "w").where("size(slots) = size(doc_slots)").select("doc_id", "text_key", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "n", "slots", "doc_slots")
     j = j.repartition("doc_id", "text_key", "item_id").sortWithinPartitions("doc_id", "text_key", "item_id", "diagonal", "at")
     return j.mapInArrow(_match_rows, _MATCH).where((F.col("coverage") >= coverage) & (F.col("slot_consistency") >= consistency))

@@ -518,6 +518,34 @@ def test_decontamination_finds_all_items(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.matches(d, b, broadcast_windows=0).collect()} == want
 
 
+@pytest.mark.parametrize(
+    "changed",
+    [
+        "Tom has 3 red apples in his small basket and he really gives 2 of them to the girl next door every single morning",
+        "Tom has 3 red apples in his small basket and gives 2 of them to the girl next door every single morning",
+        "Mary Ann has 3 red apples in his small basket and he gives 2 of them to the girl next door every single morning",
+        "Tom has 5 million red apples in his small basket and he gives 2 of them to the girl next door every single morning",
+        "Tom has 3 red apples in his small basket and he sells 2 of them to the girl next door every single morning",
+    ],
+)
+def test_decontamination_after_one_edit(spark, changed):
+    item = "Tom has 3 red apples in his small basket and he gives 2 of them to the girl next door every single morning"
+    d = spark.createDataFrame([(1, f"some words before . {changed} . and some after"), (2, "Bob has 7 blue cars in the large garage of the house and sells none to any boy")], "doc_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.matches(d, spark.createDataFrame([(9, item)], "item_id long, text string")).collect()] == [(1, 9)]
+
+
+def test_decontamination_edit_of_any_word():
+    words = [f"w{chr(97 + i)}x" for i in range(26)]
+    for n in range(8, 27):
+        k = decontaminate.window_size(n, 8)
+        for e in range(n):
+            rows = [(0, at, n, [None] * k, [None] * k) for at in range(n - k + 1) if not at <= e < at + k]
+            assert decontaminate.best_chain(rows)[0] >= 0.6, (n, e)
+    h, values = decontaminate.canonical("Tom has 3. Tom buys 4.", frozenset(words))
+    g, others = decontaminate.canonical("Mary Ann has 5 million. Mary Ann buys 6.", frozenset(words))
+    assert h.tolist() == g.tolist() and values == ["Tom", None, "3", "Tom", None, "4"] and others == ["Mary Ann", None, "5 million", "Mary Ann", None, "6"]
+
+
 def test_decontamination_of_changed_parameters(spark):
     item = "If Tom has 12 apples and gives Anna 5 of the 12 apples, how many km must Tom then walk to find 7 more apples today?"
     docs = [
