@@ -119,17 +119,18 @@ def knn(emb: DataFrame, query: list[float] | Column, metric: str = "cosine", k:
     return out.orderBy(F.desc("raw") if metric == "dot" else F.asc("raw"), "entity_id").limit(k)
 
 
-def knn_batch(emb: DataFrame, seeds: DataFrame, k: int = 10) -> DataFrame:
+def knn_batch(emb: DataFrame, seeds: DataFrame, k: int = 10, block: int = 1000) -> DataFrame:
     """Cosine neighbours of each seed: every task keeps k for each seed before the shuffle.
 
-    seeds: seed_id, seed_vector, a request of a thousand vectors at most, which
-    is checked; they travel to the vectors as one array.
+    seeds: seed_id, seed_vector, in any number; they meet the vectors in blocks
+    of `block` at most, each as one array.
     """
-    n = seeds.limit(1001).count()
-    if n > 1000:
-        raise ValueError("at most 1000 seeds")
-    one = seeds.agg(F.collect_list(F.struct("seed_id", "seed_vector")).alias("seeds"))
-    pair = emb.select("entity_id", "embedding").join(F.broadcast(one), F.lit(True)).select("entity_id", "embedding", F.explode("seeds").alias("s")).where(F.col("s.seed_id") != F.col("entity_id"))
+    n = max(1, -(-seeds.count() // block))
+    w = Window.partitionBy("g").orderBy("seed_id")
+    dealt = seeds.withColumn("g", F.pmod(F.xxhash64("seed_id"), F.lit(n))).withColumn("b", F.floor((F.row_number().over(w) - 1) / block))
+    one = dealt.groupBy("g", "b").agg(F.collect_list(F.struct("seed_id", "seed_vector")).alias("seeds")).select("seeds")
+    one = F.broadcast(one) if n == 1 else one
+    pair = emb.select("entity_id", "embedding").join(one, F.lit(True)).select("entity_id", "embedding", F.explode("seeds").alias("s")).where(F.col("s.seed_id") != F.col("entity_id"))
     scored = pair.select(F.col("s.seed_id").alias("seed_id"), "entity_id", cosine("embedding", "s.seed_vector").alias("score"))
     w = Window.partitionBy("seed_id").orderBy(F.desc("score"), "entity_id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

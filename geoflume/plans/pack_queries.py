@@ -306,6 +306,13 @@ def _(s, d):
     return serve.knn_batch(e, serve.resolve_seeds(e, [1, 5, 9]), 5).select("seed_id", "entity_id", "rank")
 
 
+@query("ref_121_knn_batch_twentieth", "select seed_id, entity_id, rank from (select a.vec_id as seed_id, b.vec_id as entity_id, row_number() over (partition by a.vec_id order by array_cosine_similarity(a.embedding::double[64], b.embedding::double[64]) desc, b.vec_id) as rank from embeddings a, embeddings b where a.vec_id % 20 = 0 and a.vec_id <> b.vec_id) where rank <= 5")
+def _(s, d):
+    e = _emb(s, d)
+    seeds = e.where("entity_id % 20 = 0").select(F.col("entity_id").alias("seed_id"), F.col("embedding").alias("seed_vector"))
+    return serve.knn_batch(e, seeds, 5).select("seed_id", "entity_id", "rank")
+
+
 @query("ref_123_check_space", "select vec_id as entity_id from embeddings where len(embedding) <> 32")
 def _(s, d):
     return serve.check_space(_emb(s, d), 32).select("entity_id")

@@ -186,3 +186,16 @@ def test_entry_points(spark):
     q, o = entry.queries(), entry.oracle_sql()
     assert set(o) <= set(q) and len(q) > 140
     assert entry.entry(spark).limit(1).count() == 1
+
+
+def test_knn_batch_takes_more_seeds_than_a_block(spark):
+    from pyspark.sql import functions as F
+
+    from geoflume.operators import serve
+
+    emb = spark.range(1200).select(F.col("id").alias("entity_id"), F.array(F.cos(F.col("id") / 200), F.sin(F.col("id") / 200)).alias("embedding"))
+    seeds = emb.select(F.col("entity_id").alias("seed_id"), F.col("embedding").alias("seed_vector"))
+    got = {r.seed_id: r.entity_id for r in serve.knn_batch(emb, seeds, 1).collect()}
+    assert len(got) == 1200 and all(abs(a - b) == 1 for a, b in got.items())
+    few = seeds.where("seed_id < 50")
+    assert set(map(tuple, serve.knn_batch(emb, few, 3, block=7).select("seed_id", "entity_id", "rank").collect())) == set(map(tuple, serve.knn_batch(emb, few, 3).select("seed_id", "entity_id", "rank").collect()))
