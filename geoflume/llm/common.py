@@ -14,9 +14,11 @@ _MIX_B = np.uint64(0x94D049BB133111EB)
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; without one, a local folder of this session."""
+    """The folder named by spark.checkpoint.dir; without one, a local folder if the session is a local one, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="geoflume-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
@@ -30,6 +32,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop(*staged: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in staged:
+        jvm = df.sparkSession._jvm
+        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
