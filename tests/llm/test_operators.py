@@ -422,6 +422,46 @@ def test_warc_large_and_odd_payloads(spark, tmp_path):
     assert warc.read_chunks(spark, path).where("page_id = 2").count() > 3
 
 
+def plain_warc(data):
+    """(headers, block) of each record of a file of gzip members, one member per record, read with nothing of the library."""
+    out = []
+    while data:
+        z = zlib.decompressobj(31)
+        rec = z.decompress(data)
+        assert z.eof and rec.startswith(b"WARC/1.1\r\n")
+        data = z.unused_data
+        head, _, block = rec.partition(b"\r\n\r\n")
+        fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+        assert block.endswith(b"\r\n\r\n") and len(block) == int(fields["Content-Length"]) + 4
+        out.append((fields, block[:-4]))
+    return out
+
+
+def test_warc_files_stand_another_reader(spark, tmp_path):
+    big = "x" * 2_500_000
+    data = [(1, "http://a/", big), (2, "http://b/", big), (2, "http://b/", big), (3, "http://c/", "tiny"), (3, "http://c/", "tiny"), (3, "http://d/", None)]
+    warc.write_archives(spark.createDataFrame(data, "page_id long, url string, html string"), "file://" + str(tmp_path / "w"), "2020-01-02T03:04:05Z")
+    found = [r for f in sorted((tmp_path / "w").glob("*.warc.gz")) for r in plain_warc(f.read_bytes())]
+    ids = [f["WARC-Record-ID"] for f, _ in found]
+    assert len(set(ids)) == len(ids)
+    for f, _ in found:
+        assert f["WARC-Date"] == "2020-01-02T03:04:05Z" and (f["WARC-Type"] == "continuation") != ("Content-Type" in f)
+        assert f.get("WARC-Refers-To", ids[0]) in ids and f.get("WARC-Segment-Origin-ID", ids[0]) in ids
+    kinds = Counter((f["WARC-Type"], f["X-Page-Id"]) for f, _ in found)
+    assert kinds == {("response", "2"): 1, ("continuation", "2"): 2, ("revisit", "1"): 1, ("revisit", "2"): 1, ("response", "3"): 3}
+    parts = sorted((int(f["WARC-Segment-Number"]), b, f) for f, b in found if f.get("WARC-Segment-Number"))
+    assert b"".join(b for _, b, _ in parts).partition(b"\r\n\r\n")[2] == big.encode()
+    assert int(parts[-1][2]["WARC-Segment-Total-Length"]) == sum(len(b) for _, b, _ in parts)
+    got = warc.read_archives(spark, "file://" + str(tmp_path / "w")).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.record_type, r.refers_to) for r in got) == [(1, 2_500_000, "revisit", 2), (2, 2_500_000, "response", None), (2, 2_500_000, "revisit", 2), (3, 0, "response", None), (3, 4, "response", None), (3, 4, "response", None)]
+
+
+def test_warc_of_an_empty_table(spark, tmp_path):
+    path = "file://" + str(tmp_path / "w")
+    warc.write_archives(spark.createDataFrame([], "page_id long, url string, html string"), path)
+    assert warc.read_archives(spark, path).count() == 0
+
+
 def luhn(d):
     return sum(sum(divmod(int(c) * (1 + k % 2), 10)) for k, c in enumerate(reversed(d))) % 10 == 0
 
