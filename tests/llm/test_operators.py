@@ -548,6 +548,27 @@ def test_html_structure_and_templates(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def test_html_keeps_article_text_and_reads_odd_markup():
+    page = """<body><form action="/"><article><div class="entry-header"><h1>My title</h1></div><div class="article-header">Lede</div><svg class="icon"/>
+<p class="related-work">Related work</p><div id="search-methods">Methods<svg><title>x</title></svg></div><p>Let <math><mi>x</mi></math> be</p><object>shown</object><canvas><p>Body</article></form>
+<div class="comment-list">c</div><div id="cookie_notice">n</div><div class="site-footer">f</div><form><label>q</label>Find</form><iframe src="x"><p>After</body>"""
+    assert [x[2] for x in html_extract.tokens_of(page)[1]] == ["My title", "Lede", "Related work", "Methods", "Let x be", "shown", "Body", "After"]
+
+
+def test_html_template_of_made_hosts(spark):
+    """Names tell nothing here: what recurs is template text, except in articles; pages of one text count once."""
+    frame = "<body><div class=a>Shop of things</div><div class=b><span>Since 1999</span></div><div class=c>{}</div><div class=a>All rights</div></body>"
+    data = [(k, "http://two/", frame.format(f"<p>One {k}<p>Two {k}")) for k in range(2)]
+    data += [(10 + k, "http://art/", f"<div>Top</div><article><p>Our motto<p>Story {k}</article>") for k in range(5)]
+    data += [(20 + k, "http://same/", f"<!-- ad {k} --><div>Head</div><p>Same text<script>track({k})</script>") for k in range(5)]
+    data += [(30 + k, "http://moved/", f"<div>Top</div><ul>{'<li>x' * k}</ul>{'<p>' if k % 2 else '<ul><li>'}Strays{'</p>' if k % 2 else '</ul>'}<p>Text {k}") for k in range(4)]
+    data.append((40, "http://long/", "<p>" + "word " * 400_000))
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(data, "page_id long, url string, html string")).collect()}
+    assert [got[k] for k in (0, 1)] == ["One 0\n\nTwo 0", "One 1\n\nTwo 1"]
+    assert got[11] == "Our motto\n\nStory 1" and got[23] == "Head\n\nSame text"
+    assert "Strays" in got[32] and "Top" not in got[32] and len(got[40]) == 5 * 400_000 - 1
+
+
 def test_decontamination_finds_all_items(spark):
     docs, items = table_of("documents", "doc_id, text"), table_of("benchmark", "item_id, text")
     norm = lambda t: " ".join(re.findall(r"\w+", (t or "").lower()))
