@@ -20,10 +20,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geoflume.llm.common import mix64, stage, texts
+from geoflume.llm.common import stage, texts
 
 #: Tokens of a window; the share of an item's tokens that a document must hold in one chain of windows.
 WINDOW, COVERAGE = 8, 0.6
+#: Plain tokens that a window needs for its values to differ between item and document.
+MIN_PLAIN = 2
 #: Tokens by which a chain may shift from one of its runs to the next.
 SHIFT = 8
 #: Item windows up to which the windows are broadcast (16 MB); beyond, they are joined by shuffle.
@@ -36,14 +38,22 @@ _UNITS = frozenset(
 )
 #: Words that belong to the number before them.
 _SCALES = frozenset("hundred hundreds thousand thousands million millions billion billions trillion trillions dozen".split())
+#: Leading bits of a window's hash that a task looks up before the hash itself.
+FILTER_BITS = 22
+_SHIFT = np.uint64(64 - FILTER_BITS)
 _TOKEN = re.compile(r"[.!?\n:;|\"]|[$€£%°]|\d+(?:[.,:/]\d+)*|[^\W\d_]+(?:['’][^\W\d_]+)*")
-_NUM, _NAME, _UNIT = (np.uint64(x) for x in (11, 13, 17))
+_NUM, _NAME, _UNIT = (np.uint64(x) for x in (11, 13, 17))  # hashes of words are far above
 
 
-#: Hashes of plain words that one Python worker keeps; marks that end a sentence are 0.
+#: Hashes of words that one Python worker keeps: marks that end a sentence are 0, capitalised words are odd, others even.
 CACHE = 300_000
 _BREAKS = dict.fromkeys(".!?\n:;|\"", 0)
-_plain: dict[str, int] = dict(_BREAKS)
+_words: dict[str, int] = dict(_BREAKS)
+
+
+def _word_hash(w: str) -> int:
+    """The hash of a word in lower case, above those of placeholders and even."""
+    return xxhash.xxh3_64_intdigest(w.lower()) & ~1 | 1 << 63
 
 
 def canonical(text: str, plain: frozenset[str] | None = None) -> tuple[np.ndarray, list[str | None]]:
@@ -54,14 +64,13 @@ def canonical(text: str, plain: frozenset[str] | None = None) -> tuple[np.ndarra
     are mostly in upper case are shouting and have no names. A run of names, or
     of numbers and the words of scale after them, is one placeholder.
     """
-    if len(_plain) > CACHE:
-        _plain.clear()
-        _plain.update(_BREAKS)
+    if len(_words) > CACHE:
+        _words.clear()
+        _words.update(_BREAKS)
     toks = _TOKEN.findall(text)
-    hashes = list(map(_plain.get, toks))
+    hashes = list(map(_words.get, toks))
     slots: dict[int, str] = {}
-    caps: list[int] = []
-    for i in [i for i, h in enumerate(hashes) if h is None]:
+    for i in [i for i, h in enumerate(hashes) if h is None] if None in hashes else ():
         w = toks[i]
         if w[0].isdigit():
             hashes[i], slots[i] = int(_NUM), w
@@ -69,17 +78,16 @@ def canonical(text: str, plain: frozenset[str] | None = None) -> tuple[np.ndarra
             hashes[i], slots[i] = int(_UNIT), w.lower()
         elif w.lower() in _SCALES:
             number = i and hashes[i - 1] == int(_NUM)
-            hashes[i] = int(_NUM) if number else xxhash.xxh3_64_intdigest(w.lower())
+            hashes[i] = int(_NUM) if number else _word_hash(w)
             if number:
                 slots[i] = w.lower()
         else:
-            hashes[i] = xxhash.xxh3_64_intdigest(w.lower()) or 1
-            if w[0].isupper():
-                caps.append(i)
-            else:
-                _plain[w] = hashes[i]
+            hashes[i] = _words[w] = _word_hash(w) | w[0].isupper()
     h = np.array(hashes, np.uint64)
     word = np.flatnonzero(h)
+    caps = np.flatnonzero(h > np.uint64(1 << 63)) if len(h) else word
+    caps = caps[(h[caps] & np.uint64(1)) == 1].tolist()
+    h[caps] &= ~np.uint64(1)
     if sum(toks[i].isupper() and len(toks[i]) > 1 for i in caps) * 2 <= len(word):
         names = [i for i in caps if i and h[i - 1] or plain is not None and toks[i].lower() not in plain]
         slots |= {i: toks[i] for i in names}
@@ -108,16 +116,25 @@ def window_size(n: int, size: int) -> int:
     return n if n < size else min(size, max(3, int(n * (1 - COVERAGE))))
 
 
-def windows(h: np.ndarray, size: int) -> np.ndarray:
-    """Hash of every window of template tokens; a shorter text is one window."""
-    if not len(h):
-        return np.empty(0, np.uint64)
-    size = min(size, len(h))
-    s = np.full(len(h) - size + 1, np.uint64(size))
+def windows(h: np.ndarray, values: list[str | None], sizes: list[int]) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, hash of every window of so many template tokens) for each of the sizes, which rise; none where the text is shorter.
+
+    A window with fewer than MIN_PLAIN plain tokens says little about a question, so its values are part of its hash.
+    """
+    if not len(h) or not sizes:
+        return
+    plain = np.concatenate([[0], np.cumsum((h != _NUM) & (h != _NAME) & (h != _UNIT))])
+    s = np.full(len(h) + 1, np.uint64(1))
     with np.errstate(over="ignore"):
-        for i in range(size):
-            s = mix64(s * np.uint64(0x9E3779B97F4A7C15) + h[i : len(h) - size + 1 + i])
-    return s
+        for k in range(1, min(sizes[-1], len(h)) + 1):
+            s = s[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[k - 1 :]
+            if k in sizes:
+                out = s
+                few = np.flatnonzero(plain[k:] - plain[:-k] < MIN_PLAIN)
+                if len(few):
+                    out = s.copy()
+                    out[few] ^= np.array([xxhash.xxh3_64_intdigest("\0".join(v or "" for v in values[i : i + k]).lower()) | 1 for i in few.tolist()], np.uint64)
+                yield k, out
 
 
 _ITEM = "item_id long, w long, at int, size int, n int, slots array<string>"
@@ -136,8 +153,8 @@ def _item_rows(size: int, plain):
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
                 h, values = canonical(t.as_py().decode("utf-8", "replace"), plain.value)
                 k = window_size(len(h), size)
-                w = windows(h, k).view(np.int64).tolist()
-                out += ((i, x, at, k, len(h), values[at : at + k]) for at, x in enumerate(w) if i is not None)
+                for _, w in windows(h, values, [k] if i is not None else []):
+                    out += ((i, x, at, k, len(h), values[at : at + k]) for at, x in enumerate(w.view(np.int64).tolist()))
             kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 6, kinds)], ["item_id", "w", "at", "size", "n", "slots"])
 
@@ -149,17 +166,21 @@ def _doc_rows(sizes: list[int], held, plain):
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = None if held is None else held.value
+        if known is not None:
+            near = np.zeros(1 << FILTER_BITS, bool)
+            near[(known >> _SHIFT).astype(np.int64)] = True
         for b in batches:
             out: list[tuple] = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1)):
                 raw = t.as_py()
                 h, values = canonical(raw.decode("utf-8", "replace"), plain.value)
                 key = xxhash.xxh3_64_intdigest(raw) - (1 << 63)
-                for k in sizes:
-                    if len(h) < k:
-                        continue
-                    w = windows(h, k)
-                    hits = range(len(w)) if known is None else np.flatnonzero(np.take(known, np.searchsorted(known, w), mode="clip") == w) if len(known) else ()
+                for k, w in windows(h, values, sizes):
+                    if known is None:
+                        hits = range(len(w))
+                    else:
+                        hits = np.flatnonzero(near[w >> _SHIFT])
+                        hits = hits[np.take(known, np.searchsorted(known, w[hits]), mode="clip") == w[hits]] if len(known) else ()
                     out += ((i, key, int(w[p].view(np.int64)), int(p), values[p : p + k]) for p in hits)
                 if len(out) > 50_000:
                     yield _doc_batch(out)
@@ -257,7 +278,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverag
     row per pair of which the document holds `coverage` of the item's tokens
     in one chain of windows and whose slots map one to one in `consistency` of the
     places; reparameterised tells whether a value differs. Items shorter than
-    the window are one window. Null and blank texts and rows without an id of
+    the window are one window; where next to all of a window is placeholders, its values must be equal. Null and blank texts and rows without an id of
     an item match nothing; repeated rows give equal pairs once. On ties the
     more consistent chain counts. Empty tables give no rows.
     """
@@ -277,7 +298,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverag
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The rows of docs that match no benchmark item, with all their columns."""
-    found = matches(docs, benchmark, **options).select(F.col("doc_id").alias("__id")).distinct()
+    found = stage(matches(docs, benchmark, **options).select(F.col("doc_id").alias("__id")).distinct(), "bench-found")
     return docs.join(F.broadcast(found) if found.count() <= 100_000 else found, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left_anti")
 
 

@@ -569,6 +569,15 @@ def test_html_template_of_made_hosts(spark):
     assert "Strays" in got[32] and "Top" not in got[32] and len(got[40]) == 5 * 400_000 - 1
 
 
+def test_decontamination_of_short_items_and_long_texts(spark):
+    """Templates that are all placeholders match by value; a very long text is read to its end."""
+    items = [(1, "42"), (2, "7 8 9 10 11 12 13 14 15 16"), (3, "Tom runs"), (4, "How many apples does Tom have if he buys 3 more apples after lunch")]
+    docs = [(1, "there are 17 of them and 18 of us"), (2, "the answer is 42 here"), (3, "1 2 3 4 5 6 7 8 9 10 21 22 23"), (4, "see 7 8 9 10 11 12 13 14 15 16 there"), (5, "and Ann runs off"), (6, "so Tom runs off")]
+    docs += [(7, "word " * 300_000 + "how many apples does Ann have if she buys 9 more apples after lunch")]
+    got = decontaminate.matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.reparameterised) for r in got) == [(2, 1, False), (4, 2, False), (6, 3, False), (7, 4, True)]
+
+
 def test_decontamination_finds_all_items(spark):
     docs, items = table_of("documents", "doc_id, text"), table_of("benchmark", "item_id, text")
     norm = lambda t: " ".join(re.findall(r"\w+", (t or "").lower()))
