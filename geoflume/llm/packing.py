@@ -7,6 +7,7 @@ first bin with room is found in logarithmic time.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -19,8 +20,10 @@ from pyspark.sql import functions as F
 
 from geoflume.llm.common import texts
 
-#: Encoded chunks that one Python worker keeps.
-CACHE = 600_000
+#: Encoded chunks, and words, that one Python worker keeps in each of two generations.
+CACHE = 300_000
+#: Marks that may follow a word; an apostrophe isn't among them, as the vocabulary has endings that begin with one.
+_MARKS = '.,;:!?"*$%&#@()[]{}/\\|+=<>~^_-`'
 _state: dict = {}
 
 
@@ -61,6 +64,10 @@ def first_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np
     return bins, offsets
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 def _byte_letters() -> dict[int, int]:
     """Byte -> the letter that byte-level vocabularies write for it: itself if printable, else the next above 255."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -84,27 +91,40 @@ class Chunks(dict):
         self.letters = _byte_letters()
         self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def whole(self, s: str) -> bytes:
-        return np.array(self.tok.encode(s, add_special_tokens=False).ids, "<u4").tobytes()
+        return _packed(self.tok.encode(s, add_special_tokens=False).ids)
 
-    def __missing__(self, chunk: bytes) -> bytes:
-        s = chunk.decode("utf-8", "replace")
-        word = s.rstrip(".,;:!?")
-        if word.isalpha() and (word.isascii() or max(word) < "\u0180" and unicodedata.is_normalized("NFC", word)) and len(low := word.lower()) == len(word):
-            ids = self.words.get(low)
+    def word(self, low: str) -> bytes:
+        ids = self.words.get(low)
+        if ids is None:
+            ids = self.old_words.get(low)
             if ids is None:
-                made = self.tok.model.tokenize(low.encode().decode("latin-1").translate(self.letters))
-                ids = self.words[low] = np.array([t.id for t in made], "<u4").tobytes()
-            if len(word) < len(s):
-                marks = s[len(word) :]
-                ids += self.marks.get(marks) or self.marks.setdefault(marks, self.whole(marks))
-        else:
-            ids = self.whole(s)
-        if len(self) + len(self.words) > CACHE:
+                ids = _packed([t.id for t in self.tok.model.tokenize(low.encode().decode("latin-1").translate(self.letters))])
+            if len(self.words) > CACHE:
+                self.old_words, self.words = self.words, {}
+            self.words[low] = ids
+        return ids
+
+    def __missing__(self, chunk: bytes) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            s = chunk.decode("utf-8", "replace")
+            word = s.rstrip(_MARKS)
+            if word.isalpha() and (word.isascii() or max(word) < "\u0180" and unicodedata.is_normalized("NFC", word)) and len(low := word.lower()) == len(word):
+                ids = self.word(low)
+                if len(word) < len(s):
+                    marks = s[len(word) :]
+                    if len(self.marks) > CACHE:
+                        self.marks.clear()
+                    ids += self.marks.get(marks) or self.marks.setdefault(marks, self.whole(marks))
+            else:
+                ids = self.whole(s)
+        if len(self) > CACHE:
+            self.old = dict(self)
             self.clear()
-            self.words.clear()
-            self.marks.clear()
         self[chunk] = ids
         return ids
 
@@ -135,6 +155,11 @@ def _piece_rows(path: str, size: int, end_id: int):
     return rows
 
 
+def _pieces(docs: DataFrame, size: int) -> float:
+    """About as many pieces as docs will have, from the bytes of its texts, of which a token takes four or so."""
+    return docs.agg(F.sum(1 + F.floor(F.coalesce(F.octet_length(F.col("text").cast("binary")), F.lit(0)) / (4 * size)))).first()[0] or 0
+
+
 def pack(docs: DataFrame, vocabulary: str, size: int = 4096, end_id: int = 2, group_size: int = 4000, seed: int = 17) -> DataFrame:
     """Cut tokenised documents into pieces of at most size tokens and pack them into sequences.
 
@@ -145,8 +170,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 4096, end_id: int = 2, gr
     group_size pieces whatever the size of the input.
     """
     parts = texts(docs).mapInArrow(_piece_rows(vocabulary, size, end_id), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long")
-    rows = docs.count()
-    groups = max(1, round(rows / group_size))
+    groups = max(1, round(_pieces(docs, size) / group_size))
     parts = parts.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start", "doc_tokens", F.lit(seed)), F.lit(groups)))
 
     def pack_group(p: pd.DataFrame) -> pd.DataFrame:
