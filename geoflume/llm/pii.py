@@ -33,6 +33,11 @@ CONTEXT_CHARS, CONTEXT_WORDS = 120, 5
 THRESHOLD, SUPPORT = 0.9, 2
 _TRIM = ".,;:!?()[]{}\"'"
 _TRIM_BYTES = _TRIM.encode()
+#: A term has three characters at least and a letter; apostrophes and hyphens may join its parts.
+_TERM = re.compile(r"(?=.{3})(?=.*[^\W\d_])[^\W_]+(?:['’-][^\W_]+)*", re.S)
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+#: Documents with revealing terms up to which their terms are broadcast; beyond, they are joined by shuffle.
+BROADCAST_DOCS = 100_000
 
 
 def luhn(digits: str) -> bool:
@@ -77,8 +82,8 @@ def context_terms(t: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
     for k, s, e in spans:
         entity = _hash(f"{KINDS[k]}:{t[s:e].lower()}".encode())
         low, high = max(0, s - CONTEXT_CHARS), min(len(t), e + CONTEXT_CHARS)
-        before = [(m.start() + low, m.end() + low) for m in re.finditer(r"[^\x20\x09-\x0D]+", t[low:s])]
-        after = [(m.start() + e, m.end() + e) for m in re.finditer(r"[^\x20\x09-\x0D]+", t[e:high])]
+        before = [(m.start() + low, m.end() + low) for m in _WORD.finditer(t[low:s])]
+        after = [(m.start() + e, m.end() + e) for m in _WORD.finditer(t[e:high])]
         if before and before[0][0] == low and low and t[low - 1] not in " \t\n\x0b\x0c\r":
             before.pop(0)
         if after and after[-1][1] == high and high < len(t) and t[high] not in " \t\n\x0b\x0c\r":
@@ -88,7 +93,7 @@ def context_terms(t: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
             a = b - len(word)
             word = word.rstrip(_TRIM)
             b = a + len(word)
-            if len(word) >= 3 and word.isalpha() and not any(x < b and a < y for x, y in covered):
+            if _TERM.fullmatch(word) and not any(x < b and a < y for x, y in covered):
                 out.append((entity, _hash(word.encode().lower()), a, b))
     return out
 
@@ -96,22 +101,45 @@ def context_terms(t: str, spans: list[tuple[int, int, int]]) -> list[tuple[int,
 def _find_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     near = pa.list_(pa.struct([("e", pa.int64()), ("t", pa.int64()), ("start", pa.int64()), ("end", pa.int64())]))
     for b in batches:
-        keys, counts, base, shas, terms = [], [[] for _ in KINDS], [], [], []
+        counts, base, shas, terms = [[] for _ in KINDS], [], [], []
         for raw in b.column(1):
-            raw = raw.as_py()
-            t = raw.decode("utf-8", "replace")
+            t = raw.as_py().decode("utf-8", "replace")
             spans = base_spans(t)
             n = Counter(k for k, _, _ in spans)
             for k, c in enumerate(counts):
                 c.append(n[k])
             base.append(",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in spans))
             shas.append(hashlib.sha256(base[-1].encode()).hexdigest())
-            keys.append(_hash(raw))
             terms.append([dict(zip(("e", "t", "start", "end"), x)) for x in context_terms(t, spans)] if spans else [])
-        cols = [b.column(0), pa.array(keys, pa.int64()), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas, pa.string()), pa.array(base, pa.string()), pa.array(terms, near)]
+        cols = [b.column(0), b.column(2), *(pa.array(c, pa.int64()) for c in counts), pa.array(shas, pa.string()), pa.array(base, pa.string()), pa.array(terms, near)]
         yield pa.RecordBatch.from_arrays(cols, ["doc_id", "text_key", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "base", "near"])
 
 
+def _term_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, text, text_key, terms -> every place of the terms in the text that no base span covers."""
+    place = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+    for b in batches:
+        found = []
+        for raw, terms in zip(b.column(1), b.column(3).to_pylist()):
+            t, terms, out = raw.as_py().decode("utf-8", "replace"), set(terms), []
+            covered = sorted((s, e) for _, s, e in base_spans(t))
+            k, known = 0, {}
+            for m in _WORD.finditer(t):
+                word = m[0].lstrip(_TRIM)
+                start = m.end() - len(word)
+                word = word.rstrip(_TRIM)
+                if word not in known:
+                    known[word] = _hash(word.encode().lower()) in terms
+                if known[word]:
+                    end = start + len(word)
+                    while k < len(covered) and covered[k][1] <= start:
+                        k += 1
+                    if not any(s < end and start < e for s, e in covered[k:]):
+                        out.append({"start": start, "end": end})
+            found.append(out)
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(found, place)], ["r_id", "r_key", "terms"])
+
+
 _FOUND = "doc_id long, text_key long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, base string, near array<struct<e:long,t:long,start:long,end:long>>"
 #: Bits of the filter that keeps only words near entities in the corpus count: 2 MB whatever the input.
 FILTER_BITS = 1 << 24
@@ -148,12 +176,13 @@ def find(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT)
     """Personal data in every text of docs (doc_id, text; other columns are ignored).
 
     Returns a row per input row: doc_id, n_email, n_ip, n_card, n_phone,
-    base_sha256, spans (kind:start:end, comma-joined; revealing terms last, as
-    kind term) and text_key (a hash of the text). Null and blank texts have no
+    base_sha256, spans (kind:start:end, comma-joined; last, as kind term, every
+    place of a revealing term in a document with the entity that it reveals) and text_key (a hash of the text). Null and blank texts have no
     spans, repeated rows the same spans; a term that reveals several entities
     counts once. An empty table gives no rows.
     """
-    found = stage(texts(docs).mapInArrow(_find_rows, _FOUND), "pii-found")
+    t = texts(docs).withColumn("text_key", F.xxhash64("text"))
+    found = stage(t.mapInArrow(_find_rows, _FOUND), "pii-found")
     near = found.where(F.size("near") > 0).select("doc_id", "text_key", F.explode("near").alias("x")).select("doc_id", "text_key", "x.*")
     once = near.select("doc_id", "text_key", "e", "t").distinct()
     pairs = stage(once.groupBy("e", "t").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support), "pii-pairs")
@@ -164,8 +193,12 @@ def find(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPORT)
     # copies of a row are one document in n_et and n_e, so n_t may exceed them but never falls below
     share = F.log(F.col("n_et") * total / (F.col("n_e") * F.col("n_t"))) / F.log(F.lit(total) / F.col("n_e"))
     revealing = pairs.join(n_t, "t").join(entities, "e").where((F.col("n_e") < total) & (share >= threshold)).select("e", "t")
-    terms = near.join(revealing, ["e", "t"], "left_semi").groupBy("doc_id", "text_key").agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("terms"))
-    r = terms.select(F.col("doc_id").alias("r_id"), F.col("text_key").alias("r_key"), "terms")
+    # a term goes wherever it stands in a document that holds the entity it reveals
+    terms = near.select("doc_id", "text_key", "e").distinct().join(revealing, "e").groupBy("doc_id", "text_key").agg(F.collect_set("t").alias("terms"))
+    terms = stage(terms.select(F.col("doc_id").alias("h_id"), F.col("text_key").alias("h_key"), "terms"), "pii-terms")
+    holders = F.broadcast(terms) if terms.count() <= BROADCAST_DOCS else terms
+    held_by = t.join(holders, F.col("doc_id").eqNullSafe(F.col("h_id")) & (F.col("text_key") == F.col("h_key"))).select("doc_id", "text", "text_key", "terms")
+    r = held_by.mapInArrow(_term_rows, "r_id long, r_key long, terms array<struct<start:long,end:long>>").dropDuplicates(["r_id", "r_key"])
     out = found.join(r, F.col("doc_id").eqNullSafe(F.col("r_id")) & (F.col("text_key") == F.col("r_key")), "left")
     term_text = F.array_join(F.transform("terms", lambda x: F.concat(F.lit("term:"), x["start"].cast("string"), F.lit(":"), x["end"].cast("string"))), ",")
     spans = F.concat_ws(",", F.when(F.col("base") != "", F.col("base")), F.when(F.size("terms") > 0, term_text))
@@ -189,17 +222,13 @@ def sanitise(docs: DataFrame, threshold: float = THRESHOLD, support: int = SUPPO
     """docs with personal data and revealing terms in text replaced; all columns and rows stay."""
     spans = find(docs, threshold, support).where("spans <> ''").select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("spans").alias("__spans")).distinct()
 
-    @F.pandas_udf("long")
-    def key(raw):
-        return raw.map(_hash).astype("int64")
-
     @F.pandas_udf("string")
     def cut(text, spans):
         import pandas as pd
 
         return pd.Series([x if s is None or x is None else redact(x, s) for x, s in zip(text, spans)], dtype=object)
 
-    keyed = docs.withColumn("__k", key(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
+    keyed = docs.withColumn("__k", F.xxhash64(F.coalesce(F.col("text").cast("binary"), F.lit(b""))))
     j = keyed.join(spans, keyed["doc_id"].cast("long").eqNullSafe(spans["__id"]) & (keyed["__k"] == spans["__key"]), "left")
     return j.select(*[F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut("text", "__spans")).alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns])
 

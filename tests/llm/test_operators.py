@@ -508,6 +508,41 @@ def test_pii_revealing_terms(spark):
     assert pii.sanitise(df).columns == df.columns
 
 
+def test_pii_terms_go_wherever_they_stand(spark):
+    """Against a plain recount: terms near an entity, its information, and all places in the documents that hold it."""
+    rng = random.Random(4)
+    vocab = [f"w{k}x" for k in range(60)] + ["O'Brien", "Smith-Jones", "user84"]
+    docs = []
+    for i in range(120):
+        words = [rng.choice(vocab[:60]) for _ in range(40)]
+        if i % 6 == 0:
+            who = (i // 6) % 3
+            words[10:10] = [vocab[60 + who], f"u{who}@mail.org", "end."]
+            words += [vocab[60 + who] + ",", "tail"]
+        docs.append((i, " ".join(words)))
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    near, count, holds = defaultdict(set), Counter(), defaultdict(set)
+    for i, t in docs:
+        count.update({w.strip(".,").lower() for w in t.split()})
+        words = t.split()
+        for k, w in enumerate(words):
+            if "@" in w:
+                holds[w].add(i)
+                for x in words[max(0, k - 5) : k] + words[k + 1 : k + 6]:
+                    near[w, x.strip(".,").lower()].add(i)
+    reveal = defaultdict(set)
+    for (e, x), ids in near.items():
+        if len(ids) >= 2 and math.log(len(ids) * 120 / (len(holds[e]) * count[x])) / math.log(120 / len(holds[e])) >= 0.9:
+            for i in holds[e]:
+                reveal[i].add(x)
+    assert any(reveal.values())
+    got = {r.doc_id: r.spans for r in pii.find(df).collect()}
+    for i, t in docs:
+        want = [f"term:{m.start()}:{m.start() + len(m[0].rstrip('.,'))}" for m in re.finditer(r"\S+", t) if m[0].strip(".,").lower() in reveal[i]]
+        assert [x for x in got[i].split(",") if x.startswith("term")] == want
+    assert "O'Brien" not in {r.doc_id: r.text for r in pii.sanitise(df).collect()}[0]
+
+
 def test_pii_edge_cases(spark):
     df = spark.createDataFrame(EDGE, EDGE_SCHEMA)
     got = pii.find(df).collect()
