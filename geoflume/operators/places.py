@@ -7,18 +7,25 @@ from pyspark.sql import functions as F
 
 from geoflume.functions.cols import blank, c, grid_cell
 
-#: Levels that a place tree has at most.
-MAX_DEPTH = 8
-
-
-def closure(places: DataFrame, depth: int = MAX_DEPTH) -> DataFrame:
-    """(ancestor_id, descendant_id, depth, direct) of every place and itself: one join of the tree per level."""
-    edge = places.select(F.col("place_id").alias("child"), F.col("parent_place_id").alias("parent")).where(~blank("parent"))
-    out = step = places.select(F.col("place_id").alias("ancestor_id"), F.col("place_id").alias("descendant_id"), F.lit(0).alias("depth"))
-    for k in range(1, depth):
-        step = step.join(edge, step["ancestor_id"] == edge["child"]).select(F.col("parent").alias("ancestor_id"), "descendant_id", F.lit(k).alias("depth"))
-        out = out.union(step)
-    return out.withColumn("direct", F.col("depth") == 1)
+#: Levels after which a place tree is taken for a cycle, which is an error.
+MAX_LEVELS = 100
+#: Buckets over which the points of world-size places are dealt.
+BROAD = 64
+
+
+def closure(places: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
+    """(ancestor_id, descendant_id, depth, direct) of every place and itself, up to the root, whatever the depth; a cycle is an error."""
+    spark = places.sparkSession
+    spark.conf.set("spark.sql.cteRecursionRowLimit", "-1")  # the rows are bounded by places times depth
+    edge = places.select("place_id", F.col("parent_place_id").alias("parent")).where(~blank("place_id"))
+    return spark.sql(
+        f"""with recursive up(ancestor_id, descendant_id, depth) max recursion level {max_levels} as (
+            select place_id, place_id, 0 from {{edge}} union all
+            select e.parent, up.descendant_id, up.depth + 1 from up join {{edge}} e on e.place_id = up.ancestor_id
+            where trim(coalesce(e.parent, '')) <> '')
+        select ancestor_id, descendant_id, depth, depth = 1 as direct from up""",
+        edge=edge,
+    )
 
 
 def lineage(places: DataFrame) -> DataFrame:
@@ -101,15 +108,15 @@ def point_in_place(points: DataFrame, places: DataFrame, cell: float = 10.0) ->
     """The deepest place that holds each point (then smallest, then least id), by cell; the answers meet per point id.
 
     points: point_id, latitude, longitude. Places larger than `cell` times 36 on a
-    side (the world) would fill the grid, so they are one bucket of their own.
-    With a column `polygons` the box is only a first test.
+    side (the world) would fill the grid, so they are in BROAD buckets of their
+    own, each with all of them and a share of the points. With a column `polygons` the box is only a first test.
     """
     area = (F.col("max_lat") - F.col("min_lat")) * (F.col("max_lon") - F.col("min_lon"))
     pl = places.select("place_id", "admin_level", "min_lat", "min_lon", "max_lat", "max_lon", area.alias("area"), *(["polygons"] if "polygons" in places.columns else []))
     wide = F.col("max_lon") - F.col("min_lon") > 36 * cell / 2
     small = grid_cells(pl.where(~wide), cell)
-    big = pl.where(wide).withColumn("cell", F.lit("all"))
-    pts = points.select("point_id", "latitude", "longitude", F.explode(F.array(grid_cell("latitude", "longitude", cell), F.lit("all"))).alias("cell"))
+    big = pl.where(wide).withColumn("cell", F.explode(F.array(*[F.lit(f"all:{k}") for k in range(BROAD)])))
+    pts = points.select("point_id", "latitude", "longitude", F.explode(F.array(grid_cell("latitude", "longitude", cell), F.concat(F.lit("all:"), F.pmod(F.xxhash64("point_id"), F.lit(BROAD))))).alias("cell"))
     inside = F.col("latitude").between(F.col("min_lat"), F.col("max_lat")) & F.col("longitude").between(F.col("min_lon"), F.col("max_lon"))
     if "polygons" in places.columns:
         inside = inside & in_polygons("latitude", "longitude", "polygons")
@@ -133,7 +140,8 @@ def match_name(hints: DataFrame, places: DataFrame) -> DataFrame:
     score = F.lit(0.45)
     for k, g in gain:
         if k in hints.columns and k in places.columns:
-            score = score + F.when(~blank(h[k]) & (h[k] == names[k]), g).otherwise(0.0)
+            fold = F.lower if k == "country_code" else c
+            score = score + F.when(~blank(h[k]) & (fold(h[k]) == fold(names[k])), g).otherwise(0.0)
     j = h.join(names, h["nm"] == names["nm"]).select("hint_id", names["place_id"], names["admin_level"], F.least(score, F.lit(0.99)).alias("score"))
     best = F.max(F.struct(F.round("score", 6).alias("s"), F.col("admin_level").alias("l"))).over(Window.partitionBy("hint_id"))
     j = j.withColumn("b", best).where((F.round("score", 6) == F.col("b.s")) & (F.col("admin_level") == F.col("b.l")))

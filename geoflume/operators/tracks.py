@@ -30,17 +30,19 @@ def has_any(x, words) -> Column:
 def nearest_within(points: DataFrame, sites: DataFrame, km: float = AIRPORT_KM) -> DataFrame:
     """Nearest site of each low or grounded point within km: (point_id, site_id, site_place_id, distance_km), ties by id.
 
-    Points meet only the sites of their own and the adjoining grid cells. A
-    cell is as high as km; in longitude it is as wide as km is at 80 degrees, so
-    the neighbour cells cover the radius up to there.
+    Points meet only the sites of their own and the adjoining grid cells. A row
+    of cells is as high as km; its cells are at least as wide as km is at the
+    pole's side of the next row, and go round the globe.
     """
     size = km / 111.0
-    wide = size / 0.17
+    edge = lambda cy: F.least((F.greatest(F.abs(cy), F.abs(cy + 1)) + 1) * size, F.lit(90.0))
+    columns = lambda cy: F.greatest(F.floor(360 * F.cos(F.radians(edge(cy))) / (1.6 * size)), F.lit(1).cast("long"))
+    column = lambda lon, cy: F.pmod(F.floor((F.pmod(c(lon), F.lit(360.0))) / 360 * columns(cy)), columns(cy))
     low = F.coalesce(F.col("on_ground"), F.lit(False)) | F.coalesce(F.col("altitude_m") <= LOW_M, F.lit(False))
-    p = points.where(low & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select("point_id", "latitude", "longitude", F.floor(F.col("latitude") / size).alias("cy"), F.floor(F.col("longitude") / wide).alias("cx"))
-    around = F.explode(F.array(*[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x")) for y in (-1, 0, 1) for x in (-1, 0, 1)]))
-    s = sites.select(F.col("airport_id").alias("site_id"), F.col("place_id").alias("site_place_id"), F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"), around.alias("o"))
-    s = s.withColumn("cy", F.floor(F.col("s_lat") / size) + F.col("o.y")).withColumn("cx", F.floor(F.col("s_lon") / wide) + F.col("o.x")).drop("o")
+    p = points.where(low & F.col("latitude").isNotNull() & F.col("longitude").isNotNull()).select("point_id", "latitude", "longitude", F.floor(F.col("latitude") / size).alias("cy"))
+    p = p.withColumn("cx", column("longitude", F.col("cy")))
+    s = sites.select(F.col("airport_id").alias("site_id"), F.col("place_id").alias("site_place_id"), F.col("latitude").alias("s_lat"), F.col("longitude").alias("s_lon"), F.explode(F.array(*[F.floor(F.col("latitude") / size) + k for k in (-1, 0, 1)])).alias("cy"))
+    s = s.withColumn("cx", F.explode(F.array_distinct(F.array(*[F.pmod(column("s_lon", F.col("cy")) + k, columns(F.col("cy"))) for k in (-1, 0, 1)]))))
     j = p.join(s, ["cy", "cx"]).withColumn("d", haversine("latitude", "longitude", "s_lat", "s_lon")).where(F.col("d") <= km)
     return j.groupBy("point_id").agg(F.min(F.struct("d", "site_id", "site_place_id")).alias("b")).select("point_id", F.col("b.site_id").alias("site_id"), F.col("b.site_place_id").alias("site_place_id"), F.col("b.d").alias("distance_km"))
 
@@ -201,10 +203,12 @@ def military_likelihood(points: DataFrame, registry: DataFrame, segments: DataFr
 
 
 def proximity(points: DataFrame, flagged: DataFrame) -> DataFrame:
-    """Closeness to the nearest flagged entity: 1 at zero distance, 0 from 50 km on."""
+    """Closeness to the nearest flagged entity: 1 at zero distance, 0 from 50 km on and for entities that met none."""
     peers = points.join(flagged.select("entity_id").distinct(), "entity_id", "left_semi")
     g = min_distance(points, peers).groupBy("entity_id").agg(F.min(F.struct("distance_km", "peer_id")).alias("b"))
-    return g.select("entity_id", F.col("b.peer_id").alias("closest_peer_id"), round4("b.distance_km").alias("minimum_distance_km"), round4(clamp(1 - F.col("b.distance_km") / 50, 0, 1)).alias("metric_value"))
+    j = points.select("entity_id").distinct().join(g, "entity_id", "left")
+    score = F.coalesce(round4(clamp(1 - F.col("b.distance_km") / 50, 0, 1)), F.lit(0.0))
+    return j.select("entity_id", F.coalesce("b.peer_id", F.lit("")).alias("closest_peer_id"), F.coalesce(round4("b.distance_km"), F.lit(0.0)).alias("minimum_distance_km"), score.alias("metric_value"))
 
 
 def aircraft_entities(likelihood: DataFrame, metrics: DataFrame) -> DataFrame:
@@ -249,24 +253,33 @@ def islands(points: DataFrame, by: list[str], flag: str, order: str, step_s: flo
 
 
 def coverage_gaps(windows: DataFrame, by: list[str], start, end) -> DataFrame:
-    """Largest and mean uncovered hours of [start, end]: gaps before, between (by the running greatest end) and after the windows."""
+    """Largest and mean hours of the gaps of [start, end]: before, between (by the running greatest end) and after the windows.
+
+    The mean is over all gaps, also those of no length; a key without a window in [start, end] is one gap.
+    """
     s, e = F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")
     w = Window.partitionBy(*by).orderBy("starts_at", "ends_at")
     x = windows.withColumn("starts_at", F.greatest("starts_at", s)).withColumn("ends_at", F.least("ends_at", e)).where("starts_at <= ends_at")
     x = x.withColumn("__p", F.coalesce(F.max("ends_at").over(w.rowsBetween(Window.unboundedPreceding, -1)), s)).withColumn("__last", F.lead("starts_at").over(w).isNull()).withColumn("__max", F.max("ends_at").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    g = x.select(*by, F.explode(F.array(hours("__p", "starts_at"), F.when(F.col("__last"), hours("__max", e)))).alias("h")).where("h > 0")
-    keys = windows.select(*by).distinct()
-    return keys.join(g.groupBy(*by).agg(round4(F.max("h")).alias("largest_gap_hours"), round4(F.avg("h")).alias("mean_gap_hours"), F.count("*").alias("gaps")), by, "left").fillna(0)
+    g = x.select(*by, F.explode(F.array(hours("__p", "starts_at"), F.when(F.col("__last"), hours("__max", e)))).alias("h")).where("h is not null").withColumn("h", F.greatest("h", F.lit(0.0)))
+    g = g.groupBy(*by).agg(F.max("h").alias("most"), F.avg("h").alias("mean"), F.count("*").alias("n"))
+    whole = round4(hours(s, e))
+    j = windows.select(*by).distinct().join(g, by, "left")
+    return j.select(*by, F.coalesce(round4("most"), whole).alias("largest_gap_hours"), F.coalesce(round4("mean"), whole).alias("mean_gap_hours"), F.coalesce("n", F.lit(1).cast("long")).alias("gaps"))
 
 
 def place_intersections(points: DataFrame, circles: DataFrame, cell: float = 5.0) -> DataFrame:
-    """(point_id, place_id, distance_km) of points within radius_km of a place's centre, by grid cell."""
+    """(point_id, place_id, distance_km) of points within radius_km of a place's centre, by grid cells that go round the globe."""
+    around = -int(-360 // cell)
     deg = F.col("radius_km") / 111.0
     rows = F.explode(F.sequence(F.floor((F.col("latitude") - deg) / cell), F.floor((F.col("latitude") + deg) / cell)))
-    wide = F.least(deg / F.greatest(F.cos(F.radians(F.least(F.abs(F.col("latitude")) + deg, F.lit(89.0)))), F.lit(0.0175)), F.lit(180.0))
+    top = F.abs(F.col("latitude")) + deg
+    wide = F.when(top >= 89, 180.0).otherwise(F.least(deg / F.cos(F.radians(top)), F.lit(180.0)))
+    column = lambda lon: F.floor(F.pmod(lon, F.lit(360.0)) / cell)
     pl = circles.select("place_id", "radius_km", F.col("latitude").alias("p_lat"), F.col("longitude").alias("p_lon"), rows.alias("cy"), wide.alias("w"))
-    pl = pl.withColumn("cx", F.explode(F.sequence(F.floor((F.col("p_lon") - F.col("w")) / cell), F.floor((F.col("p_lon") + F.col("w")) / cell)))).drop("w")
-    p = points.select("point_id", "latitude", "longitude", F.floor(F.col("latitude") / cell).alias("cy"), F.floor(F.col("longitude") / cell).alias("cx"))
+    span = F.sequence(F.floor((F.col("p_lon") - F.col("w")) / cell) - 1, F.floor((F.col("p_lon") + F.col("w")) / cell) + 1)
+    pl = pl.withColumn("cx", F.explode(F.array_distinct(F.transform(span, lambda k: F.pmod(k, F.lit(around)))))).drop("w")
+    p = points.select("point_id", "latitude", "longitude", F.floor(F.col("latitude") / cell).alias("cy"), column(F.col("longitude")).alias("cx"))
     d = haversine("latitude", "longitude", "p_lat", "p_lon", 6378.137)
     return p.join(pl, ["cy", "cx"]).withColumn("distance_km", d).where("distance_km <= radius_km").select("point_id", "place_id", round4("distance_km").alias("distance_km"))
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 
 from geoflume.operators import discovery, metrics, packs, places, quality, serve, tracks, versions
-from geoflume.plans.queries import _CHAIN, NOW, _chain, _contributions, _logs, _snapshots, _windows, query, r4
+from geoflume.plans.queries import _CHAIN, NOW, PLACE_WINDOWS, _chain, _contributions, _logs, _snapshots, _windows, gaps_sql, query, r4
 from geoflume.sources import views
 from geoflume.sources.views import read_table
 
@@ -109,12 +109,12 @@ def _(s, d):
 # space
 
 
-@query("ref_107_overpass_density")
+@query("ref_107_overpass_density", f"select * from (with {PLACE_WINDOWS} select place_id, {r4('count(*) * 24.0::double / 720')} as metric_value, count(*) as pass_count, count(distinct satellite_id) as satellite_count from pw group by 1)", "points")
 def _(s, d):
     return packs.overpass_density(_windows(s, d), 720.0)
 
 
-@query("ref_108_revisit_capability")
+@query("ref_108_revisit_capability", f"select * from (with {PLACE_WINDOWS}, {gaps_sql('place_id', 'pw')} select place_id, {r4('least(100, greatest(0, (1 - max(largest_gap_hours) / 720) * 70 + least(count(distinct satellite_id) * 15.0::double, 30)))')} as metric_value from pw join gaps using (place_id) group by 1)", "points")
 def _(s, d):
     w = _windows(s, d)
     return packs.revisit_capability(w, tracks.coverage_gaps(w, ["place_id"], "2024-01-01", "2024-01-31"), 720.0)
@@ -526,6 +526,33 @@ def _(s, d):
     return jobs.current(s, f"{w}/latest")[0].select("user_id", "event_id", "event_type")
 
 
+@query("ref_70_ais_stream", "select 'mmsi:' || user_id as vessel_id, 'S' || arg_max(event_id, (ts, event_id)) as name from ev where event_id % 2 = 0 group by 1", "ev")
+def _(s, d):
+    """Raw messages made of the events, as files, through the stream: the newest name of each vessel."""
+    from geoflume.streaming import jobs
+
+    w = jobs.work_dir(s)
+    kind = F.when(F.col("event_id") % 2 == 0, "ShipStaticData").otherwise("PositionReport")
+    when = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS")
+    body = F.format_string('{"MessageType":"%s","MetaData":{"MMSI":%d,"ShipName":"S%d ","latitude":1.0,"longitude":2.0,"time_utc":"%s +0000 UTC"},"Message":{"%s":{}}}', kind, "user_id", "event_id", when, kind)
+    views._events(s, d).select(F.col("event_id").cast("string").alias("raw_id"), F.concat(F.lit("["), body, F.lit("]")).alias("body"), F.col("ts").alias("fetched_at")).write.parquet(f"{w}/in")
+    for q in jobs.start_ais_stream(s, f"{w}/in", f"{w}/entities", f"{w}/points", f"{w}/chk", {"availableNow": True}):
+        q.awaitTermination()
+    return jobs.current(s, f"{w}/entities")[0].select("vessel_id", "name")
+
+
+@query("ref_72_stream_dedup", "select event_id, user_id from events")
+def _(s, d):
+    """Every event is delivered twice and kept once."""
+    from geoflume.streaming import jobs
+
+    w = jobs.work_dir(s)
+    twice = views.events_stream(s, d).select("event_id", "user_id", "ts", F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
+    q = jobs.stream_dedup(twice, ["event_id"], "ts").select("event_id", "user_id").writeStream.format("parquet").option("path", f"{w}/out").option("checkpointLocation", f"{w}/chk")
+    q.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    return s.read.schema("event_id long, user_id long").parquet(f"{w}/out")
+
+
 @query("ref_73_stream_metric_state", _chain(f"select metric_id, subject_grain, subject_id, window_grain, window_start, n, {r4('value_sum')} as value_sum from state where metric_id not in ('entity_count_approx', 'source_count_approx')"), "records")
 def _(s, d):
     from geoflume.streaming import jobs

@@ -9,6 +9,7 @@ from geoflume.functions import cols
 from geoflume.operators import discovery, metrics, packs, places, promote, quality, serve, tracks, versions
 from geoflume.sources import ingest, views
 from geoflume.sources.views import read_table, with_views
+from geoflume.streaming.jobs import work_dir
 
 NOW = "2024-01-20 00:00:00"
 QUERIES: dict = {}
@@ -42,6 +43,33 @@ def _(s: SparkSession, d: str) -> DataFrame:
     return read_table(s, d, "supplier").where("s_acctbal > 5000").select("s_suppkey", "s_name", "s_acctbal")
 
 
+@query("ref_02_load_staged_csv", "select s_suppkey, s_name, 'feed' as loaded_from, timestamp '2024-01-20 00:00:00' as loaded_at from supplier")
+def _(s, d):
+    """The table goes out as CSV files and comes back through the loader."""
+    path = work_dir(s)
+    read_table(s, d, "supplier").select("s_suppkey", "s_name").write.csv(path, header=True)
+    return ingest.load_staged_csv(s, path, "s_suppkey long, s_name string", "feed", NOW)
+
+
+@query("ref_09_write_table", "select o_orderkey, o_orderstatus, case when o_orderstatus = 'F' then 'again' else o_orderpriority end as note from orders")
+def _(s, d):
+    """A full write, then one part of it replaced twice: its rows are there once."""
+    path, o = work_dir(s), read_table(s, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("note"), "o_orderstatus")
+    ingest.write_table(o, path, "overwrite", ["o_orderstatus"])
+    for _ in range(2):
+        ingest.write_table(o.where("o_orderstatus = 'F'").withColumn("note", F.lit("again")), path, "overwrite", ["o_orderstatus"])
+    return s.read.schema(o.schema).parquet(path)
+
+
+@query("ref_10_stage_then_publish", "select event_id, user_id from events")
+def _(s, d):
+    """Two batches published one after the other; what was staged is what arrives."""
+    path, e = work_dir(s), read_table(s, d, "events").select("event_id", "user_id")
+    for k in (0, 1):
+        ingest.stage_then_publish(e.where(F.col("event_id") % 2 == k), f"{path}/staging", f"{path}/target")
+    return s.read.schema(e.schema).parquet(f"{path}/target")
+
+
 _SNIFF = "case page_id % 7 when 0 then html when 1 then ' {\"id\": ' || page_id || '}' when 2 then 'a,b\n1,2' when 3 then '<?xml version=\"1.0\"?><rss></rss>' when 4 then 'a' || chr(9) || 'b' when 5 then '<feed></feed>' else 'plain' end"
 
 
@@ -595,23 +623,41 @@ def _(s, d):
     return tracks.diversions(seg, gap)
 
 
+def _number(x):
+    return F.substring(x, 5, 20).cast("long")
+
+
 def _registry_of(s, d):
-    return views.points(s, d).select("entity_id").distinct().select("entity_id", F.when(F.crc32("entity_id") % 4 == 0, "Royal Air Force").when(F.crc32("entity_id") % 4 == 1, "Blue Airlines Inc").otherwise("").alias("registrant_name"), F.when(F.crc32("entity_id") % 8 == 2, "Government").otherwise("").alias("registrant_type"))
+    return views.points(s, d).select("entity_id").distinct().select("entity_id", F.when(_number("entity_id") % 4 == 0, "Royal Air Force").when(_number("entity_id") % 4 == 1, "Blue Airlines Inc").otherwise("").alias("registrant_name"), F.when(_number("entity_id") % 8 == 2, "Government").otherwise("").alias("registrant_type"))
 
 
-@query("ref_88_military_likelihood")
+_MIL = f"""lk as (select entity_id, callsign, coalesce(visits, 0) as visits, strong, case when civil then case when strong then raw - 0.25 else least(raw - 0.25, 0.45) end else raw end as score from (
+        select q.*, visits, u % 4 = 0 or u % 8 = 2 as strong, u % 4 = 1 as civil, case when u % 4 = 0 or u % 8 = 2 then 0.65::double else 0 end + case when callsign like 'RCH%' then 0.2::double else 0 end + least(coalesce(visits, 0) * 0.1::double, 0.2::double) + case when fast then 0.05::double else 0 end as raw
+        from (select entity_id, cast(substr(entity_id, 5) as bigint) as u, coalesce(arg_max(callsign, (observed_at, callsign)) filter (callsign <> ''), '') as callsign, max(category in (7, 8)) as fast from points group by 1) q
+        left join (select entity_id, count(*) as visits from (select entity_id, from_airport_id as x from sa union all select entity_id, to_airport_id from sa) join airports on airport_id = x where use in ('military', 'joint_use') group by 1) using (entity_id))),
+    ml as (select entity_id, callsign, visits, strong, {r4("least(1, greatest(0, score))")} as metric_value from lk),
+    mi as (select entity_id, callsign, visits, metric_value, case when strong and metric_value >= 0.85 then 'likely_military' when strong and metric_value >= 0.55 then 'possible_military' else 'unknown' end as status from ml)"""
+
+
+@query("ref_88_military_likelihood", f"select * from (with {_AIR}, {_MIL} select * from mi)", "points", "airports")
 def _(s, d):
     p, a, seg, _g = _air(s, d)
     return tracks.military_likelihood(p, _registry_of(s, d), seg, a)
 
 
-@query("ref_94_proximity", f"select * from (with pr as (select a.entity_id, b.entity_id as peer_id, min({hav('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')}) as dk from points a join points b on a.entity_id <> b.entity_id and abs(epoch_ms(a.observed_at) - epoch_ms(b.observed_at)) <= 300000 and b.entity_id in (select entity_id from points where category in (7, 8)) group by 1, 2) select entity_id, {r4('min(dk)')} as minimum_distance_km, {r4('least(1, greatest(0, 1 - min(dk) / 50))')} as metric_value from pr group by 1)", "points")
+@query("ref_94_proximity", f"select * from (with pr as (select a.entity_id, b.entity_id as peer_id, min({hav('a.latitude', 'a.longitude', 'b.latitude', 'b.longitude')}) as dk from points a join points b on a.entity_id <> b.entity_id and abs(epoch_ms(a.observed_at) - epoch_ms(b.observed_at)) <= 300000 and b.entity_id in (select entity_id from points where category in (7, 8)) group by 1, 2) select entity_id, coalesce({r4('min(dk)')}, 0) as minimum_distance_km, coalesce({r4('least(1, greatest(0, 1 - min(dk) / 50))')}, 0) as metric_value from (select distinct entity_id from points) left join pr using (entity_id) group by 1)", "points")
 def _(s, d):
     p = views.points(s, d)
     return tracks.proximity(p, p.where("category in (7, 8)")).drop("closest_peer_id")
 
 
-@query("ref_95_aircraft_entities")
+@query(
+    "ref_95_aircraft_entities",
+    f"""select * from (with {_AIR}, {_MIL}, mm as (select entity_id, 'altitude_variance_score' as metric_id, {r4("least(1, greatest(0, coalesce(stddev_pop(altitude_m), 0) / 3000))")} as metric_value from points group by 1
+        union all select entity_id, 'transponder_gap_hours', {r4("sum(gap_hours)")} from gp group by 1)
+    select entity_id, metric_id, mm.metric_value, row_number() over (partition by metric_id order by mm.metric_value desc, entity_id) as rank, case when mi.metric_value >= 0.8 then 'high' when mi.metric_value >= 0.45 then 'medium' else 'low' end as risk_band, status from mm join mi using (entity_id))""",
+    "points", "airports",
+)
 def _(s, d):
     p, a, seg, gap = _air(s, d)
     m = tracks.altitude_variance(p).select("entity_id", F.lit("altitude_variance_score").alias("metric_id"), "metric_value").union(tracks.transponder_gap_hours(gap).select("entity_id", F.lit("transponder_gap_hours"), "metric_value"))
@@ -629,7 +675,7 @@ def _(s, d):
 
 
 def _windows(s, d):
-    w = tracks.islands(views.points(s, d).withColumn("place_id", F.concat(F.lit("plc:"), F.crc32("track_id") % 20)).withColumn("satellite_id", F.col("track_id")), ["place_id", "satellite_id"], "on_ground", "observed_at")
+    w = tracks.islands(views.points(s, d).withColumn("place_id", F.concat(F.lit("plc:"), _number("track_id") % 20)).withColumn("satellite_id", F.col("track_id")), ["place_id", "satellite_id"], "on_ground", "observed_at")
     return w
 
 
@@ -637,14 +683,18 @@ _WQ = """ws as (select *, row_number() over (partition by track_id order by obse
     wins as (select track_id, min(observed_at) as starts_at, max(observed_at) as ends_at from wy group by track_id, g)"""
 
 
-@query(
-    "ref_57_coverage_gaps",
-    f"""select * from (with {_WQ}, z as (select *, coalesce(max(ends_at) over (partition by track_id order by starts_at, ends_at rows between unbounded preceding and 1 preceding), timestamp '2024-01-01') as p, lead(starts_at) over (partition by track_id order by starts_at, ends_at) is null as l, max(ends_at) over (partition by track_id) as m
-    from (select track_id, greatest(starts_at, timestamp '2024-01-01') as starts_at, least(ends_at, timestamp '2024-01-31') as ends_at from wins) where starts_at <= ends_at),
-    h as (select track_id, (epoch_ms(starts_at) - epoch_ms(p)) / 3600000.0::double as h from z union all select track_id, (epoch_ms(timestamp '2024-01-31') - epoch_ms(m)) / 3600000.0::double from z where l)
-    select track_id, coalesce({r4("max(h)")}, 0) as largest_gap_hours, coalesce({r4("avg(h)")}, 0) as mean_gap_hours, count(h) as gaps from (select distinct track_id from wins) left join (select * from h where h > 0) using (track_id) group by 1)""",
-    "points",
-)
+def gaps_sql(k: str, wins: str) -> str:
+    """Gaps of January 2024 by key k of the windows, as common table expressions gz, gh and gaps."""
+    return f"""gz as (select *, coalesce(max(ends_at) over (partition by {k} order by starts_at, ends_at rows between unbounded preceding and 1 preceding), timestamp '2024-01-01') as p, lead(starts_at) over (partition by {k} order by starts_at, ends_at) is null as l, max(ends_at) over (partition by {k}) as m
+        from (select {k}, greatest(starts_at, timestamp '2024-01-01') as starts_at, least(ends_at, timestamp '2024-01-31') as ends_at from {wins}) where starts_at <= ends_at),
+    gh as (select {k}, (epoch_ms(starts_at) - epoch_ms(p)) / 3600000.0::double as h from gz union all select {k}, (epoch_ms(timestamp '2024-01-31') - epoch_ms(m)) / 3600000.0::double from gz where l),
+    gaps as (select {k}, coalesce({r4("max(greatest(h, 0))")}, 720) as largest_gap_hours, coalesce({r4("avg(greatest(h, 0))")}, 720) as mean_gap_hours, greatest(count(h), 1) as gaps from (select distinct {k} from {wins}) left join gh using ({k}) group by 1)"""
+
+
+PLACE_WINDOWS = f"""{_WQ}, pw as (select 'plc:' || (cast(substr(track_id, 5) as bigint) % 20) as place_id, track_id as satellite_id, starts_at, ends_at from wins)"""
+
+
+@query("ref_57_coverage_gaps", f"select * from (with {_WQ}, {gaps_sql('track_id', 'wins')} select * from gaps)", "points")
 def _(s, d):
     w = tracks.islands(views.points(s, d), ["track_id"], "on_ground", "observed_at")
     return tracks.coverage_gaps(w, ["track_id"], "2024-01-01", "2024-01-31")

@@ -1,6 +1,7 @@
 """Operators with known results: small tables, replays, merges, and streams against batches."""
 
 import math
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -199,3 +200,48 @@ def test_knn_batch_takes_more_seeds_than_a_block(spark):
     assert len(got) == 1200 and all(abs(a - b) == 1 for a, b in got.items())
     few = seeds.where("seed_id < 50")
     assert set(map(tuple, serve.knn_batch(emb, few, 3, block=7).select("seed_id", "entity_id", "rank").collect())) == set(map(tuple, serve.knn_batch(emb, few, 3).select("seed_id", "entity_id", "rank").collect()))
+
+
+def test_closure_walks_to_the_root_and_names_cycles(spark):
+    tree = spark.createDataFrame([(f"p{k}", f"p{k - 1}" if k else "") for k in range(12)], "place_id string, parent_place_id string")
+    got = places.closure(tree).collect()
+    assert len(got) == 78 and {(r.ancestor_id, r.depth) for r in got if r.descendant_id == "p11"} == {(f"p{k}", 11 - k) for k in range(12)}
+    loop = spark.createDataFrame([("a", "b"), ("b", "a")], "place_id string, parent_place_id string")
+    with pytest.raises(Exception, match="RECURSION"):
+        places.closure(loop, 15).count()
+
+
+def test_nearest_over_the_date_line_and_near_the_pole(spark):
+    p = spark.createDataFrame([(0, 10.0, 179.99, True), (1, 85.0, 1.0, True), (2, 89.9, 100.0, True), (3, -85.0, -179.9, True), (4, 10.0, 170.0, True)], "point_id long, latitude double, longitude double, on_ground boolean").withColumn("altitude_m", F.lit(0.0))
+    a = spark.createDataFrame([("a0", 10.0, -179.99), ("a1", 85.0, -1.0), ("a2", 89.9, -80.0), ("a3", -85.0, 179.9)], "airport_id string, latitude double, longitude double").withColumn("place_id", F.col("airport_id"))
+    assert {r.point_id: r.site_id for r in tracks.nearest_within(p, a).collect()} == {0: "a0", 1: "a1", 2: "a2", 3: "a3"}
+    rng = random.Random(2)
+    pts = [(i, rng.choice([rng.uniform(-90, 90), rng.uniform(84, 90)]), rng.uniform(-180, 180)) for i in range(300)]
+    circles = [(f"c{k}", rng.uniform(-90, 90), rng.choice([180.0, -180.0, rng.uniform(-180, 180)]), rng.choice([200.0, 900.0, 2500.0])) for k in range(25)]
+
+    def km(a, b, x, y):
+        h = math.sin(math.radians(x - a) / 2) ** 2 + math.cos(math.radians(a)) * math.cos(math.radians(x)) * math.sin(math.radians(y - b) / 2) ** 2
+        return 2 * 6378.137 * math.atan2(math.sqrt(h), math.sqrt(max(0, 1 - h)))
+
+    got = tracks.place_intersections(spark.createDataFrame(pts, "point_id long, latitude double, longitude double"), spark.createDataFrame(circles, "place_id string, latitude double, longitude double, radius_km double")).collect()
+    assert sorted((r.point_id, r.place_id) for r in got) == sorted((i, c) for i, a, b in pts for c, x, y, r in circles if km(a, b, x, y) <= r)
+
+
+def test_coverage_gaps_count_all_gaps_and_unseen_keys(spark):
+    w = spark.createDataFrame([("a", "2024-01-01", "2024-01-11"), ("b", "2023-01-01", "2023-02-01"), ("c", "2024-01-06", "2024-01-06"), ("c", "2024-01-02", "2024-01-08"), ("c", "2024-01-20", "2024-02-20")], "k string, s string, e string")
+    w = w.select("k", F.col("s").cast("timestamp").alias("starts_at"), F.col("e").cast("timestamp").alias("ends_at"))
+    got = {r.k: (r.largest_gap_hours, r.mean_gap_hours, r.gaps) for r in tracks.coverage_gaps(w, ["k"], "2024-01-01", "2024-01-31").collect()}
+    assert got == {"a": (480.0, 240.0, 2), "b": (720.0, 720.0, 1), "c": (288.0, 78.0, 4)}
+
+
+def test_name_match_folds_the_country(spark):
+    p = spark.createDataFrame([("x", "Paris", [], "FR", 2), ("y", "Paris", [], "US", 2)], "place_id string, canonical_name string, alternate_names array<string>, country_code string, admin_level int")
+    got = places.match_name(spark.createDataFrame([(1, "paris", "us")], "hint_id long, name string, country_code string"), p).collect()
+    assert [(r.place_id, r.confidence) for r in got] == [("y", 0.7)]
+
+
+def test_proximity_of_entities_without_a_peer(spark):
+    t = "2024-01-01 00:00:00"
+    p = spark.createDataFrame([("a", t, 1.0, 1.0, 7), ("b", t, 1.0, 1.1, 0), ("c", "2024-01-02 00:00:00", 1.0, 1.0, 0)], "entity_id string, t string, latitude double, longitude double, category int").withColumn("observed_at", F.col("t").cast("timestamp"))
+    got = {r.entity_id: (r.closest_peer_id, r.metric_value > 0) for r in tracks.proximity(p, p.where("category = 7")).collect()}
+    assert got == {"a": ("", False), "b": ("a", True), "c": ("", False)}
