@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from geoflume.llm.common import connected_components, drop, mix64, stage, texts, words_of
 
 #: Members of a bucket that are compared in one group; a larger one is split into parts of about this size.
-PART = 1024
+PART = 2048
 #: Documents up to which a list of ids is broadcast (8 bytes each); beyond, it is joined by shuffle.
 BROADCAST_IDS = 500_000
 #: Signatures that a task sorts at once.
@@ -254,7 +254,7 @@ def _batches(rows: Iterator[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatc
 
 _ROW = ["bucket", "part", "cls", "n", "sk"]
 _PARTNER = pa.schema([("bucket", pa.int64()), ("cls", pa.int64()), ("near", pa.int64())])
-_NAMED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
+_NAMED = pa.schema([("bucket", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("more", pa.bool_())])
 
 
 def _partner_rows(num: int, den: int):
@@ -291,7 +291,7 @@ def _partner_rows(num: int, den: int):
 def _named_rows(num: int, den: int, most: int):
     """bucket, i, j, part, cls, label, n, sk; sorted -> pairs of members in different components that may be linked.
 
-    A member names `most` partners of each other component at most; `more` tells that it has others.
+    A member outside the bucket's commonest component names `most` partners of each other component at most; `more` tells that it has others.
     """
 
     def pairs(group: list[tuple]) -> Iterator[tuple]:
@@ -310,12 +310,17 @@ def _named_rows(num: int, den: int, most: int):
         may &= label[left][:, None] != label[right][None]
         if group[0][1] == group[0][2]:
             may &= left[:, None] < right[None]
-        for x in np.flatnonzero(may.any(1)):
-            hit = right[may[x]]
-            for k in np.unique(label[hit]).tolist():
-                named = hit[label[hit] == k]
-                for y in named[:most].tolist():
-                    yield *sorted((int(ids[left[x]]), int(ids[y]))), len(named) > most
+        out: dict[tuple[int, int], bool] = {}
+        for own, other, hits in ((left, right, may), (right, left, may.T)):
+            for x in np.flatnonzero(hits.any(1) & (label[own] != kinds[times.argmax()])):
+                hit = other[hits[x]]
+                for k in np.unique(label[hit]).tolist():
+                    named = hit[label[hit] == k]
+                    for y in named[:most].tolist():
+                        pair = min(ids[own[x]], ids[y]), max(ids[own[x]], ids[y])
+                        out[pair] = out.get(pair, False) or len(named) > most
+        for (a, b), more in out.items():
+            yield group[0][0], int(a), int(b), more
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _batches((x for g in _groups(batches, 3) for x in pairs(g)), _NAMED)
@@ -366,32 +371,29 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) ->
 
     first = close.where("near is not null").groupBy("cls").agg(F.min("near").alias("near"))
     tested = verified(first.select(F.least("cls", "near").alias("a"), F.greatest("cls", "near").alias("b")).distinct())
-    parts, most, staged = None, 1, [tested]
+    most, left = 4, close.select("bucket", "cls").distinct()
     while True:
-        if parts is None:
-            parts = connected_components(tested.where("linked"))
-            labels = parts.select(F.col("id").alias("cls"), F.col("component_id").alias("label"))
-            left = close.select("bucket", "cls").distinct().join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-            mixed = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-            left = stage(left.join(mixed, "bucket", "left_semi"), "ngram-left")
-            if left.isEmpty():
-                break
-        x = left.join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long"))).withColumn("part", own)
+        parts = connected_components(tested.where("linked"))
+        labels = parts.select(F.col("id").alias("cls"), F.col("component_id").alias("label"))
+        left = left.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        mixed = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
+        x = left.join(mixed, "bucket", "left_semi").join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long"))).withColumn("part", own)
         x = x.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(info, "cls")
         x = x.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cls", "label", "n", "sk")
         x = x.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cls")
-        named = stage(x.mapInArrow(_named_rows(num, den, most), "a long, b long, more boolean").groupBy("a", "b").agg(F.max("more").alias("more")), "ngram-named")
-        new = stage(named.join(tested.select("a", "b"), ["a", "b"], "left_anti").select("a", "b"), "ngram-new")
-        if not new.isEmpty():
-            staged.append(verified(new))
-            tested = tested.union(staged[-1])
-            if not staged[-1].where("linked").isEmpty():
-                parts = None
-        if parts is not None and named.where("more").isEmpty():
+        named = stage(x.mapInArrow(_named_rows(num, den, most), "bucket long, a long, b long, more boolean"), "ngram-named")
+        new = named.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        last = verified(new)
+        tested = tested.union(last)
+        again = named.where("more")
+        if again.isEmpty():
             break
-        drop(named, new)
-        most *= 16
-    drop(close, shingled, wanted, left)
+        # a bucket whose members named all their partners in other components has no untested pair, now or later
+        left = left.select("bucket", "cls").join(again.select("bucket").distinct(), "bucket", "left_semi")
+        most *= 64
+    if not last.where("linked").isEmpty():
+        parts = connected_components(tested.where("linked"))
+    drop(close, shingled, wanted)
     key = F.when(F.col("doc_id").isNotNull(), F.coalesce("cls", "doc_id")).alias("class_id")
     member = sets.select("doc_id", "n_shingles", "h1", "h2").join(classes.select("h1", "h2", "cls"), ["h1", "h2"], "left").select("doc_id", "n_shingles", key)
     parts = parts.select(F.col("id").alias("class_id"), F.col("component_id"))
