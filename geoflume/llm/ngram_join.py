@@ -10,7 +10,7 @@ linkable sets share a signature.
 
 Copies are collapsed before the join, and a task sends a signature once,
 whatever number of its sets have it. Signatures with the same first and last
-holder make one bucket. Within a bucket, parity sketches tell which sets can't
+holder, or the same first holder and as many to a power of two, make one bucket. Within a bucket, parity sketches tell which sets can't
 be linked; of the others each set names one partner first, and only sets that
 are still in different components after that name more. Named pairs are
 compared exactly.
@@ -33,6 +33,8 @@ from geoflume.llm.common import connected_components, drop, mix64, stage, texts,
 PART = 2048
 #: Documents up to which a list of ids is broadcast (8 bytes each); beyond, it is joined by shuffle.
 BROADCAST_IDS = 500_000
+#: Holders of a signature beyond which its bucket is that of its first holder and their magnitude.
+SOME = 32
 #: Signatures that a task sorts at once.
 FLUSH = 1_000_000
 _K = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
@@ -132,8 +134,11 @@ def _signature_batch(sigs: list[np.ndarray], sets: list[int]) -> pa.RecordBatch:
     end = np.concatenate([start[1:], [len(sig)]])
     first, last = holder[start], holder[end - 1]
     many = np.flatnonzero(first != last)
+    size = end - start
+    # groups of some size often lack a member or two: the first one and the magnitude stand for them
+    other = np.where(size[many] > SOME, np.log2(size[many]).astype(np.int64), last[many])
     with np.errstate(over="ignore"):
-        group = mix64(mix64(first[many].view(np.uint64) + _K[0]) ^ last[many].view(np.uint64)).view(np.int64)
+        group = mix64(mix64(first[many].view(np.uint64) + _K[0]) ^ other.view(np.uint64)).view(np.int64)
     holds = first.copy()
     holds[many] = group
     members: list[np.ndarray | None] = [None] * len(start)
@@ -142,7 +147,7 @@ def _signature_batch(sigs: list[np.ndarray], sets: list[int]) -> pa.RecordBatch:
     for s, e in zip(cut, np.concatenate([cut[1:], [len(order)]]).tolist() if len(order) else ()):
         of = many[order[s:e]]
         members[of[0]] = np.unique(np.concatenate([holder[start[i] : end[i]] for i in of]))
-    return pa.RecordBatch.from_arrays([pa.array(sig[start]), pa.array(holds), pa.array(members, pa.list_(pa.int64())), pa.array(first != last)], ["sig", "grp", "members", "many"])
+    return pa.RecordBatch.from_arrays([pa.array(sig[start]), pa.array(holds), pa.array(members, pa.list_(pa.int64())), pa.array(first), pa.array(size, pa.int32())], ["sig", "grp", "members", "first", "size"])
 
 
 def _signature_rows(n: int, num: int, den: int):
@@ -343,9 +348,11 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) ->
     classes = stage(full.groupBy("h1", "h2").agg(F.min("doc_id").alias("cls"), F.first("n_shingles").alias("n"), F.first("sk").alias("sk")), "ngram-classes")
 
     w = Window.partitionBy("sig")
-    sigs = t.mapInArrow(_signature_rows(n, num, den), "sig long, grp long, members array<long>, many boolean")
-    sigs = sigs.withColumn("lo", F.min("grp").over(w)).withColumn("hi", F.max("grp").over(w)).where("lo < hi or many")
-    shared = stage(sigs.select(F.xxhash64("lo", "hi").alias("bucket"), "grp", "members"), "ngram-shared")
+    sigs = t.mapInArrow(_signature_rows(n, num, den), "sig long, grp long, members array<long>, first long, size int")
+    sigs = sigs.withColumn("lo", F.min("grp").over(w)).withColumn("hi", F.max("grp").over(w)).where("lo < hi or size > 1")
+    sigs = sigs.withColumn("m", F.sum("size").over(w)).withColumn("least", F.min("first").over(w))
+    bucket = F.when(F.col("m") > SOME, F.xxhash64("least", F.floor(F.log2("m")))).otherwise(F.xxhash64("lo", "hi"))
+    shared = stage(sigs.select(bucket.alias("bucket"), "grp", "members"), "ngram-shared")
     members = shared.where("members is not null").select("grp", F.explode("members").alias("h1")).distinct()
     held = shared.select("bucket", "grp").distinct().join(members, "grp", "left").select("bucket", F.coalesce("h1", "grp").alias("h1")).distinct()
     ids = stage(held.join(classes.select("h1", "cls"), "h1").select("bucket", "cls").distinct(), "ngram-buckets")
@@ -371,13 +378,14 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) ->
 
     first = close.where("near is not null").groupBy("cls").agg(F.min("near").alias("near"))
     tested = verified(first.select(F.least("cls", "near").alias("a"), F.greatest("cls", "near").alias("b")).distinct())
-    most, left = 4, close.select("bucket", "cls").distinct()
+    most, members, go_on = 4, stage(close.select("bucket", "cls").distinct().join(large, "bucket", "left").select("bucket", "cls", F.coalesce("parts", F.lit(1).cast("long")).alias("parts")), "ngram-members"), None
     while True:
         parts = connected_components(tested.where("linked"))
         labels = parts.select(F.col("id").alias("cls"), F.col("component_id").alias("label"))
-        left = left.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-        mixed = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-        x = left.join(mixed, "bucket", "left_semi").join(large, "bucket", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long"))).withColumn("part", own)
+        left = stage(members.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "ngram-left")
+        if go_on is None:
+            go_on = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
+        x = left.join(go_on, "bucket", "left_semi").withColumn("part", own)
         x = x.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(info, "cls")
         x = x.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cls", "label", "n", "sk")
         x = x.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cls")
@@ -389,11 +397,11 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) ->
         if again.isEmpty():
             break
         # a bucket whose members named all their partners in other components has no untested pair, now or later
-        left = left.select("bucket", "cls").join(again.select("bucket").distinct(), "bucket", "left_semi")
+        go_on = again.select("bucket").distinct()
         most *= 64
     if not last.where("linked").isEmpty():
         parts = connected_components(tested.where("linked"))
-    drop(close, shingled, wanted)
+    drop(close, members, shingled, wanted)
     key = F.when(F.col("doc_id").isNotNull(), F.coalesce("cls", "doc_id")).alias("class_id")
     member = sets.select("doc_id", "n_shingles", "h1", "h2").join(classes.select("h1", "h2", "cls"), ["h1", "h2"], "left").select("doc_id", "n_shingles", key)
     parts = parts.select(F.col("id").alias("class_id"), F.col("component_id"))
