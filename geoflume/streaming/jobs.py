@@ -14,9 +14,11 @@ from geoflume.operators.versions import latest_version, upsert
 from geoflume.sources.ingest import ais_messages
 
 def work_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; without it a local one of this session."""
+    """A new folder below spark.checkpoint.dir, which all executors share; without it a local one if the session is local, else an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="geoflume-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
