@@ -176,13 +176,14 @@ def score(model: dict, text: bytes) -> float:
 
 
 def fit(docs: DataFrame, labels: DataFrame, train_docs: int = TRAIN_DOCS) -> dict:
-    """Learn from labelled rows whose crc32(doc_id) mod 3 is not 1: train_docs at most, in the order of a hash of doc_id."""
+    """Learn from labelled rows whose crc32(doc_id) mod 3 is not 1: train_docs at most, in the order of a hash of doc_id; of rows with equal doc_id, the least text."""
     lab = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("y"))
     lab = lab.where("doc_id is not null and y in (0, 1) and crc32(cast(doc_id as string)) % 3 <> 1").groupBy("doc_id").agg(F.max("y").alias("y"))
     half = [lab.where(F.col("y") == k).orderBy(F.xxhash64("doc_id", F.lit(5)), "doc_id").limit(train_docs // 2) for k in (0, 1)]
     picked = {r.doc_id: r.y for part in half for r in part.collect()}
     ids = docs.sparkSession.createDataFrame(list(picked.items()) or [(-1, 0)], "doc_id long, y int").where("y is not null")
-    rows = texts(docs).join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
+    # one text per id, so that repeated rows don't make the sample larger
+    rows = texts(docs).join(F.broadcast(ids), "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     return train([(bytes(r.text), r.y) for r in sorted(rows.collect(), key=lambda r: (r.doc_id, bytes(r.text)))] if picked else [])
 
 
