@@ -86,6 +86,24 @@ def _values() -> list[tuple[str, Column, Column, Column]]:
     ]
 
 
+def _filled(x: str) -> Column:
+    return F.coalesce(c(x), F.lit(""))
+
+
+def _entity() -> Column:
+    return F.when(_filled("entity_id") != "", F.col("entity_id")).when(_filled("record_id") != "", F.col("record_id")).otherwise(_filled("source_id"))
+
+
+def _key() -> Column:
+    return F.concat_ws("|", *SUBJECT[:5], F.unix_millis("window_start"))
+
+
+def _scoped(records: DataFrame) -> DataFrame:
+    """A row for each record and scope, with the record's weight and count of evidence."""
+    base = records.withColumn("conf", weight("confidence")).withColumn("occurred_at", F.timestamp_millis(F.unix_millis("occurred_at")))
+    return base.withColumn("evidence_items", F.size("evidence") if "evidence" in records.columns else F.lit(0)).withColumn("scope", F.explode(scopes()))
+
+
 def emit_contributions(records: DataFrame) -> DataFrame:
     """A row for each record, scope and metric that applies.
 
@@ -94,10 +112,8 @@ def emit_contributions(records: DataFrame) -> DataFrame:
     from an aggregate over (scope, day, key), which combines before its shuffle.
     """
     grain = {m: g for m, _, _, g in REGISTRY}
-    base = records.withColumn("conf", weight("confidence")).withColumn("occurred_at", F.timestamp_millis(F.unix_millis("occurred_at")))
-    base = base.withColumn("evidence_items", F.size("evidence") if "evidence" in records.columns else F.lit(0))
+    base = _scoped(records)
     starts = {g: window_of("occurred_at", g) for g in ("day", "24h", "7d", "30d")}
-    base = base.withColumn("scope", F.explode(scopes()))
     made = F.array(
         *[
             F.when(use, F.struct(F.lit(m).alias("metric_id"), F.lit(grain[m]).alias("window_grain"), starts[grain[m]][0].alias("window_start"), starts[grain[m]][1].alias("window_end"), round4(v).alias("contribution_value"), round4(w).alias("contribution_weight")))
@@ -115,13 +131,10 @@ def emit_contributions(records: DataFrame) -> DataFrame:
             F.lit(1.0).alias("contribution_value"), F.lit(1.0).alias("contribution_weight"), "f.record_id", "f.record_type", "f.source_id", "subject_grain", "subject_id",
         )
 
-    filled = lambda x: F.coalesce(c(x), F.lit(""))
-    entity = F.when(filled("entity_id") != "", F.col("entity_id")).when(filled("record_id") != "", F.col("record_id")).otherwise(filled("source_id"))
-    out = plain.unionByName(once("entity_count_approx", base.where(F.col("record_type").isin("observation", "event")), entity))
-    out = out.unionByName(once("source_count_approx", base, filled("source_id")))
+    out = plain.unionByName(once("entity_count_approx", base.where(F.col("record_type").isin("observation", "event")), _entity()))
+    out = out.unionByName(once("source_count_approx", base, _filled("source_id")))
     out = out.withColumn("place_id", F.col("subject_id"))
-    key = F.concat_ws("|", "metric_id", "subject_grain", "subject_id", "place_id", "window_grain", F.unix_millis("window_start"))
-    return out.withColumn("materialization_key", key).withColumn("contribution_id", F.concat_ws(":", F.lit("mc"), "metric_id", "subject_grain", "subject_id", "record_id", F.floor(F.unix_millis("window_start") / 1000)))
+    return out.withColumn("materialization_key", _key()).withColumn("contribution_id", F.concat_ws(":", F.lit("mc"), "metric_id", "subject_grain", "subject_id", "record_id", F.floor(F.unix_millis("window_start") / 1000)))
 
 
 def build_state(contributions: DataFrame) -> DataFrame:
@@ -137,6 +150,67 @@ def build_state(contributions: DataFrame) -> DataFrame:
     )
 
 
+def state_of_records(records: DataFrame) -> DataFrame:
+    """build_state(emit_contributions(records)), without a row per metric before the sums.
+
+    Days fix the windows of all grains but the hourly one, so all metrics of a
+    scope and day are summed side by side in an aggregate of numbers alone,
+    which hashes and combines before its shuffle; metrics become rows after
+    that. Sources come from a second such aggregate, which notes the metrics of
+    a source as bits, and only an entity's first record needs a sorted one.
+    """
+    grain = {m: g for m, _, _, g in REGISTRY}
+    values = [(m, use, round4(v), round4(w)) for m, use, v, w in _values()]
+    base = _scoped(records).withColumn("subject_grain", F.col("scope.grain")).withColumn("subject_id", F.col("scope.id"))
+    scope = ["subject_grain", "subject_id"]
+
+    def with_sources(sums: DataFrame, sources: DataFrame) -> DataFrame:
+        sources = sources.where("source_id is not null").groupBy(*scope, "at").agg(F.collect_list(F.struct("source_id", "mask")).alias("src"))
+        return sums.join(sources, [*scope, "at"], "left").withColumn("src", F.coalesce("src", F.array().cast("array<struct<source_id:string,mask:long>>")))
+
+    def rows(g: DataFrame, names: list[str]) -> DataFrame:
+        """Metric rows of wide sums; bit i of a source's mask says that metric i has it."""
+
+        def row(i: int, m: str) -> Column:
+            start, end = window_of("at", grain[m])
+            bit = F.lit(1 << i).cast("long")
+            have = F.transform(F.filter("src", lambda x: x["mask"].bitwiseAND(bit) != 0), lambda x: x["source_id"])
+            parts = {"metric_id": F.lit(m), "window_grain": F.lit(grain[m]), "window_start": start, "window_end": end, "n": F.col(f"n{i}"), "value_sum": F.col(f"v{i}"), "weight_sum": F.col(f"w{i}"), "peak_value": F.col(f"p{i}"), "sources": have}
+            return F.when(F.col(f"n{i}") > 0, F.struct(*[x.alias(k) for k, x in parts.items()]))
+
+        made = F.array(*[row(i, m) for i, m in enumerate(names)])
+        return g.select(*scope, F.explode(F.filter(made, lambda x: x.isNotNull())).alias("m")).select(*scope, "m.*")
+
+    def wide(at: str, names: list[str]) -> DataFrame:
+        took, day = [x for x in values if x[0] in names], base.withColumn("at", F.date_trunc(at, "occurred_at"))
+        sums = day.groupBy(*scope, "at").agg(*[x for i, (_, use, v, w) in enumerate(took) for x in (F.count(F.when(use, 1)).alias(f"n{i}"), F.sum(F.when(use, v)).alias(f"v{i}"), F.sum(F.when(use, w)).alias(f"w{i}"), F.max(F.when(use, v)).alias(f"p{i}"))])
+        bits = [F.when(use, F.lit(1 << i)).otherwise(0).cast("long") for i, (_, use, _, _) in enumerate(took)]
+        order = [m for m, *_ in took]
+        if "source_count_approx" in names:
+            bits.append(F.when(_filled("source_id") != "", F.lit(1 << len(order))).otherwise(0).cast("long"))
+        mask = bits[0]
+        for x in bits[1:]:
+            mask = mask.bitwiseOR(x)
+        g = with_sources(sums, day.groupBy(*scope, "at", "source_id").agg(F.bit_or(mask).alias("mask")))
+        if "source_count_approx" in names:
+            i, n = len(order), F.size(F.filter("src", lambda x: x["source_id"] != ""))
+            order.append("source_count_approx")
+            g = g.withColumns({f"n{i}": n.cast("long"), f"v{i}": n.cast("double"), f"w{i}": n.cast("double"), f"p{i}": F.lit(1.0)})
+        return rows(g, order)
+
+    hourly = [m for m in grain if grain[m] == "24h"]
+    daily = [m for m in grain if grain[m] != "24h" and m != "entity_count_approx"]
+    first = base.where(F.col("record_type").isin("observation", "event")).select(*scope, F.date_trunc("day", "occurred_at").alias("at"), _entity().alias("k"), "occurred_at", "record_id", "record_type", "source_id").where("k <> ''")
+    first = first.groupBy(*scope, "at", "k").agg(F.min(F.struct("occurred_at", "record_id", "record_type", "source_id")).alias("f"))
+    by_source = first.groupBy(*scope, "at", "f.source_id").agg(F.count("*").alias("n0"))
+    known = F.when(F.col("source_id").isNotNull(), F.struct("source_id", F.lit(1).cast("long").alias("mask")))
+    entities = by_source.groupBy(*scope, "at").agg(F.sum("n0").alias("n0"), F.collect_list(known).alias("src"))
+    entities = entities.withColumns({"v0": F.col("n0").cast("double"), "w0": F.col("n0").cast("double"), "p0": F.lit(1.0)})
+    out = wide("day", daily).unionByName(wide("hour", hourly)).unionByName(rows(entities, ["entity_count_approx"]))
+    out = out.withColumn("place_id", F.col("subject_id")).withColumn("latest", F.struct("window_end", F.col("peak_value").alias("contribution_value")))
+    return out.withColumn("materialization_key", _key()).select(*SUBJECT, "materialization_key", "window_end", "n", "value_sum", "weight_sum", "peak_value", "sources", "latest")
+
+
 def merge_state(*states: DataFrame) -> DataFrame:
     """One state from partial states."""
     both = states[0]

@@ -476,7 +476,7 @@ def _(s, d):
 
 @query("ref_39_finalize", _chain("select metric_id, subject_grain, subject_id, window_grain, window_start, rollup_rule, metric_value from final"), "records")
 def _(s, d):
-    return metrics.finalize(metrics.build_state(_contributions(s, d)), metrics.registry(s)).select("metric_id", "subject_grain", "subject_id", "window_grain", "window_start", "rollup_rule", "metric_value")
+    return metrics.finalize(metrics.state_of_records(views.records(s, d)), metrics.registry(s)).select("metric_id", "subject_grain", "subject_id", "window_grain", "window_start", "rollup_rule", "metric_value")
 
 
 @query("ref_45_sorted_sets", "select user_id, list_sort(list(distinct event_type)) as kinds from events group by 1")

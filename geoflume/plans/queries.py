@@ -455,7 +455,7 @@ def _(s, d):
 
 
 def _snapshots(s, d):
-    return metrics.build_snapshots(metrics.build_state(_contributions(s, d)), metrics.registry(s), NOW)
+    return metrics.build_snapshots(metrics.state_of_records(views.records(s, d)), metrics.registry(s), NOW)
 
 
 @query("ref_40_snapshots", _chain("select metric_id, subject_grain, subject_id, window_grain, window_start, metric_value, metric_delta, rank from snap"), "records")

@@ -53,6 +53,21 @@ def test_state_merges_to_one_pass(spark):
     assert key(metrics.merge_state(*parts)) == key(metrics.build_state(c))
 
 
+def test_state_of_records_equals_state_of_contributions(spark):
+    """The wide sums give the same rows, with null ids, blank sources and repeated rows among the records."""
+    from geoflume.sources.views import records as view
+
+    r = view(spark, "/root/testdata/sf0.001")
+    odd = r.limit(50).withColumn("source_id", F.when(F.col("record_id") < "obs:3", F.lit("")).otherwise(F.lit(None))).withColumn("entity_id", F.lit(None).cast("string")).withColumn("place_id", F.lit(None).cast("string"))
+    r = r.unionByName(odd).unionByName(r.limit(20)).unionByName(r.limit(5).withColumn("record_type", F.lit("note")).withColumn("confidence", F.lit(None).cast("double")))
+    near = lambda x: None if x is None else round(x, 6) + 0.0
+    key = lambda df: sorted((x.materialization_key, x.metric_id, x.subject_id, str(x.window_start), str(x.window_end), x.n, near(x.value_sum), near(x.weight_sum), x.peak_value, tuple(sorted(x.sources)), x.latest.contribution_value) for x in df.collect())
+    got, want = metrics.state_of_records(r), metrics.build_state(metrics.emit_contributions(r))
+    assert got.columns == [x for x in want.select(*metrics.SUBJECT, "materialization_key", "window_end", "n", "value_sum", "weight_sum", "peak_value", "sources", "latest").columns]
+    assert key(got) == key(want)
+    assert metrics.state_of_records(r.where("false")).count() == 0
+
+
 def test_upsert_twice_is_once(spark):
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     new = spark.createDataFrame([(2, "c"), (3, "d")], "k int, v string")
