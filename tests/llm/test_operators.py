@@ -162,6 +162,63 @@ def test_exchange_raises_likelihood():
     assert all(len(set(cls[:40][group == g])) == 1 for g in range(4))
 
 
+def test_common_words_take_the_class_of_their_own_neighbours():
+    """Counts of a word's neighbours, and the class chosen from them, equal a plain count and the likelihood of every choice."""
+    import pyarrow as pa
+
+    class Held:
+        def __init__(self, *value):
+            self.value = value
+
+    rng = np.random.default_rng(8)
+    k, n_common, first = 5, brown_lm.UNIT_WORDS + 6, brown_lm._UNITS + 1
+    cls = np.concatenate([rng.integers(0, k - 1, brown_lm._UNITS), [k - 1], rng.integers(0, k - 1, 6)])
+    texts_ = [rng.choice([*range(4), *range(brown_lm.UNIT_WORDS, n_common), -1 - brown_lm.UNIT_WORDS - 7], n).astype("<i4") for n in (0, 1, 40, 400, 3)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in x], pa.binary())], ["ids"]) for x in (texts_[:3], texts_[3:])]
+    seqs = [np.concatenate([[brown_lm._UNITS], brown_lm._units_of(t), [brown_lm._UNITS]]) for t in texts_]
+    bigrams = Counter((int(a), int(b)) for s in seqs for a, b in zip(s[:-1], s[1:]))
+    want = defaultdict(Counter)
+    for (a, b), n in bigrams.items():
+        if a >= first:
+            want[a - first][int(cls[b])] += n
+        if b >= first:
+            want[b - first][k + int(cls[a])] += n
+        if a == b >= first:
+            want[a - first][2 * k] += n
+    rows_ = [b for one in batches for b in brown_lm._neighbour_rows(Held(cls, n_common, k))(iter([one]))]
+    got = defaultdict(Counter)
+    for b in rows_:
+        for w, at, n in zip(*(c.to_pylist() for c in b.columns)):
+            got[w].update(dict(zip(at, n)))
+    assert got == want
+
+    def classes_of(c):
+        g = np.zeros((k, k))
+        for (a, b), n in bigrams.items():
+            g[c[a], c[b]] += n
+        return g
+
+    g = classes_of(cls)
+    (pairs,) = brown_lm._pair_rows(Held(cls, k))(iter(batches))
+    made = np.zeros((k, k))
+    made[pairs.column(0).to_numpy(), pairs.column(1).to_numpy()] = pairs.column(2).to_numpy()
+    # the end that starts a batch's first text takes part in its own batch only
+    assert np.array_equal(made, g)
+    f = lambda x: float((x * np.log(np.maximum(x, 1e-300))).sum())
+    (chosen,) = brown_lm._class_rows(Held(cls, n_common, k, g))(iter(rows_))
+    moved = 0
+    for w, c in zip(*(x.to_pylist() for x in chosen.columns)):
+        value = []
+        for new in range(k - 1):
+            other = cls.copy()
+            other[first + w] = new
+            h = classes_of(other)
+            value.append(f(h) - f(h.sum(0)) - f(h.sum(1)))
+        assert value[c] == pytest.approx(max(value), abs=1e-6)
+        moved += c != cls[first + w]
+    assert moved
+
+
 def test_brown_edge_cases(spark):
     got = brown_lm.score(spark.createDataFrame(EDGE, EDGE_SCHEMA)).collect()
     assert len(got) == len(EDGE) and all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
