@@ -7,6 +7,8 @@ from geoflume.llm.crf_quality import op5_crf_quality
 from geoflume.llm.decontaminate import op1_decontaminate
 from geoflume.llm.embedding_graph import op7_embedding_graph
 from geoflume.llm.html_extract import op10_html_extract
+from geoflume.llm.language_id import op13_language_id
+from geoflume.llm.lexical_search import op12_lexical_search
 from geoflume.llm.ngram_join import op2_ngram_join
 from geoflume.llm.packing import op4_packing
 from geoflume.llm.pii import op9_pii
@@ -15,9 +17,11 @@ from geoflume.llm.warc import op8_warc
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_ngram_join, op3_brown_lm, op4_packing, op5_crf_quality, op6_suffix_dedup, op7_embedding_graph, op8_warc, op9_pii, op10_html_extract)
+    for f in (op1_decontaminate, op2_ngram_join, op3_brown_lm, op4_packing, op5_crf_quality, op6_suffix_dedup, op7_embedding_graph, op8_warc, op9_pii, op10_html_extract, op12_lexical_search, op13_language_id)
 }
 
+_TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": r"""with recursive w as (
         select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
@@ -34,4 +38,12 @@ ORACLE_SQL: dict[str, str] = {
     m as (select payload_bytes, payload_digest, max(page_id) as last from p where payload_bytes >= 1000 group by 1, 2)
     select page_id, payload_bytes, payload_digest, case when last <> page_id then 'revisit' else 'response' end as record_type, case when last <> page_id then last end as refers_to, true as intact
     from p left join m using (payload_bytes, payload_digest)""",
+    "op12_lexical_search": f"""with t as (select doc_id, {_TERMS} as w from documents),
+    st as (select count(*) filter (len(w) > 0) as n_docs, sum(len(w))::bigint as n_terms from t),
+    i as (select item_id, term, count(*) as q from (select item_id, unnest({_TERMS}) as term from benchmark) group by all),
+    d as (select doc_id, len(w) as n, unnest(w) as term from t),
+    tf as (select doc_id, n, term, count(*) as tf from d where term in (select term from i) group by all),
+    df as (select term, count(*) as df from tf group by term),
+    sc as (select item_id, doc_id, sum(q * floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)::double))::bigint * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::bigint as score from tf join df using (term) join i using (term), st group by item_id, doc_id)
+    select item_id, cast(rank as integer) as rank, doc_id, score from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from sc where score > 0) where rank <= 20""",
 }
