@@ -13,15 +13,28 @@ from geoflume.llm.ngram_join import op2_ngram_join
 from geoflume.llm.packing import op4_packing
 from geoflume.llm.pii import op9_pii
 from geoflume.llm.suffix_dedup import op6_suffix_dedup
+from geoflume.llm.turn_repair import op11_turn_repair
 from geoflume.llm.warc import op8_warc
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_decontaminate, op2_ngram_join, op3_brown_lm, op4_packing, op5_crf_quality, op6_suffix_dedup, op7_embedding_graph, op8_warc, op9_pii, op10_html_extract, op12_lexical_search, op13_language_id)
+    for f in (op1_decontaminate, op2_ngram_join, op3_brown_lm, op4_packing, op5_crf_quality, op6_suffix_dedup, op7_embedding_graph, op8_warc, op9_pii, op10_html_extract, op11_turn_repair, op12_lexical_search, op13_language_id)
 }
 
 _TERMS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
 
+_CRC = "xor(list_reduce(flatten(list_transform(string_split(coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' '), ''), lambda x: [ascii(x)::bigint, 0, 0, 0, 0, 0, 0, 0])), lambda c, e: xor(xor(c, e) >> 1, (xor(c, e) & 1) * 3988292384), 4294967295::bigint), 4294967295)"
+
+
+def _edit(state: str, audit: str, cost: str, lines: str) -> str:
+    """The struct after an edit: cost, audit and lines grow; null where the state can't be reached."""
+    return f"case when {state} is not null then {{'c': ({state}.c + {cost})::int, 'a': {state}.a || '{audit}', 'b': {state}.b || {lines}}} end"
+
+
+_EDITS = {f"del_p{k}": _edit(f"p{k}", "D", "2", "[]::varchar[]") for k in range(4)} | {f"keep_p{k}": _edit(f"p{k}", "K", "e", "[role || ':' || text]") for k in range(4)}
+_EDITS |= {f"{role}_p{k}": _edit(f"p{k}", "R", "1 + e", f"['{role}:' || text]") for k in range(4) for role in ("user", "assistant")}
+_EDITS |= {f"ins_s{k}_{x}": _edit(f"s{k}", "I" * len(x), str(5 * len(x)), "[" + ", ".join({"u": "'user:'", "a": "'assistant:'"}[y] for y in x) + "]") for k in range(4) for x in ("u", "a", "ua")}
+
 ORACLE_SQL: dict[str, str] = {
     "op2_ngram_join": r"""with recursive w as (
         select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
@@ -46,4 +59,19 @@ ORACLE_SQL: dict[str, str] = {
     df as (select term, count(*) as df from tf group by term),
     sc as (select item_id, doc_id, sum(q * floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)::double))::bigint * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::bigint as score from tf join df using (term) join i using (term), st group by item_id, doc_id)
     select item_id, cast(rank as integer) as rank, doc_id, score from (select *, row_number() over (partition by item_id order by score desc, doc_id) as rank from sc where score > 0) where rank <= 20""",
+    "op11_turn_repair": r"""with recursive x as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text, crc32_of as f from (select *, {crc} % 20 as crc32_of from conversations) where crc32_of <> 0),
+    y as (select conv_id, turn, case f when 4 then 'user' else role end as role, case f when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(case f when 3 then 2 else 1 end)) as copy from x),
+    z as (select *, row_number() over (partition by conv_id order by turn nulls first, role, text, copy) as i, row_number() over (partition by conv_id, role, text order by turn nulls first, copy) as nth, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) as final, left(role, 1) as q from y),
+    f as (select *, final = '' as blank, final <> '' and nth > 1 as dup, final <> '' and nth = 1 and final not in ('.', '!', '?') as trunc, lag(q) over (partition by conv_id order by i) as before from z),
+    r(conv_id, i, s0, s1, s2, s3) as (
+        select distinct conv_id, 0::bigint, {{'c': 0, 'a': '', 'b': []::varchar[]}}, null::struct(c int, a varchar, b varchar[]), null::struct(c int, a varchar, b varchar[]), null::struct(c int, a varchar, b varchar[]) from conversations
+        union all select * from (
+            with p as (select r.conv_id, f.i, f.role, f.text, f.q, f.blank or f.dup as gone, case when f.trunc then 5 else 0 end as e, s0 as p0, s1 as p1,
+                list_min([s2, {ins_s0_u}, {ins_s1_u}, {ins_s3_u}]) as p2, list_min([s3, {ins_s2_a}, {ins_s0_ua}, {ins_s1_ua}]) as p3 from r join f on f.conv_id is not distinct from r.conv_id and f.i = r.i + 1)
+            select conv_id, i, {del_p0}, list_min([{del_p1}, case when not gone and q = 's' then {keep_p0} end]),
+                list_min([{del_p2}, case when not gone and q = 'u' then {keep_p0} end, case when not gone and q = 'u' then {keep_p1} end, case when not gone and q = 'u' then {keep_p3} end, case when not gone then {user_p0} end, case when not gone then {user_p1} end, case when not gone then {user_p3} end]),
+                list_min([{del_p3}, case when not gone and q = 'a' then {keep_p2} end, case when not gone then {assistant_p2} end]) from p)),
+    last as (select conv_id, list_min([s0, s3, {ins_s2_a}, {ins_s1_ua}]) as w from r where (conv_id, i) in (select conv_id, max(i) from r group by 1)),
+    n as (select conv_id, coalesce(max(turn) - min(turn) + 1 - count(distinct turn), 0) as gaps, count(*) filter (blank) as blank, count(*) filter (dup) as duplicate, count(*) filter (trunc) as truncated, count(*) filter (before is not null and before || q not in ('su', 'ua', 'au')) as illegal from f group by 1)
+    select last.conv_id, coalesce(gaps, 0) as gaps, coalesce(blank, 0) as blank, coalesce(duplicate, 0) as duplicate, coalesce(truncated, 0) as truncated, coalesce(illegal, 0) as illegal, w.c::bigint as cost, w.a as audit, sha256(array_to_string(w.b, chr(10))) as repaired_sha256 from last left join n using (conv_id)""".format(crc=_CRC, **_EDITS),
 }
