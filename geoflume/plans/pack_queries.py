@@ -523,22 +523,36 @@ def _(s, d):
     w = jobs.work_dir(s)
     rows = views.events_stream(s, d).select("user_id", "ts", "event_id", "event_type")
     jobs.stream_latest(rows, f"{w}/latest", ["user_id"], "ts", f"{w}/chk").awaitTermination()
-    return jobs.current(s, f"{w}/latest")[0].select("user_id", "event_id", "event_type")
+    return jobs.latest_table(s, f"{w}/latest", ["user_id"], "ts").read().select("user_id", "event_id", "event_type")
 
 
-@query("ref_70_ais_stream", "select 'mmsi:' || user_id as vessel_id, 'S' || arg_max(event_id, (ts, event_id)) as name from ev where event_id % 2 = 0 group by 1", "ev")
-def _(s, d):
-    """Raw messages made of the events, as files, through the stream: the newest name of each vessel."""
+def _ais_stream(s, d):
+    """Raw messages made of the events, as files, each delivered twice, through the stream; the folders of vessels and of track points."""
     from geoflume.streaming import jobs
 
     w = jobs.work_dir(s)
     kind = F.when(F.col("event_id") % 2 == 0, "ShipStaticData").otherwise("PositionReport")
     when = F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSS")
-    body = F.format_string('{"MessageType":"%s","MetaData":{"MMSI":%d,"ShipName":"S%d ","latitude":1.0,"longitude":2.0,"time_utc":"%s +0000 UTC"},"Message":{"%s":{}}}', kind, "user_id", "event_id", when, kind)
-    views._events(s, d).select(F.col("event_id").cast("string").alias("raw_id"), F.concat(F.lit("["), body, F.lit("]")).alias("body"), F.col("ts").alias("fetched_at")).write.parquet(f"{w}/in")
+    body = F.format_string('{"MessageType":"%s","MetaData":{"MMSI":%d,"ShipName":"S%d ","latitude":%d.5,"longitude":2.0,"time_utc":"%s +0000 UTC"},"Message":{"%s":{}}}', kind, "user_id", "event_id", F.col("event_id") % 60, when, kind)
+    raw = views._events(s, d).select(F.explode(F.array(F.lit("a"), F.lit("b"))).alias("delivery"), "event_id", body.alias("m"), "ts")
+    raw.select(F.concat("delivery", "event_id").alias("raw_id"), F.concat(F.lit("["), "m", F.lit("]")).alias("body"), F.col("ts").alias("fetched_at")).write.parquet(f"{w}/in")
     for q in jobs.start_ais_stream(s, f"{w}/in", f"{w}/entities", f"{w}/points", f"{w}/chk", {"availableNow": True}):
         q.awaitTermination()
-    return jobs.current(s, f"{w}/entities")[0].select("vessel_id", "name")
+    return f"{w}/entities", f"{w}/points"
+
+
+@query("ref_70_ais_stream", "select 'mmsi:' || user_id as vessel_id, 'S' || arg_max(event_id, (ts, event_id)) as name from (select user_id, event_id, date_trunc('second', ts) as ts from ev) where event_id % 2 = 0 group by 1", "ev")
+def _(s, d):
+    """The newest name of each vessel."""
+    from geoflume.streaming import jobs
+
+    return jobs.latest_table(s, _ais_stream(s, d)[0], ["vessel_id"], "observed_at").read().select("vessel_id", "name")
+
+
+@query("ref_70_ais_track_points", "select distinct on (user_id, date_trunc('second', ts)) user_id::varchar as mmsi, date_trunc('second', ts) as observed_at from ev where event_id % 2 = 1", "ev")
+def _(s, d):
+    """The track points, each once."""
+    return s.read.schema("mmsi string, observed_at timestamp").parquet(_ais_stream(s, d)[1])
 
 
 @query("ref_72_stream_dedup", "select event_id, user_id from events")
@@ -553,11 +567,66 @@ def _(s, d):
     return s.read.schema("event_id long, user_id long").parquet(f"{w}/out")
 
 
-@query("ref_73_stream_metric_state", _chain(f"select metric_id, subject_grain, subject_id, window_grain, window_start, n, {r4('value_sum')} as value_sum from state where metric_id not in ('entity_count_approx', 'source_count_approx')"), "records")
+@query("ref_73_stream_metric_state", _chain(f"select metric_id, subject_grain, subject_id, window_grain, window_start, n, {r4('value_sum')} as value_sum, sources from state"), "records")
 def _(s, d):
+    """All metrics of a stream that delivers every record twice: sums, and firsts with their sources."""
     from geoflume.streaming import jobs
+    from geoflume.streaming import metrics as streams
+
+    w = jobs.work_dir(s)
+    twice = views.records(s, d, views.events_stream(s, d)).withColumn("delivery", F.explode(F.array(F.lit(1), F.lit(2)))).drop("delivery")
+    for q in (streams.start_sums(twice, w, f"{w}/chk-sums"), streams.start_firsts(twice, w, f"{w}/chk-firsts")):
+        q.awaitTermination()
+    st = streams.metric_state(s, w)
+    return st.select("metric_id", "subject_grain", "subject_id", "window_grain", "window_start", "n", (F.round(F.col("value_sum") * 10000, 0) / 10000).alias("value_sum"), F.size("sources").cast("long").alias("sources"))
+
+
+def _changed(s, d):
+    """Bronze rows, and the changes of their sources: parses and fetches of the events, k telling which."""
+    from geoflume.streaming import ledger
+
+    e = views._events(s, d).withColumns({"source_id": F.concat(F.lit("src:"), F.col("user_id") % 7), "table_name": F.concat(F.lit("bronze_"), F.col("user_id") % 7 % 3)})
+    parses = e.where("k % 3 <> 2").select("source_id", "table_name", F.col("ts").alias("parsed_at"), F.when(F.col("k") % 3 == 0, "success").otherwise("failed").alias("status"))
+    fetches = e.where("k % 3 = 2").select("source_id", F.col("ts").alias("fetched_at"), (F.col("k") % 2 == 0).alias("success"))
+    registry = e.select("source_id", "table_name", F.when(F.col("source_id") == "src:1", "file").otherwise("http").alias("transport_type"), (F.col("source_id") != "src:2").alias("enabled")).distinct()
+    rows = e.where("k % 3 = 0").select("source_id", "table_name", "event_id", F.col("ts").alias("parsed_at"))
+    return rows, ledger.changes(parses, fetches, registry)
+
+
+_CHANGED = "ch as (select 'src:' || (user_id % 7) as source_id, 'bronze_' || (user_id % 7 % 3) as table_name, ts as changed_at from ev where k % 3 = 0 or (k % 3 = 2 and k % 2 = 0 and user_id % 7 not in (1, 2)))"
+
+
+@query("ref_74_delta_windows", f"select * from (with {_CHANGED} select source_id, table_name, 'delta' as mode, min(changed_at) as window_start, timestamp '2024-01-20 00:00:00' as window_end from ch where changed_at < timestamp '2024-01-20' group by 1, 2)", "ev")
+def _(s, d):
+    from geoflume.streaming import ledger
+
+    return ledger.windows(_changed(s, d)[1], NOW).drop("checkpoint_id")
+
+
+@query("ref_74_range_windows", f"select * from (with {_CHANGED} select distinct source_id, table_name, 'range' as mode, timestamp '2024-01-05 00:00:00' as window_start, timestamp '2024-01-06 00:00:00' as window_end from ch where changed_at >= timestamp '2024-01-05' and changed_at < timestamp '2024-01-06')", "ev")
+def _(s, d):
+    from geoflume.streaming import ledger
+
+    return ledger.windows(_changed(s, d)[1], NOW, "2024-01-05", "2024-01-06").drop("checkpoint_id")
+
+
+@query("ref_74_run_ledger", "select event_id, 'src:' || (user_id % 7) as source_id from ev where k % 3 = 0 and ts < timestamp '2024-01-20 00:00:00'", "ev")
+def _(s, d):
+    """Two delta runs, the first of which stops between writing and marking; every row arrives once."""
+    from geoflume.sources import ingest
+    from geoflume.streaming import jobs, ledger
 
     w = jobs.work_dir(s)
-    jobs.stream_metric_state(views.records(s, d, views.events_stream(s, d)), f"{w}/state", f"{w}/chk").awaitTermination()
-    st = jobs.current(s, f"{w}/state")[0]
-    return st.select("metric_id", "subject_grain", "subject_id", "window_grain", "window_start", "n", (F.round(F.col("value_sum") * 10000, 0) / 10000).alias("value_sum"))
+    rows, changed = _changed(s, d)
+    book, work = ledger.Ledger(s, f"{w}/ledger"), lambda x: x.select("event_id", "source_id")
+
+    def stop(step: str) -> None:
+        if step == "written":
+            raise InterruptedError(step)
+
+    try:
+        ledger.run(book, rows, changed, work, f"{w}/target", "2024-01-10 00:00:00", step=stop)
+    except InterruptedError:
+        pass
+    ledger.run(book, rows, changed, work, f"{w}/target", NOW)
+    return ingest.published(s, f"{w}/target", "event_id long, source_id string")

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from geoflume.sources import files
 from geoflume.functions.cols import blank, c, non_blank, round4
 
 MPS_KMH, KNOT_KMH = 3.6, 1.852
@@ -21,12 +24,30 @@ def write_table(df: DataFrame, path: str, mode: str = "append", partitions: list
     df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
-def stage_then_publish(df: DataFrame, staging: str, target: str, mode: str = "append") -> DataFrame:
-    """Write to the staging path first, then move what is there to the target: a failed job leaves the target as it was."""
-    df.write.mode("overwrite").parquet(staging)
-    staged = df.sparkSession.read.schema(df.schema).parquet(staging)
-    staged.write.mode(mode).parquet(target)
-    return staged
+def stage_then_publish(df: DataFrame, target: str, token: str, mode: str = "append") -> bool:
+    """Write rows under a token, then let them count: False, and nothing changes, if the token was published before.
+
+    The rows are staged in a folder of the token, which a job that is run again
+    writes anew. What counts is told by markers, which appear whole, after the
+    rows: a job that fails half-way leaves the table as it was. `overwrite` makes
+    the token's rows the whole table from then on. Read with `published`. One job
+    at a time may publish a token.
+    """
+    spark, name = df.sparkSession, hashlib.sha256(token.encode()).hexdigest()[:32]
+    have = files.names(spark, f"{target}/published")
+    if any(x.endswith(name) for x in have):
+        return False
+    df.write.mode("overwrite").parquet(f"{target}/rows/{name}")
+    at = int(have[-1].partition(".")[0]) + 1 if have else 0
+    return files.put(spark, f"{target}/published/{at:012d}.{mode}.{name}", token)
+
+
+def published(spark: SparkSession, target: str, schema: StructType | str) -> DataFrame:
+    """The rows of all tokens since the last overwrite."""
+    have = [x.split(".") for x in files.names(spark, f"{target}/published")]
+    start = max((i for i, x in enumerate(have) if x[1] == "overwrite"), default=0)
+    paths = [f"{target}/rows/{x[2]}" for x in have[start:]]
+    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
 
 
 def sniff_format(body) -> Column:

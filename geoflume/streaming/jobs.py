@@ -1,4 +1,4 @@
-"""Streaming versions of the jobs: late rows beyond the watermark go through the batch replay of changed_windows."""
+"""Streaming versions of the jobs: late rows beyond the watermark go through the windows of ledger.py."""
 
 from __future__ import annotations
 
@@ -9,9 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from geoflume.operators import metrics
-from geoflume.operators.versions import latest_version, upsert
 from geoflume.sources.ingest import ais_messages
+from geoflume.streaming.tables import BucketTable, newest
+
 
 def work_dir(spark: SparkSession) -> str:
     """A new folder below spark.checkpoint.dir, which all executors share; without it a local one if the session is local, else an error."""
@@ -37,32 +37,9 @@ def stream_dedup(s: DataFrame, id_cols: list[str], ts: str, delay: str = DELAY)
     return s.withWatermark(ts, delay).dropDuplicatesWithinWatermark(id_cols)
 
 
-def _fold(path: str, keys: list[str], version: str):
-    """foreachBatch: the newest row per key, in a table written to a new path for each epoch and named by a pointer row."""
-
-    def fold(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = latest_version(batch, keys, version)
-        old = current(spark, path)
-        if old is not None:
-            if epoch <= old[1]:
-                return  # the epoch was folded before a restart
-            new = latest_version(old[0].unionByName(new), keys, version)
-        new.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
-        spark.createDataFrame([(epoch,)], "epoch long").coalesce(1).write.mode("append").parquet(f"{path}/ptr-pointer")
-
-    return fold
-
-
-def current(spark: SparkSession, path: str) -> tuple[DataFrame, int] | None:
-    """The table that the last finished epoch wrote, and the epoch."""
-    try:
-        epoch = spark.read.schema("epoch long").parquet(f"{path}/ptr-pointer").agg(F.max("epoch")).first()[0]
-    except Exception as e:
-        if "PATH_NOT_FOUND" not in str(e):
-            raise
-        return None
-    return spark.read.parquet(f"{path}/epoch={epoch}"), epoch
+def latest_table(spark: SparkSession, path: str, keys: list[str], version: str, buckets: int = 64) -> BucketTable:
+    """The newest row per key, kept in buckets."""
+    return BucketTable(spark, path, keys, newest(keys, version), buckets)
 
 
 def start_ais_stream(spark: SparkSession, src: str, entities: str, points: str, checkpoint: str, trigger: dict | None = None) -> tuple[StreamingQuery, StreamingQuery]:
@@ -70,7 +47,7 @@ def start_ais_stream(spark: SparkSession, src: str, entities: str, points: str,
     raw = read_stream(spark, src, "raw_id string, body string, fetched_at timestamp")
     m = ais_messages(raw)
     how = trigger or {"processingTime": "5 seconds"}
-    e = m.where("route = 'entity'").select("vessel_id", "name", "mmsi", "observed_at").writeStream.foreachBatch(_fold(entities, ["vessel_id"], "observed_at")).option("checkpointLocation", f"{checkpoint}/entities").trigger(**how).start()
+    e = m.where("route = 'entity'").select("vessel_id", "name", "mmsi", "observed_at").writeStream.foreachBatch(lambda b, epoch: latest_table(b.sparkSession, entities, ["vessel_id"], "observed_at").merge(b, epoch)).option("checkpointLocation", f"{checkpoint}/entities").trigger(**how).start()
     p = m.where("route = 'track_point' and latitude is not null and longitude is not null")
     q = stream_dedup(p, ["record_key"], "observed_at").writeStream.format("parquet").option("path", points).option("checkpointLocation", f"{checkpoint}/points").outputMode("append").trigger(**how).start()
     return e, q
@@ -78,29 +55,7 @@ def start_ais_stream(spark: SparkSession, src: str, entities: str, points: str,
 
 def stream_latest(s: DataFrame, path: str, keys: list[str], version: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """Newest event time wins over re-deliveries."""
-    return s.writeStream.foreachBatch(_fold(path, keys, version)).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
-
-
-def stream_metric_state(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
-    """Partial metric states of each batch, merged with what is there: the same as one batch over all records.
-
-    The distinct-once metrics need the first record of a key and are left to the batch job.
-    """
-    once = ("entity_count_approx", "source_count_approx")
-
-    def fold(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        new = metrics.build_state(metrics.emit_contributions(batch).where(~F.col("metric_id").isin(*once)))
-        old = current(spark, path)
-        if old is not None:
-            if epoch <= old[1]:
-                return
-            touched = old[0].join(new.select("materialization_key"), "materialization_key", "left_semi")
-            new = upsert(old[0], metrics.merge_state(touched, new).select(*old[0].columns), ["materialization_key"])
-        new.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
-        spark.createDataFrame([(epoch,)], "epoch long").coalesce(1).write.mode("append").parquet(f"{path}/ptr-pointer")
-
-    return records.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    return s.writeStream.foreachBatch(lambda b, epoch: latest_table(b.sparkSession, path, keys, version).merge(b, epoch)).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def windowed_counts(s: DataFrame, ts: str, by: str, delay: str = DELAY, size: str = "1 hour") -> DataFrame:
