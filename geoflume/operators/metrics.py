@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from geoflume.functions.cols import c, round4, weight
+from geoflume.sources import files
 
 WORLD = "plc:world"
 #: Metric id, family, rollup rule, window grain.
@@ -244,9 +245,34 @@ def with_delta(df: DataFrame) -> DataFrame:
     return df.withColumn("metric_delta", round4(F.col("metric_value") - F.coalesce(F.lag("metric_value").over(w), F.lit(0.0))))
 
 
+def ranked(df: DataFrame, keys: list[str], order: list, name: str = "rank") -> DataFrame:
+    """df with each row's number within its keys, in the order, which must tell all rows of a key apart.
+
+    Rows are dealt by range of keys and order; a task numbers its own rows of a
+    key, and the counts of the key's earlier tasks are added. So no task holds a
+    key's rows, however many. The dealt rows are written, since a second reading
+    of the input might be cut elsewhere.
+    """
+    x = files.staged(df.repartitionByRange(*keys, *order).withColumn("__part", F.spark_partition_id()), "ranked")
+    w = Window.partitionBy(*keys, "__part")
+    before = x.groupBy(*keys, "__part").agg(F.count("*").alias("__n"))
+    before = before.withColumn("__before", F.coalesce(F.sum("__n").over(Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))).drop("__n")
+    mine = x.withColumn("__own", F.row_number().over(w.orderBy(*order)).cast("long")).alias("x")
+    on = F.lit(True)
+    for k in (*keys, "__part"):
+        on = on & F.col(f"x.{k}").eqNullSafe(F.col(f"b.{k}"))
+    j = mine.join(before.alias("b"), on)
+    return j.select(*[F.col(f"x.{c}") for c in df.columns if c != name], (F.col("x.__own") + F.col("b.__before")).alias(name))
+
+
 def with_rank(df: DataFrame) -> DataFrame:
-    w = Window.partitionBy("metric_id", "subject_grain", "window_grain", "window_start").orderBy(F.desc("metric_value"), "subject_id")
-    return df.withColumn("rank", F.row_number().over(w).cast("long"))
+    return ranked(df, ["metric_id", "subject_grain", "window_grain", "window_start"], [F.desc("metric_value"), F.asc("subject_id")])
+
+
+def with_totals(df: DataFrame, keys: list[str], **aggs) -> DataFrame:
+    """df with aggregates over all rows of the same keys; they combine before their shuffle and are joined back."""
+    t = df.groupBy(*keys).agg(*[a.alias(n) for n, a in aggs.items()])
+    return df.join(t, keys)
 
 
 def explain_json(df: DataFrame) -> DataFrame:
@@ -258,9 +284,10 @@ def explain_json(df: DataFrame) -> DataFrame:
     return df.withColumn("attrs", attrs).withColumn("evidence", evidence)
 
 
-def build_snapshots(state: DataFrame, reg: DataFrame, now) -> DataFrame:
-    """Values, deltas and ranks over the whole history; write only touched keys with versions.restrict_to."""
-    s = with_rank(with_delta(finalize(state, reg)))
+def build_snapshots(state: DataFrame, reg: DataFrame, now, rank: bool = True) -> DataFrame:
+    """Values, deltas and ranks over the whole history; write only touched keys with versions.restrict_to. rank=False leaves the rank null."""
+    s = with_delta(finalize(state, reg))
+    s = with_rank(s) if rank else s.withColumn("rank", F.lit(None).cast("long"))
     s = s.withColumn("snapshot_id", F.concat(F.lit("snapshot:"), "materialization_key")).withColumn("snapshot_at", F.lit(now).cast("timestamp"))
     return explain_json(s).select("snapshot_id", *SUBJECT, "window_end", "materialization_key", "snapshot_at", "metric_value", "metric_delta", "rank", "rollup_rule", "attrs", "evidence")
 
@@ -277,9 +304,9 @@ def _share(value: Column, most: Column) -> Column:
 def hotspots(surface: DataFrame, reg: DataFrame) -> DataFrame:
     """Scores of 60 for value, 25 for rise and 15 for rank within metric, grain and window."""
     s = with_family(surface, reg).where("metric_value > 0 or metric_delta > 0").withColumn("rise", F.greatest("metric_delta", F.lit(0.0)))
-    w = Window.partitionBy("metric_id", "subject_grain", "window_grain", "window_start")
-    s = s.withColumn("rank", F.row_number().over(w.orderBy(F.desc("metric_value"), "subject_id")).cast("long"))
-    s = s.withColumn("most", F.max("metric_value").over(w)).withColumn("rise_most", F.max("rise").over(w)).withColumn("population_size", F.count("*").over(w))
+    keys = ["metric_id", "subject_grain", "window_grain", "window_start"]
+    s = ranked(s, keys, [F.desc("metric_value"), F.asc("subject_id"), F.asc("place_id")])
+    s = with_totals(s, keys, most=F.max("metric_value"), rise_most=F.max("rise"), population_size=F.count("*"))
     rank_part = F.when(F.col("population_size") <= 1, 15.0).otherwise((1 - (F.col("rank") - 1) / (F.col("population_size") - 1)) * 15)
     score = _share(F.col("metric_value"), F.col("most")) * 60 + _share(F.col("rise"), F.col("rise_most")) * 25 + rank_part
     return s.select(
@@ -291,8 +318,8 @@ def hotspots(surface: DataFrame, reg: DataFrame) -> DataFrame:
 def cross_domain(surface: DataFrame, reg: DataFrame) -> DataFrame:
     """Mean of the components of a subject's metrics, and 5 for each further domain, 10 at most."""
     s = with_family(surface, reg).where("metric_value > 0 or metric_delta > 0").withColumn("rise", F.greatest("metric_delta", F.lit(0.0)))
-    w = Window.partitionBy("metric_id", "window_grain", "window_start")
-    part = _share(F.col("metric_value"), F.max("metric_value").over(w)) * 0.7 + _share(F.col("rise"), F.max("rise").over(w)) * 0.3
+    s = with_totals(s, ["metric_id", "window_grain", "window_start"], most=F.max("metric_value"), rise_most=F.max("rise"))
+    part = _share(F.col("metric_value"), F.col("most")) * 0.7 + _share(F.col("rise"), F.col("rise_most")) * 0.3
     s = s.withColumn("component", round4(part * 100))
     g = s.groupBy("subject_grain", "subject_id", "place_id", "window_grain", "window_start").agg(
         F.array_sort(F.collect_set("metric_family")).alias("domains"), F.array_sort(F.collect_set("metric_id")).alias("metric_ids"), (F.round(F.sum(F.round(F.col("component") * 10000, 0).cast("long")) / F.count("*"), 0) / 10000).alias("mean_component")

@@ -9,8 +9,6 @@ from geoflume.functions.cols import blank, c, grid_cell
 
 #: Levels after which a place tree is taken for a cycle, which is an error.
 MAX_LEVELS = 100
-#: Buckets over which the points of world-size places are dealt.
-BROAD = 64
 
 
 def closure(places: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
@@ -84,16 +82,43 @@ def centroid(ring) -> Column:
     return F.when(F.size(r) == 0, F.lit(None)).when(F.abs(a) < 1e-12, first).otherwise(F.struct(y.alias("lat"), x.alias("lon")))
 
 
+def _crossing(edges: DataFrame) -> DataFrame:
+    """Rings (k) of which two edges cross properly. edges: k, i, x1, y1, x2, y2, n (edges of the ring), and the ring's box.
+
+    A ring of n edges lies on a grid with about n cells; an edge goes into the
+    cells that it meets, row by row, and edges meet only within a cell.
+    """
+    side = F.ceil(F.sqrt("n"))
+    high, wide = (F.greatest((F.col(f"max_{v}") - F.col(f"min_{v}")) / side, F.lit(1e-300)) for v in "yx")
+    cell = lambda v, v0, step: F.least(F.greatest(F.floor((v - v0) / step), F.lit(0).cast("long")), side - 1)
+    e = edges.withColumns({"high": high, "wide": wide, "side": side})
+    row = lambda y: cell(y, F.col("min_y"), F.col("high"))
+    e = e.withColumn("cy", F.explode(F.sequence(row(F.least("y1", "y2")), row(F.greatest("y1", "y2")))))
+    # the part of the edge within the row, a little more than it, so that rounding loses no cell
+    slack = F.col("high") * 1e-6
+    clip = lambda y: F.least(F.greatest(y, F.least("y1", "y2")), F.greatest("y1", "y2"))
+    at = lambda y: F.when(F.col("y1") == F.col("y2"), F.col("x1")).otherwise(F.col("x1") + (F.col("x2") - F.col("x1")) * (y - F.col("y1")) / (F.col("y2") - F.col("y1")))
+    low_y, high_y = clip(F.col("min_y") + F.col("cy") * F.col("high") - slack), clip(F.col("min_y") + (F.col("cy") + 1) * F.col("high") + slack)
+    flat = F.col("y1") == F.col("y2")
+    a, b = F.when(flat, F.col("x1")).otherwise(at(low_y)), F.when(flat, F.col("x2")).otherwise(at(high_y))
+    col = lambda x, d: cell(x + d * F.col("wide") * 1e-6, F.col("min_x"), F.col("wide"))
+    e = e.withColumn("cx", F.explode(F.sequence(col(F.least(a, b), -1), col(F.greatest(a, b), 1)))).select("k", "i", "x1", "y1", "x2", "y2", "cy", "cx")
+    turn = lambda p, q, x, y: F.signum((F.col(f"{p}.x2") - F.col(f"{p}.x1")) * (F.col(f"{q}.{y}") - F.col(f"{p}.y1")) - (F.col(f"{p}.y2") - F.col(f"{p}.y1")) * (F.col(f"{q}.{x}") - F.col(f"{p}.x1")))
+    apart = lambda p, q: turn(p, q, "x1", "y1") * turn(p, q, "x2", "y2") < 0
+    j = e.alias("p").join(e.alias("q"), ["k", "cy", "cx"]).where(F.col("p.i") < F.col("q.i"))
+    return j.where(apart("p", "q") & apart("q", "p")).select("k").distinct()
+
+
 def valid_polygons(polys: DataFrame, ring: str = "ring") -> DataFrame:
     """Rows whose ring is closed, has four points and an area, and doesn't cross itself."""
-    e = _edges(ring)
-    side = lambda a, px, py: F.signum((a["x2"] - a["x1"]) * (py - a["y1"]) - (a["y2"] - a["y1"]) * (px - a["x1"]))
-    def crosses(a, b):
-        return (side(a, b["x1"], b["y1"]) * side(a, b["x2"], b["y2"]) < 0) & (side(b, a["x1"], a["y1"]) * side(b, a["x2"], a["y2"]) < 0)
-
     r = c(ring)
-    ok = (F.size(r) >= 4) & (r[0]["lat"] == F.element_at(r, -1)["lat"]) & (r[0]["lon"] == F.element_at(r, -1)["lon"]) & (F.abs(ring_area(ring)) > 1e-12) & ~F.exists(e, lambda a: F.exists(e, lambda b: crosses(a, b)))
-    return polys.where(F.coalesce(ok, F.lit(False)))
+    ok = (F.size(r) >= 4) & (r[0]["lat"] == F.element_at(r, -1)["lat"]) & (r[0]["lon"] == F.element_at(r, -1)["lon"]) & (F.abs(ring_area(ring)) > 1e-12)
+    simple = polys.where(F.coalesce(ok, F.lit(False))).withColumn("__k", F.sha2(F.to_json(r), 256))
+    rings = simple.select("__k", r.alias("ring")).dropDuplicates(["__k"])
+    span = lambda f, v: f(F.transform("ring", lambda p: p[v]))
+    boxed = rings.select(F.col("__k").alias("k"), F.size("ring").alias("n"), span(F.array_min, "lon").alias("min_x"), span(F.array_max, "lon").alias("max_x"), span(F.array_min, "lat").alias("min_y"), span(F.array_max, "lat").alias("max_y"), F.posexplode(_edges("ring")).alias("i", "e"))
+    bad = _crossing(boxed.select("k", "n", "min_x", "max_x", "min_y", "max_y", "i", "e.*"))
+    return simple.join(bad, simple["__k"] == bad["k"], "left_anti").drop("__k")
 
 
 def grid_cells(places: DataFrame, size: float) -> DataFrame:
@@ -104,23 +129,79 @@ def grid_cells(places: DataFrame, size: float) -> DataFrame:
     return p.select("*", F.explode(lon).alias("__x")).withColumn("cell", F.concat_ws(":", "__y", "__x")).drop("__x", "__y")
 
 
+#: Edges of a band of a polygon, about.
+BAND_EDGES = 16
+
+
+def polygon_bands(places: DataFrame) -> DataFrame:
+    """(place_id, band, edges) of places with `polygons`: each cut once into bands of latitude that have their own edges.
+
+    There are as many bands as the polygons have edges, by BAND_EDGES, so what a
+    point is tested against doesn't grow with them. edges: (polygon, ring, x1, y1, x2, y2).
+    """
+    p = places.select("place_id", "min_lat", "max_lat", F.posexplode("polygons").alias("polygon", "rings")).select("*", F.posexplode("rings").alias("ring", "r"))
+    n = p.groupBy("place_id").agg(F.greatest(F.floor(F.sum(F.size("r")) / BAND_EDGES), F.lit(1).cast("long")).alias("bands"))
+    e = p.select("place_id", "min_lat", "max_lat", "polygon", "ring", F.explode(_edges("r")).alias("e")).join(n, "place_id")
+    at = lambda y: _band(y)
+    e = e.withColumn("band", F.explode(F.sequence(at(F.least("e.y1", "e.y2") - 1e-9), at(F.greatest("e.y1", "e.y2") + 1e-9))))
+    return e.groupBy("place_id", "band").agg(F.max("bands").alias("bands"), F.collect_list(F.struct("polygon", "ring", "e.x1", "e.y1", "e.x2", "e.y2")).alias("edges"))
+
+
+def _band(y) -> Column:
+    """The band of a latitude, by the place's box and number of bands."""
+    high = F.greatest((F.col("max_lat") - F.col("min_lat")) / F.col("bands"), F.lit(1e-300))
+    return F.least(F.greatest(F.floor((y - F.col("min_lat")) / high), F.lit(0).cast("long")), F.col("bands") - 1)
+
+
+def _in_bands(lat, lon, edges) -> Column:
+    """in_polygons() by the edges of the point's band alone: no other edge is level with the point."""
+    x, y = c(lon), c(lat)
+    cross = lambda e: (e["x2"] - e["x1"]) * (y - e["y1"]) - (e["y2"] - e["y1"]) * (x - e["x1"])
+    on = lambda e: (F.abs(cross(e)) <= 1e-9) & x.between(F.least(e["x1"], e["x2"]), F.greatest(e["x1"], e["x2"])) & y.between(F.least(e["y1"], e["y2"]), F.greatest(e["y1"], e["y2"]))
+    hit = lambda e: ((e["y1"] > y) != (e["y2"] > y)) & (x < (e["x2"] - e["x1"]) * (y - e["y1"]) / (e["y2"] - e["y1"]) + e["x1"])
+
+    def in_ring_(p, r):
+        own = F.filter(c(edges), lambda e: (e["polygon"] == p) & (e["ring"] == r))
+        return F.exists(own, on) | (F.size(F.filter(own, hit)) % 2 == 1)
+
+    rings = F.array_distinct(F.transform(c(edges), lambda e: F.struct(e["polygon"].alias("polygon"), e["ring"].alias("ring"))))
+    held = F.filter(rings, lambda r: in_ring_(r["polygon"], r["ring"]))
+    return F.exists(held, lambda r: (r["ring"] == 0) & ~F.exists(held, lambda h: (h["polygon"] == r["polygon"]) & (h["ring"] > 0)))
+
+
+#: Cells of a side of the grid, from the finest to the one that a place as wide as the world fills with few.
+LEVELS = 8
+
+
 def point_in_place(points: DataFrame, places: DataFrame, cell: float = 10.0) -> DataFrame:
     """The deepest place that holds each point (then smallest, then least id), by cell; the answers meet per point id.
 
-    points: point_id, latitude, longitude. Places larger than `cell` times 36 on a
-    side (the world) would fill the grid, so they are in BROAD buckets of their
-    own, each with all of them and a share of the points. With a column `polygons` the box is only a first test.
+    points: point_id, latitude, longitude. A place is on the one of LEVELS grids,
+    each twice as coarse as the one before, on which it fills four cells at most;
+    points go to the levels that have places. A cell's rows are dealt over shares
+    of the points, as many as a coarse grid needs, with a copy of its places in
+    each. With a column `polygons` the box is only a first test, and the polygon
+    is asked by the edges of the point's band (polygon_bands).
     """
     area = (F.col("max_lat") - F.col("min_lat")) * (F.col("max_lon") - F.col("min_lon"))
-    pl = places.select("place_id", "admin_level", "min_lat", "min_lon", "max_lat", "max_lon", area.alias("area"), *(["polygons"] if "polygons" in places.columns else []))
-    wide = F.col("max_lon") - F.col("min_lon") > 36 * cell / 2
-    small = grid_cells(pl.where(~wide), cell)
-    big = pl.where(wide).withColumn("cell", F.explode(F.array(*[F.lit(f"all:{k}") for k in range(BROAD)])))
-    pts = points.select("point_id", "latitude", "longitude", F.explode(F.array(grid_cell("latitude", "longitude", cell), F.concat(F.lit("all:"), F.pmod(F.xxhash64("point_id"), F.lit(BROAD))))).alias("cell"))
+    pl = places.select("place_id", "admin_level", "min_lat", "min_lon", "max_lat", "max_lon", area.alias("area"))
+    side = F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon"))
+    level = F.least(F.greatest(F.ceil(F.log2(F.greatest(side / cell, F.lit(1e-9)))), F.lit(0)), F.lit(LEVELS)).cast("int")
+    size = lambda k: F.lit(float(cell)) * F.pow(F.lit(2.0), k)
+    shares = lambda k: F.pow(F.lit(4.0), k).cast("long")  # noqa: E731  a cell of a coarser grid has so many times the points
+    pl = pl.withColumn("level", level)
+    rows = lambda a, b: F.sequence(F.floor(F.col(a) / size(F.col("level"))), F.floor(F.col(b) / size(F.col("level"))))
+    pl = pl.withColumn("cy", F.explode(rows("min_lat", "max_lat"))).withColumn("cx", F.explode(rows("min_lon", "max_lon")))
+    pl = pl.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.least(shares(F.col("level")), F.lit(256).cast("long")) - 1)))
+    pts = points.select("point_id", "latitude", "longitude", F.explode(F.array(*[F.lit(k) for k in range(LEVELS + 1)])).alias("level"))
+    pts = pts.join(F.broadcast(pl.select("level").distinct()), "level", "left_semi")  # LEVELS + 1 rows at most
+    pts = pts.withColumns({"cy": F.floor(F.col("latitude") / size(F.col("level"))), "cx": F.floor(F.col("longitude") / size(F.col("level"))), "share": F.pmod(F.xxhash64("point_id"), F.least(shares(F.col("level")), F.lit(256).cast("long")))})
     inside = F.col("latitude").between(F.col("min_lat"), F.col("max_lat")) & F.col("longitude").between(F.col("min_lon"), F.col("max_lon"))
+    j = pts.join(pl, ["level", "cy", "cx", "share"]).where(inside)
     if "polygons" in places.columns:
-        inside = inside & in_polygons("latitude", "longitude", "polygons")
-    j = pts.join(small.unionByName(big), "cell").where(inside)
+        bands = polygon_bands(places)
+        j = j.join(bands.select("place_id", "bands").distinct(), "place_id").withColumn("band", _band(F.col("latitude")))
+        j = j.join(bands.drop("bands"), ["place_id", "band"]).where(_in_bands("latitude", "longitude", "edges"))
     best = F.min(F.struct((-F.col("admin_level")).alias("l"), F.round(F.col("area"), 9).alias("a"), F.col("place_id").alias("p"))).alias("b")
     return j.groupBy("point_id").agg(best).select("point_id", F.col("b.p").alias("place_id"), (-F.col("b.l")).alias("admin_level"))
 

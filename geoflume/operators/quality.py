@@ -34,9 +34,51 @@ def freshness(sources: DataFrame, raw: DataFrame, now, threshold_s: int = 600) -
     return j.select("source_id", "last_fetch_at", age.alias("freshness_seconds"), reason.alias("lag_reason"))
 
 
+#: Cells of a histogram of `nth`, and distinct values of which the last pass may take one.
+CELLS, FEW = 4096, 4096
+
+
+def nth(df: DataFrame, col: str, ranks: list[int]) -> list[float]:
+    """The values of the given ranks (from 0) among a column's numbers, exactly: histograms over a narrowing range.
+
+    A pass counts CELLS cells before its shuffle and sends them to the driver;
+    the range left is a cell or less. Doubles only; nulls don't count.
+    """
+    x = df.select(c(col).cast("double").alias("x")).where("x is not null")
+    low, high = x.agg(F.min("x"), F.max("x")).first()
+    out = []
+    for rank in ranks:
+        a, b, skip = low, high, 0
+        while True:
+            here = x.where(F.col("x").between(a, b))
+            some = here.groupBy("x").agg(F.count("*").alias("n")).limit(FEW + 1).collect() if a == b or (b - a) / CELLS == 0 or a + (b - a) / CELLS == a else None
+            width = (b - a) / CELLS
+            if some is None:
+                cells = here.groupBy(F.least(F.floor((F.col("x") - a) / width), F.lit(CELLS - 1)).alias("i")).agg(F.count("*").alias("n"), F.min("x").alias("a"), F.max("x").alias("b")).orderBy("i").collect()
+                some = [r for r in cells] if all(r["a"] == r["b"] for r in cells) else None
+                if some is not None:
+                    some = [{"x": r["a"], "n": r["n"]} for r in cells]
+            if some is not None:
+                for r in sorted(some, key=lambda r: r["x"]):
+                    if rank < skip + r["n"]:
+                        out.append(r["x"])
+                        break
+                    skip += r["n"]
+                break
+            for r in cells:
+                if rank < skip + r["n"]:
+                    a, b = r["a"], r["b"]
+                    break
+                skip += r["n"]
+    return out
+
+
 def lag_summary(df: DataFrame, col: str, threshold: float) -> DataFrame:
-    """Median (the mean of the middle two, rounded down), maximum, and the number over the threshold."""
-    return df.where(c(col).isNotNull()).agg(F.floor(F.percentile(col, 0.5)).alias("median"), F.max(col).alias("maximum"), F.count_if(c(col) > threshold).alias("over_threshold"))
+    """Median (the mean of the middle two, rounded down), maximum, and the number over the threshold; a row of nulls and 0 if there is no number."""
+    n = df.where(c(col).isNotNull()).count()
+    middle = nth(df, col, sorted({(n - 1) // 2, n // 2})) if n else []
+    median = F.floor(F.lit(sum(middle) / len(middle))) if middle else F.lit(None).cast("long")
+    return df.where(c(col).isNotNull()).agg(F.max(col).alias("maximum"), F.count_if(c(col) > threshold).alias("over_threshold")).select(median.alias("median"), "maximum", "over_threshold")
 
 
 def parse_quality(log: DataFrame, now, minutes: int = 15) -> DataFrame:

@@ -120,18 +120,53 @@ def knn(emb: DataFrame, query: list[float] | Column, metric: str = "cosine", k:
 
 
 def knn_batch(emb: DataFrame, seeds: DataFrame, k: int = 10, block: int = 1000) -> DataFrame:
-    """Cosine neighbours of each seed: every task keeps k for each seed before the shuffle.
+    """Cosine neighbours of each seed: products of blocks of seeds and Arrow batches, of which a task keeps the best of each seed.
 
-    seeds: seed_id, seed_vector, in any number; they meet the vectors in blocks
-    of `block` at most, each as one array.
+    seeds: seed_id, seed_vector, in any number; they go through the vectors in
+    blocks of `block`, about. A task sends k rows a seed and a few that are as
+    good but for rounding; their scores are then computed as `knn` does.
     """
+    spark, kind = emb.sparkSession, emb.schema["entity_id"].dataType.simpleString()
     n = max(1, -(-seeds.count() // block))
-    w = Window.partitionBy("g").orderBy("seed_id")
-    dealt = seeds.withColumn("g", F.pmod(F.xxhash64("seed_id"), F.lit(n))).withColumn("b", F.floor((F.row_number().over(w) - 1) / block))
-    one = dealt.groupBy("g", "b").agg(F.collect_list(F.struct("seed_id", "seed_vector")).alias("seeds")).select("seeds")
-    one = F.broadcast(one) if n == 1 else one
-    pair = emb.select("entity_id", "embedding").join(one, F.lit(True)).select("entity_id", "embedding", F.explode("seeds").alias("s")).where(F.col("s.seed_id") != F.col("entity_id"))
-    scored = pair.select(F.col("s.seed_id").alias("seed_id"), "entity_id", cosine("embedding", "s.seed_vector").alias("score"))
+    own = seeds.select("seed_id", "seed_vector", F.pmod(F.xxhash64("seed_id"), F.lit(n)).alias("g"))
+    found = None
+    for g in range(n):
+        rows = own.where(F.col("g") == g).collect()  # a block
+        if not rows:
+            continue
+        held = spark.sparkContext.broadcast(([r["seed_id"] for r in rows], [r["seed_vector"] for r in rows]))
+
+        def best(batches, held=held):
+            import numpy as np
+            import pandas as pd
+
+            ids, vectors = held.value
+            q = np.array(vectors, np.float64)
+            q = q / np.sqrt((q * q).sum(1, keepdims=True))
+            keep: list = [(np.zeros(0), []) for _ in ids]
+            for p in batches:
+                e = np.array(p["entity_id"], object)
+                x = np.array(p["embedding"].tolist(), np.float64)
+                with np.errstate(invalid="ignore", divide="ignore"):
+                    score = q @ (x / np.sqrt((x * x).sum(1, keepdims=True))).T
+                score[np.isnan(score)] = -2
+                top = min(k + 1, score.shape[1])  # a seed may meet itself
+                least = np.partition(score, -top, 1)[:, -top] - 1e-9
+                for i in range(len(ids)):
+                    at = np.flatnonzero(score[i] >= least[i])
+                    s, names = np.r_[keep[i][0], score[i][at]], [*keep[i][1], *e[at]]
+                    if len(s) > 2 * (k + 1):
+                        ok = np.flatnonzero(s >= np.partition(s, -(k + 1))[-(k + 1)] - 1e-9)
+                        s, names = s[ok], [names[j] for j in ok]
+                    keep[i] = (s, names)
+            yield pd.DataFrame([(ids[i], x) for i, (_, names) in enumerate(keep) for x in names], columns=["seed_id", "entity_id"])
+
+        part = emb.where(c("embedding").isNotNull()).select("entity_id", c("embedding").cast("array<double>").alias("embedding")).mapInPandas(best, f"seed_id {seeds.schema['seed_id'].dataType.simpleString()}, entity_id {kind}")
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        found = emb.select(F.lit(None).cast(seeds.schema["seed_id"].dataType).alias("seed_id"), "entity_id").where("false")
+    pairs = found.where("seed_id <> entity_id").join(seeds.select("seed_id", "seed_vector"), "seed_id").join(emb.select("entity_id", "embedding"), "entity_id")
+    scored = pairs.select("seed_id", "entity_id", cosine("embedding", "seed_vector").alias("score"))
     w = Window.partitionBy("seed_id").orderBy(F.desc("score"), "entity_id")
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoflume.functions.cols import bearing, blank, c, clamp, elapsed_s, haversine, heading_delta, hours, non_blank, round4
+from geoflume.functions.cols import EARTH_KM, bearing, blank, c, clamp, elapsed_s, haversine, heading_delta, hours, non_blank, round4
+from geoflume.sources import files
 
 GAP_MIN, GROUND_MIN, AIRPORT_KM, LOW_M = 20, 45, 25.0, 1500.0
 #: Words in an owner's name or type, and call sign prefixes.
@@ -158,19 +159,68 @@ def diversions(segments: DataFrame, gaps: DataFrame) -> DataFrame:
     return j.select("entity_id", n.cast("long").alias("diverted_segments"), "total_segments", round4(n / F.col("total_segments")).alias("metric_value"))
 
 
+#: Shares into which a slot's points of one side are dealt where they meet all of the other.
+SHARES = 4
+
+
+def _slots(within: int):
+    return lambda ts: F.floor(F.unix_millis(c(ts)) / (within * 1000))
+
+
 def min_distance(a: DataFrame, b: DataFrame, within: int = 300) -> DataFrame:
-    """Least distance between points of entities of a and of b (others) at most `within` seconds apart.
+    """Least distance between points of entities of a and of b (others) at most `within` seconds apart, of all pairs that met.
 
     Points meet by time bucket: b's are copied to the neighbour buckets, so the
-    join is an equi join whatever the number of tracks.
+    join is an equi join whatever the number of tracks. A bucket's points of a
+    are dealt over SHARES keys. For the nearest peer alone, see nearest_peer.
     """
-    slot = lambda ts: F.floor(F.unix_millis(c(ts)) / (within * 1000))
-    x = a.select("entity_id", "observed_at", "latitude", "longitude", slot("observed_at").alias("slot"))
+    slot, share = _slots(within), lambda: F.pmod(F.xxhash64("entity_id"), F.lit(SHARES))
+    x = a.select("entity_id", "observed_at", "latitude", "longitude", slot("observed_at").alias("slot"), share().alias("share"))
     y = b.select(F.col("entity_id").alias("peer_id"), F.col("observed_at").alias("t2"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"), F.explode(F.array(*[slot("observed_at") + k for k in (-1, 0, 1)])).alias("slot"))
-    j = x.join(y, "slot").where((F.col("entity_id") != F.col("peer_id")) & (F.abs(F.unix_millis("observed_at") - F.unix_millis("t2")) <= within * 1000))
+    y = y.withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SHARES - 1).cast("long"))))
+    j = x.join(y, ["slot", "share"]).where((F.col("entity_id") != F.col("peer_id")) & (F.abs(F.unix_millis("observed_at") - F.unix_millis("t2")) <= within * 1000))
     return j.groupBy("entity_id", "peer_id").agg(F.min(haversine("latitude", "longitude", "lat2", "lon2")).alias("distance_km"))
 
 
+#: Sides of the cells, in km, of the rounds of nearest_peer; the last reaches round the globe.
+RINGS = (50.0, 200.0, 800.0, 3200.0, 12800.0)
+
+
+def nearest_peer(a: DataFrame, b: DataFrame, within: int = 300, rings: tuple = RINGS) -> DataFrame:
+    """(entity_id, peer_id, distance_km): of each entity of a the nearest of b's others, at most `within` seconds apart; ties by id.
+
+    Points lie in cells of space (not of the map, so poles and the date line are
+    nothing special) and time. A round finds all pairs at most a cell's side
+    apart, so an entity whose best is no farther is settled; the rest go on with
+    wider cells, of which there are fewer: the copies of b's points stay few.
+    Busy cells of wide rounds are split by the adaptive skew join.
+    """
+    slot = _slots(within)
+
+    def placed(df: DataFrame) -> DataFrame:
+        la, lo = F.radians("latitude"), F.radians("longitude")
+        return df.select("entity_id", F.unix_millis("observed_at").alias("t"), "latitude", "longitude", slot("observed_at").alias("slot"), (F.cos(la) * F.cos(lo) * EARTH_KM).alias("x"), (F.cos(la) * F.sin(lo) * EARTH_KM).alias("y"), (F.sin(la) * EARTH_KM).alias("z"))
+
+    left, right = placed(a.where("latitude is not null and longitude is not null and observed_at is not null")), placed(b.where("latitude is not null and longitude is not null and observed_at is not null"))
+    done = None
+    for n, side in enumerate(rings):
+        at = lambda v: F.floor(F.col(v) / side)  # noqa: E731,B023
+        most = int(EARTH_KM // side) + 1  # cells are -most to most - 1 along each axis
+        x = left.withColumns({v: at(v) for v in "xyz"})
+        beside = lambda v: F.filter(F.array(*[at(v) + k for k in (-1, 0, 1)]), lambda i: i.between(-most, most - 1))  # noqa: E731,B023
+        y = right.select(F.col("entity_id").alias("peer_id"), F.col("t").alias("t2"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"), F.explode(F.array(*[F.col("slot") + k for k in (-1, 0, 1)])).alias("slot"), *[beside(v).alias(v) for v in "xyz"])
+        for v in "xyz":
+            y = y.withColumn(v, F.explode(v))
+        j = x.join(y, ["slot", "x", "y", "z"]).where((F.col("entity_id") != F.col("peer_id")) & (F.abs(F.col("t") - F.col("t2")) <= within * 1000))
+        best = j.groupBy("entity_id").agg(F.min(F.struct(haversine("latitude", "longitude", "lat2", "lon2").alias("d"), "peer_id")).alias("b"))
+        last = n == len(rings) - 1
+        found = files.staged(best.select("entity_id", "b.peer_id", F.col("b.d").alias("distance_km")).where(F.lit(last) | (F.col("b.d") <= side)), "nearest-peer")
+        done = found if done is None else done.unionByName(found)
+        if not last:
+            left = left.join(found.select("entity_id"), "entity_id", "left_anti")
+    return done
+
+
 def military_prefix(callsign) -> Column:
     """Call sign prefixes of military flights."""
     u = F.upper(F.trim(F.coalesce(c(callsign), F.lit(""))))
@@ -205,7 +255,7 @@ def military_likelihood(points: DataFrame, registry: DataFrame, segments: DataFr
 def proximity(points: DataFrame, flagged: DataFrame) -> DataFrame:
     """Closeness to the nearest flagged entity: 1 at zero distance, 0 from 50 km on and for entities that met none."""
     peers = points.join(flagged.select("entity_id").distinct(), "entity_id", "left_semi")
-    g = min_distance(points, peers).groupBy("entity_id").agg(F.min(F.struct("distance_km", "peer_id")).alias("b"))
+    g = nearest_peer(points, peers).select("entity_id", F.struct("distance_km", "peer_id").alias("b"))
     j = points.select("entity_id").distinct().join(g, "entity_id", "left")
     score = F.coalesce(round4(clamp(1 - F.col("b.distance_km") / 50, 0, 1)), F.lit(0.0))
     return j.select("entity_id", F.coalesce("b.peer_id", F.lit("")).alias("closest_peer_id"), F.coalesce(round4("b.distance_km"), F.lit(0.0)).alias("minimum_distance_km"), score.alias("metric_value"))

@@ -454,8 +454,8 @@ def _(s, d):
     return st.select("metric_id", "subject_grain", "subject_id", "window_start", "n", cols.round4("value_sum").alias("value_sum"), cols.round4("weight_sum").alias("weight_sum"), "peak_value", F.size("sources").cast("long").alias("sources"))
 
 
-def _snapshots(s, d):
-    return metrics.build_snapshots(metrics.state_of_records(views.records(s, d)), metrics.registry(s), NOW)
+def _snapshots(s, d, rank=True):
+    return metrics.build_snapshots(metrics.state_of_records(views.records(s, d)), metrics.registry(s), NOW, rank)
 
 
 @query("ref_40_snapshots", _chain("select metric_id, subject_grain, subject_id, window_grain, window_start, metric_value, metric_delta, rank from snap"), "records")
@@ -471,7 +471,7 @@ _HOT = f"""hot as (select metric_id, metric_family, subject_grain as scope_type,
 
 @query("ref_50_hotspots", f"select * from (with {_CHAIN}, {_SURF}, {_HOT} select * from hot)", "records")
 def hotspots(s, d):
-    return metrics.hotspots(metrics.latest_surface(_snapshots(s, d)), metrics.registry(s)).drop("hotspot_id", "place_id")
+    return metrics.hotspots(metrics.latest_surface(_snapshots(s, d, rank=False)), metrics.registry(s)).drop("hotspot_id", "place_id")
 
 
 @query(
@@ -481,7 +481,7 @@ def hotspots(s, d):
     "records",
 )
 def _(s, d):
-    return metrics.cross_domain(metrics.latest_surface(_snapshots(s, d)), metrics.registry(s)).drop("cross_domain_id", "metric_ids")
+    return metrics.cross_domain(metrics.latest_surface(_snapshots(s, d, rank=False)), metrics.registry(s)).drop("cross_domain_id", "metric_ids")
 
 
 @query("ref_23_with_family", _chain("select subject_id, metric_id, window_start, metric_family from final where subject_grain = 'world'"), "records")

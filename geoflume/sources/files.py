@@ -2,9 +2,28 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+def work_dir(spark: SparkSession, name: str = "stream") -> str:
+    """A new folder below spark.checkpoint.dir, which all executors share; without it a local one if the session is local, else an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="geoflume-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def staged(df: DataFrame, name: str = "staged") -> DataFrame:
+    """df written to a work folder and read back: what its rows hold, a task's number too, stays what it is."""
+    path = work_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _at(spark: SparkSession, path: str):

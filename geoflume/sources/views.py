@@ -72,11 +72,12 @@ def points(spark: SparkSession, d: str) -> DataFrame:
 
 
 def airports(spark: SparkSession, d: str) -> DataFrame:
-    n = read_table(spark, d, "nation")
-    return n.select(
-        F.concat(F.lit("apt:"), "n_nationkey").alias("airport_id"), F.concat(F.lit("plc:"), "n_nationkey").alias("place_id"),
-        F.when(F.col("n_nationkey") % 6 == 0, "military").otherwise("public").alias("use"),
-        (F.floor(F.col("n_nationkey") / 5) * 10 - 20.3).alias("latitude"), (F.col("n_regionkey") * 10 - 20.4).alias("longitude"),
+    """Airports beside some of the tracks' points, one for each place that such a point has."""
+    p = points(spark, d).where("point_id % 20 = 0")
+    g = p.groupBy("latitude", "longitude").agg(F.min("point_id").alias("n"))
+    return g.select(
+        F.concat(F.lit("apt:"), "n").alias("airport_id"), F.concat(F.lit("plc:"), F.col("n") % 25).alias("place_id"), F.when(F.col("n") % 6 == 0, "military").otherwise("public").alias("use"),
+        (F.col("latitude") + 0.031).alias("latitude"), (F.col("longitude") - 0.017).alias("longitude"),
     )
 
 
@@ -138,7 +139,7 @@ VIEWS_SQL = {
     "points": """select event_id as point_id, 'trk:' || user_id as track_id, 'ent:' || user_id as entity_id, ts as observed_at, ((user_id * 7 + event_id % 97) % 500) / 10.0::double - 25 as latitude, ((user_id * 11 + event_id % 89) % 500) / 10.0::double - 25 as longitude,
         case when k % 11 <> 0 then value * 60 end as altitude_m, value < 12 as on_ground, case when k % 3 = 0 then '' else cast(k % 4 + 7000 as varchar) end as squawk, k % 9 as category,
         case when k % 5 = 0 then '' else (case when user_id % 9 = 0 then 'RCH' else 'AAL' end) || k end as callsign from ev""",
-    "airports": "select 'apt:' || n_nationkey as airport_id, 'plc:' || n_nationkey as place_id, case when n_nationkey % 6 = 0 then 'military' else 'public' end as use, (n_nationkey // 5) * 10 - 20.3::double as latitude, n_regionkey * 10 - 20.4::double as longitude from nation",
+    "airports": "select 'apt:' || n as airport_id, 'plc:' || (n % 25) as place_id, case when n % 6 = 0 then 'military' else 'public' end as use, latitude + 0.031::double as latitude, longitude - 0.017::double as longitude from (select latitude, longitude, min(point_id) as n from points where point_id % 20 = 0 group by 1, 2)",
     "entities": """select 'ent:customer:' || c_custkey as entity_id, 'customer' as entity_type, c_name as canonical_name, 'plc:' || c_nationkey as primary_place_id, case when c_acctbal > 8000 then 'high' when c_acctbal > 4000 then 'medium' else 'low' end as risk_band, c_acctbal as balance, c_custkey as record_version from customer
         union all select 'ent:supplier:' || s_suppkey, 'supplier', s_name, 'plc:' || s_nationkey, case when s_acctbal > 8000 then 'high' when s_acctbal > 4000 then 'medium' else 'low' end, s_acctbal, s_suppkey from supplier""",
     "facts": "select 'evt:' || o_orderkey as event_id, o_orderpriority as event_type, o_orderstatus as status, 'plc:' || c_nationkey as place_id, 'ent:customer:' || o_custkey as customer_id, o_orderdate as starts_at, o_totalprice / 500000 as impact_score from orders join customer on o_custkey = c_custkey",
@@ -148,7 +149,7 @@ VIEWS_SQL = {
     "gaps": """select * from (select 'gap:' || o_orderkey as gap_id, 'ent:customer:' || o_custkey as entity_id, lag(o_orderdate) over (partition by o_custkey order by o_orderdate, o_orderkey) as starts_at, o_orderdate as ends_at,
         case when o_orderkey % 3 = 0 then '' else 'plc:' || (o_orderkey % 25) end as next_known_port_id from orders) where starts_at is not null and ends_at > starts_at""",
 }
-_NEEDS = {"records": ["ev"], "points": ["ev"]}
+_NEEDS = {"records": ["ev"], "points": ["ev"], "airports": ["ev", "points"]}
 
 
 def with_views(sql: str, *names: str) -> str:

@@ -2,28 +2,15 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from geoflume.sources.files import work_dir  # noqa: F401  (the streams' callers take it from here)
 from geoflume.sources.ingest import ais_messages
 from geoflume.streaming.tables import BucketTable, newest
 
 
-def work_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir, which all executors share; without it a local one if the session is local, else an error."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = "file://" + tempfile.mkdtemp(prefix="geoflume-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/stream-{uuid.uuid4().hex}"
-
-
 #: How late a row may be.
 DELAY = "1 day"
 
