@@ -83,12 +83,14 @@ def centroid(ring) -> Column:
 
 
 def _crossing(edges: DataFrame) -> DataFrame:
-    """Rings (k) of which two edges cross properly. edges: k, i, x1, y1, x2, y2, n (edges of the ring), and the ring's box.
+    """Rings (k) of which two edges cross properly. edges: k, i, x1, y1, x2, y2, n (edges of the ring), length (of all), and the ring's box.
 
-    A ring of n edges lies on a grid with about n cells; an edge goes into the
-    cells that it meets, row by row, and edges meet only within a cell.
+    A ring lies on a grid whose cells are as wide as its mean edge is long, so
+    its edges fill a few cells each; they go into the cells that they meet, row
+    by row, and meet only within a cell.
     """
-    side = F.ceil(F.sqrt("n"))
+    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    side = F.least(F.greatest(F.ceil(extent * F.col("n") / F.col("length")), F.lit(1).cast("long")), F.col("n").cast("long"))
     high, wide = (F.greatest((F.col(f"max_{v}") - F.col(f"min_{v}")) / side, F.lit(1e-300)) for v in "yx")
     cell = lambda v, v0, step: F.least(F.greatest(F.floor((v - v0) / step), F.lit(0).cast("long")), side - 1)
     e = edges.withColumns({"high": high, "wide": wide, "side": side})
@@ -116,8 +118,10 @@ def valid_polygons(polys: DataFrame, ring: str = "ring") -> DataFrame:
     simple = polys.where(F.coalesce(ok, F.lit(False))).withColumn("__k", F.sha2(F.to_json(r), 256))
     rings = simple.select("__k", r.alias("ring")).dropDuplicates(["__k"])
     span = lambda f, v: f(F.transform("ring", lambda p: p[v]))
-    boxed = rings.select(F.col("__k").alias("k"), F.size("ring").alias("n"), span(F.array_min, "lon").alias("min_x"), span(F.array_max, "lon").alias("max_x"), span(F.array_min, "lat").alias("min_y"), span(F.array_max, "lat").alias("max_y"), F.posexplode(_edges("ring")).alias("i", "e"))
-    bad = _crossing(boxed.select("k", "n", "min_x", "max_x", "min_y", "max_y", "i", "e.*"))
+    # measured before the edges become rows, or each row would measure the ring again
+    boxed = rings.select(F.col("__k").alias("k"), F.size("ring").alias("n"), F.aggregate(_edges("ring"), F.lit(0.0), lambda t, e: t + F.abs(e["x2"] - e["x1"]) + F.abs(e["y2"] - e["y1"])).alias("length"), span(F.array_min, "lon").alias("min_x"), span(F.array_max, "lon").alias("max_x"), span(F.array_min, "lat").alias("min_y"), span(F.array_max, "lat").alias("max_y"), _edges("ring").alias("edges"))
+    boxed = boxed.select("k", "n", "length", "min_x", "max_x", "min_y", "max_y", F.posexplode("edges").alias("i", "e"))
+    bad = _crossing(boxed.select("k", "n", "length", "min_x", "max_x", "min_y", "max_y", "i", "e.*"))
     return simple.join(bad, simple["__k"] == bad["k"], "left_anti").drop("__k")
 
 
