@@ -6,8 +6,8 @@ clusters can't be told apart at that radius (one large group of near copies, or
 vectors without structure), blocks of the vectors are compared pair by pair.
 Each shard builds a flat graph by robust pruning; a vector's adjacency lists
 from its shards are united. Every vector then searches its shards greedily from
-the medoid and, once it meets vectors in range, expands the range through their
-neighbours. Pairs count only after an exact cosine in double precision.
+the medoids of all clusters that may hold a link of it and, once it meets
+vectors in range, expands the range through their neighbours. Pairs count only after an exact cosine in double precision.
 
 A vector is searched and counted in the shard that is its home only, where all its
 links are, so both ends of a link count it; of the links only a spanning forest
@@ -34,6 +34,8 @@ DEPTH = 40
 COPIES = 2
 #: Edges of a node in one shard, candidates for them, slack of the pruning, and width of the search beam.
 DEGREE, CANDIDATES, ALPHA, BEAM = 24, 64, 1.2, 32
+#: Edges of a node that are kept for far vectors.
+LONG = 4
 #: Vectors this far below the threshold are still expanded, as they may lead to others in range.
 SLACK = 0.06
 
@@ -136,30 +138,54 @@ def robust_prune(x: np.ndarray, p: int, cand: np.ndarray, degree: int, alpha: fl
     return out
 
 
-def build(x: np.ndarray) -> list[list[int]]:
-    """Adjacency lists of a shard's flat graph, both directions pruned to DEGREE, and the medoid's neighbours kept reachable."""
+def cover(x: np.ndarray, least: float) -> np.ndarray:
+    """Medoids of a shard's clusters: every vector has a cosine of `least` with one of them, none of them with another."""
+    left, out = np.ones(len(x), bool), []
+    while left.any():
+        m = int(np.argmax(left))
+        out.append(m)
+        left &= x @ x[m] < least
+        left[m] = False
+    return np.array(out, np.int64)
+
+
+def build(x: np.ndarray, medoids: np.ndarray | None = None) -> list[list[int]]:
+    """Adjacency lists of a shard's flat graph, pruned to DEGREE in both directions.
+
+    Most edges come from the nearest vectors. LONG of them are kept for far
+    ones, of which random vectors and the nearest medoids are the candidates: in
+    a group of many near copies the nearest alone would never lead out of it.
+    """
     n = len(x)
+    medoids = cover(x, 0.92) if medoids is None else medoids
     near = np.empty((n, min(CANDIDATES, n)), np.int64)
+    hubs = np.empty((n, min(8, len(medoids))), np.int64)
     for s in range(0, n, 512):
         sim = x[s : s + 512] @ x.T
         near[s : s + 512] = np.argpartition(-sim, near.shape[1] - 1, 1)[:, : near.shape[1]] if n > near.shape[1] else np.arange(n)
+        hubs[s : s + 512] = medoids[np.argsort(-sim[:, medoids], 1)[:, : hubs.shape[1]]]
     rng = np.random.default_rng(n)
-    out = [robust_prune(x, p, np.unique(np.concatenate([near[p], rng.integers(0, n, 8)])), DEGREE, ALPHA) for p in range(n)]
+
+    def both_kinds(p: int, close: np.ndarray) -> list[int]:
+        far = robust_prune(x, p, np.unique(np.concatenate([hubs[p], rng.integers(0, n, 8)])), LONG, ALPHA)
+        return list(dict.fromkeys(far + robust_prune(x, p, close, DEGREE - LONG, ALPHA)))
+
+    out = [both_kinds(p, near[p]) for p in range(n)]
     back: list[list[int]] = [[] for _ in range(n)]
     for p, ns in enumerate(out):
         for q in ns:
             back[q].append(p)
     for p in range(n):
         both = list(dict.fromkeys(out[p] + back[p]))
-        out[p] = both if len(both) <= DEGREE else robust_prune(x, p, np.array(both), DEGREE, ALPHA)
+        out[p] = both if len(both) <= DEGREE else both_kinds(p, np.array(both))
     return out
 
 
-def range_search(x: np.ndarray, graph: list[np.ndarray], start: int, q: int, least: float) -> np.ndarray:
-    """Nodes whose cosine with node q is `least` at least: greedy search from start, then range expansion."""
+def range_search(x: np.ndarray, graph: list[np.ndarray], starts: np.ndarray, q: int, least: float) -> np.ndarray:
+    """Nodes whose cosine with node q is `least` at least: greedy search from the starts, then range expansion."""
     seen = np.zeros(len(x), bool)
-    seen[start] = True
-    ids, sims, done = [start], [float(x[start] @ x[q])], [False]
+    seen[starts] = True
+    ids, sims, done = starts.tolist(), (x[starts] @ x[q]).tolist(), [False] * len(starts)
     while True:
         order = np.argsort(-np.array(sims), kind="stable")[:BEAM]
         best = next((i for i in order if not done[i]), None)
@@ -172,7 +198,8 @@ def range_search(x: np.ndarray, graph: list[np.ndarray], start: int, q: int, lea
             ids += new
             sims += (x[new] @ x[q]).tolist()
             done += [False] * len(new)
-    edge = [ids[i] for i in range(len(ids)) if sims[i] >= least - SLACK]
+    # the starts are opened whatever their cosine: a linked vector's medoid may be farther than SLACK
+    edge = list(dict.fromkeys([ids[i] for i in range(len(ids)) if sims[i] >= least - SLACK] + starts.tolist()))
     hit = [ids[i] for i in range(len(ids)) if sims[i] >= least]
     while edge:
         new = np.unique(np.concatenate([graph[j] for j in edge]))
@@ -184,6 +211,12 @@ def range_search(x: np.ndarray, graph: list[np.ndarray], start: int, q: int, lea
     return np.array(hit, np.int64)
 
 
+def starts_of(x: np.ndarray, medoids: np.ndarray, q: int, least: float, held: float) -> np.ndarray:
+    """The medoids among whose vectors one may be linked with q: by the angles of a link and of a cluster, q's own among them."""
+    reach = np.cos(min(np.pi, np.arccos(min(1.0, least)) + np.arccos(held))) - 1e-9
+    return medoids[x[medoids] @ x[q] >= reach]
+
+
 def _build_shard(p: pd.DataFrame) -> pd.DataFrame:
     x = _unit(np.stack(p["v"].to_numpy()).astype(np.float64))
     ids = p["cls"].to_numpy()
@@ -215,10 +248,10 @@ def _search_shard(least: float):
             at = np.searchsorted(ids, ns)
             at = at[at < len(ids)]
             graph.append(at[np.isin(ids[at], ns)])
-        medoid = int(np.argmax(x @ x.mean(0)))
+        medoids = cover(x, least - SLACK)
         adj = np.zeros((len(x), len(x)), bool)
         for q in np.flatnonzero(home):
-            adj[q, range_search(x, graph, medoid, q, least)] = True
+            adj[q, range_search(x, graph, starts_of(x, medoids, q, least, least - SLACK), q, least)] = True
         # a link over a border is met by both ends in different graphs, so it is compared directly
         adj[np.ix_(home, ~home)] = x[home] @ x[~home].T >= least
         adj |= adj.T

@@ -431,6 +431,28 @@ def test_embedding_large_group_keeps_all_links(spark, monkeypatch):
     assert embedding_graph.audit_recall(emb, out) >= 0.99
 
 
+@pytest.mark.parametrize("n, groups, noise", [(1900, 12, 0.11), (1900, 20, 0.05), (1500, 20, 0.11)])
+def test_embedding_groups_larger_than_the_candidates(spark, n, groups, noise):
+    """Shards of the real size, with groups of more near copies than a node has candidates: links and components equal brute force."""
+    r = np.random.default_rng(n + groups)
+    unit = lambda v: v / np.linalg.norm(v, axis=1, keepdims=True)
+    x = unit(unit(r.normal(size=(groups, 64)))[np.arange(n) % groups] + noise * unit(r.normal(size=(n, 64))))
+    emb = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    out = embedding_graph.near_duplicates(emb).cache()
+    recall = embedding_graph.audit_recall(emb, out)
+    print(f"recall {recall} of {groups} groups of {n} vectors")
+    assert recall >= 0.99
+    sim = x @ x.T
+    np.fill_diagonal(sim, 0)
+    link = sim >= 0.98
+    sure = not (np.abs(sim - 0.98) < 1e-12).any()
+    want = components(range(n), np.argwhere(np.triu(link)).tolist())
+    got = {r.vec_id: (r.n_links, r.component_id) for r in out.collect()}
+    assert sure and {i: c for i, (_, c) in got.items()} == want
+    lost = sum(int(link[i].sum()) - got[i][0] for i in range(n))
+    assert 0 <= lost <= 0.01 * link.sum()
+
+
 def test_embedding_links_count_at_both_ends(spark, monkeypatch):
     monkeypatch.setattr(embedding_graph, "SHARD", 100)
     x = np.random.default_rng(6).normal(size=(800, 3))  # evenly over a sphere, so many links cross a border
