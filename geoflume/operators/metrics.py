@@ -286,7 +286,7 @@ def explain_json(df: DataFrame) -> DataFrame:
 
 def build_snapshots(state: DataFrame, reg: DataFrame, now, rank: bool = True) -> DataFrame:
     """Values, deltas and ranks over the whole history; write only touched keys with versions.restrict_to. rank=False leaves the rank null."""
-    s = with_delta(finalize(state, reg))
+    s = with_delta(finalize(state, reg).select(*SUBJECT, "window_end", "materialization_key", "rollup_rule", "metric_value"))
     s = with_rank(s) if rank else s.withColumn("rank", F.lit(None).cast("long"))
     s = s.withColumn("snapshot_id", F.concat(F.lit("snapshot:"), "materialization_key")).withColumn("snapshot_at", F.lit(now).cast("timestamp"))
     return explain_json(s).select("snapshot_id", *SUBJECT, "window_end", "materialization_key", "snapshot_at", "metric_value", "metric_delta", "rank", "rollup_rule", "attrs", "evidence")
@@ -305,7 +305,7 @@ def hotspots(surface: DataFrame, reg: DataFrame) -> DataFrame:
     """Scores of 60 for value, 25 for rise and 15 for rank within metric, grain and window."""
     s = with_family(surface, reg).where("metric_value > 0 or metric_delta > 0").withColumn("rise", F.greatest("metric_delta", F.lit(0.0)))
     keys = ["metric_id", "subject_grain", "window_grain", "window_start"]
-    s = ranked(s, keys, [F.desc("metric_value"), F.asc("subject_id"), F.asc("place_id")])
+    s = ranked(s.select(*keys, "metric_family", "subject_id", "place_id", "metric_value", "rise"), keys, [F.desc("metric_value"), F.asc("subject_id"), F.asc("place_id")])
     s = with_totals(s, keys, most=F.max("metric_value"), rise_most=F.max("rise"), population_size=F.count("*"))
     rank_part = F.when(F.col("population_size") <= 1, 15.0).otherwise((1 - (F.col("rank") - 1) / (F.col("population_size") - 1)) * 15)
     score = _share(F.col("metric_value"), F.col("most")) * 60 + _share(F.col("rise"), F.col("rise_most")) * 25 + rank_part
