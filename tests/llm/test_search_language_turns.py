@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -11,7 +12,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from geoflume.llm import language_id, lexical_search, turn_repair
+from geoflume.llm import language_id, lexical_search, pii, turn_repair
 from geoflume.llm.queries import QUERIES
 
 MID = "/root/testdata/sf0.01"
@@ -199,3 +200,15 @@ def test_language_edge_cases(spark):
     assert all(g[2] for g in got if g[1] == "und") and not got[1][2] and [g[2] for g in got if g[0] == 5] == [False, True]  # two words are too close a call
     assert {r.lang_pred for r in language_id.identify(docs, language_id.fit(train.where("false")), ["doc_id"]).collect()} == {"und"}
     assert language_id.identify(docs.where("false"), model, ["doc_id"]).count() == 0
+
+
+def test_addresses_in_long_numbers():
+    """The same matches as the stated pattern, and a megabyte of digits in under a second."""
+    plain = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+    rng = random.Random(2)
+    for _ in range(20_000):
+        t = "".join(rng.choice("0123.....a") for _ in range(rng.randrange(40)))
+        assert [m.span() for m in pii._IP.finditer(t)] == [m.span() for m in plain.finditer(t)]
+    began = time.perf_counter()
+    assert pii.base_spans("7" * 1_000_000 + " 1.2.3.4 " + "1." * 3 + "9" * 200_000) == [(1, 1_000_001, 1_000_008)]
+    assert time.perf_counter() - began < 1
