@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoflume.functions import cols
-from geoflume.operators import discovery, metrics, packs, places, promote, quality, serve, tracks, versions
+from geoflume.operators import discovery, metrics, packs, places, promote, quality, serve, tracks, tree, versions
 from geoflume.sources import ingest, views
 from geoflume.sources.views import read_table, with_views
 from geoflume.streaming.jobs import work_dir
@@ -725,6 +725,55 @@ def _(s, d):
     return places.lineage(views.places(s, d)).select("place_id", "path", "admin0_place_id", "continent_place_id", "deepest_level")
 
 
+_DEEP = """deep as (select place_id, parent_place_id, place_type, admin_level, min_lat, min_lon, max_lat, max_lon from places
+    union all select 'plc:c:' || c_custkey, 'plc:' || c_nationkey, 'area', 1, (c_custkey % 180 - 90)::double, (c_custkey % 360 - 180)::double, (c_custkey % 180 - 90)::double, (c_custkey % 360 - 180)::double from customer
+    union all select 'plc:o:' || o_orderkey, 'plc:c:' || o_custkey, 'site', 3, (o_orderkey % 180 - 90)::double, (o_orderkey % 360 - 180)::double, (o_orderkey % 180 - 90)::double, (o_orderkey % 360 - 180)::double from orders)"""
+_MOVED = "tree as (select * replace (case when c_nationkey is null then parent_place_id else 'plc:' || (c_nationkey + 1) % 25 end as parent_place_id) from deep left join (select 'plc:c:' || c_custkey as place_id, c_nationkey from customer where c_acctbal < 0) using (place_id))"
+
+
+def _up(tree: str) -> str:
+    """The SQL of all (a, p) of an ancestor a of p, itself included, in k steps."""
+    return f"up as (select place_id as a, place_id as p, 0 as k from {tree} union all select parent_place_id, p, k + 1 from up join {tree} on a = place_id where parent_place_id <> '')"
+
+
+def _deep(s, d):
+    """The places with each customer as an area of its nation and each order as a site of its customer: a tree that grows with the tables."""
+    c, o = read_table(s, d, "customer"), read_table(s, d, "orders")
+
+    def leaves(df, key, to, kind, level):
+        at = lambda m: (F.col(key) % m - m // 2).cast("double")
+        return df.select(F.concat(F.lit(f"plc:{key[0]}:"), key).alias("place_id"), to.alias("parent_place_id"), F.lit(kind).alias("place_type"), F.lit(level).alias("admin_level"), at(180).alias("min_lat"), at(360).alias("min_lon"), at(180).alias("max_lat"), at(360).alias("max_lon"))
+
+    areas = leaves(c, "c_custkey", F.concat(F.lit("plc:"), "c_nationkey"), "area", 1)
+    return views.places(s, d).drop("canonical_name").unionByName(areas).unionByName(leaves(o, "o_orderkey", F.concat(F.lit("plc:c:"), "o_custkey"), "site", 3))
+
+
+@query("ref_61_tree_lineage", f"select * from (with recursive {_DEEP}, {_up('deep')} select p as place_id, string_agg(a, '>' order by k desc) as path, coalesce(max(a) filter (admin_level = 0), '') as admin0_place_id, coalesce(max(a) filter (admin_level = 1), '') as admin1_place_id, coalesce(max(a) filter (place_type = 'continent'), '') as continent_place_id, max(admin_level) as deepest_level from up join deep on a = place_id group by 1)", "places")
+def _(s, d):
+    return tree.lineage(tree.labels(_deep(s, d))).select("place_id", "path", "admin0_place_id", "admin1_place_id", "continent_place_id", "deepest_level")
+
+
+@query("ref_62_tree_bounds", f"select * from (with recursive {_DEEP}, {_up('deep')} select a as place_id, min(min_lat) as min_lat, min(min_lon) as min_lon, max(max_lat) as max_lat, max(max_lon) as max_lon, max(admin_level) as deepest_level, count(*) as n_places from up join deep on p = place_id group by 1)", "places")
+def _(s, d):
+    return tree.bounds(tree.labels(_deep(s, d)))
+
+
+@query("ref_60_moved_branches", f"select * from (with recursive {_DEEP}, {_MOVED}, {_up('tree')}, way as (select p, string_agg(a, '>' order by k desc) as path from up group by 1), tot as (select a, min(min_lat) as min_lat, max(max_lon) as max_lon, count(*) as n_places from up join tree on p = place_id group by 1) select way.p as place_id, path, min_lat, max_lon, n_places from way join tot on way.p = a)", "places")
+def _(s, d):
+    """Customers in debt move to the next nation; the tree after that, of which only their branches and ancestors are made anew."""
+    moves = read_table(s, d, "customer").where("c_acctbal < 0").selectExpr("concat('plc:c:', c_custkey) as place_id", "concat('plc:', (c_nationkey + 1) % 25) as parent_place_id")
+    t = tree.labels(_deep(s, d))
+    new = tree.relabel(t, moves)
+    after = t.join(new, "place_id", "left_anti").unionByName(new)
+    return after.select("place_id", "path", F.col("sub_min_lat").alias("min_lat"), F.col("sub_max_lon").alias("max_lon"), "n_places")
+
+
+@query("ref_61_tree_rollup", f"select * from (with recursive {_DEEP}, {_up('deep')} select date_trunc('month', o_orderdate)::timestamp as window_start, a as ancestor_id, sum(floor(o_totalprice))::double as metric_value from orders join up on p = 'plc:o:' || o_orderkey group by 1, 2)", "places")
+def _(s, d):
+    spent = read_table(s, d, "orders").select(F.lit("spent").alias("metric_id"), F.lit("month").alias("window_grain"), F.date_trunc("month", F.col("o_orderdate").cast("timestamp")).alias("window_start"), F.lit("place").alias("subject_grain"), F.concat(F.lit("plc:o:"), "o_orderkey").alias("place_id"), F.floor("o_totalprice").cast("double").alias("metric_value"))
+    return tree.rollup(tree.labels(_deep(s, d)), spent).select("window_start", "ancestor_id", "metric_value")
+
+
 @query("ref_62_bounds", "select p.place_id, min(q.min_lat) as min_lat, max(q.max_lat) as max_lat, max(q.admin_level) as deepest_level, count(*) as n_places from places p join places q on p.place_id = q.place_id or q.parent_place_id = p.place_id or (p.place_id = 'plc:world' and q.place_type = 'country') group by 1", "places")
 def _(s, d):
     return places.bounds_and_depth(views.places(s, d)).select("place_id", "min_lat", "max_lat", "deepest_level", "n_places")
