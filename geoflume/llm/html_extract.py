@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,7 +28,9 @@ from geoflume.llm.common import stage
 #: Distinct pages that a host needs for a template (one page has no vectors to compare), the share of them that its classes must cover, and tokens of a class.
 MIN_PAGES, COVER, MIN_CLASS = 2, 0.9, 2
 SALTS = 16
-_TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""", re.S)
+_OPEN = re.compile(r"</?([a-zA-Z][a-zA-Z0-9:-]*)|<[!?]")
+_MARK = re.compile("[>\"']")
+_LONG_NUMBER = re.compile(r"&#([0-9]{8,})")
 _ATTR = re.compile(r"""([a-zA-Z_:@][-\w:.@]*)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _SCRIPT = {"script", "style"}
 #: Skipped to their end tag if they have one; else they are elements like others.
@@ -75,74 +78,166 @@ def _boiler(tag: str, attrs: str, inside_article: bool) -> bool:
     return False
 
 
+def unescape(text: str) -> str:
+    """Text with its character references decoded; decimal ones of any length, which int() would refuse."""
+    return html.unescape(_LONG_NUMBER.sub(lambda m: f"&#{m[1].lstrip('0')[:8] or 0}", text))
+
+
+class _Marks:
+    """Places in a page that many tags ask for, found once each, so that a page is read in time linear in its length."""
+
+    def __init__(self, page: str):
+        self.page, self.size = page, len(page)
+        self.last = page.rfind(">")
+        self.ends: dict[int, int] = {}
+        self.next: dict[object, tuple[int, int, int]] = {}
+
+    def find(self, pattern: re.Pattern, at: int) -> tuple[int, int]:
+        """Start and end of the pattern's first match from here; the page's size, twice, if there is none. Asked with growing places."""
+        asked, start, end = self.next.get(pattern, (self.size + 1, 0, 0))
+        if not asked <= at <= start:
+            m = pattern.search(self.page, at)
+            start, end = m.span() if m else (self.size, self.size)
+            self.next[pattern] = (at, start, end)
+        return start, end
+
+    def close(self, at: int) -> int:
+        """Place of the > that ends the tag whose attributes begin here, -1 if none does; those in quotes don't."""
+        if at > self.last:
+            return -1
+        mark, seen, found = self.find(_MARK, at)[0], [], -1
+        while mark < self.size:
+            if mark in self.ends:
+                found = self.ends[mark]
+                break
+            seen.append(mark)
+            if self.page[mark] == ">":
+                found = mark
+                break
+            shut = self.page.find(self.page[mark], mark + 1)
+            m = _MARK.search(self.page, shut + 1) if shut >= 0 else None
+            mark = m.start() if m else self.size
+        for x in seen:
+            self.ends[x] = found
+        return found
+
+
+_END_TAG: dict[str, re.Pattern] = {x: re.compile(rf"</{x}\s*>", re.I) for x in (*_RAW, "form")}
+_HOLDS = {"ul", "ol", "dl", "table", "article", "section", "div", "nav", "body", "blockquote"}
+
+
+class _Open:
+    """The open elements: for each its tag, whether it is boilerplate, a hash of its path and the place of the nearest one that holds lists or paragraphs."""
+
+    def __init__(self):
+        self.stack: list[tuple[str, bool, str, int]] = []
+        self.places: dict[str, list[int]] = {}
+        self.bad = 0
+
+    @property
+    def path(self) -> str:
+        return self.stack[-1][2] if self.stack else ""
+
+    def push(self, tag: str, boiler: bool) -> None:
+        limit, n = (self.stack[-1][3] if self.stack else -1), len(self.stack)
+        path = xxhash.xxh3_128_hexdigest(f"{self.path}/{tag}".encode()) if tag in _BLOCK else self.path
+        self.stack.append((tag, boiler, path, n if tag in _HOLDS else limit))
+        self.places.setdefault(tag, []).append(n)
+        self.bad += boiler
+
+    def cut(self, n: int) -> None:
+        """Close all but the n outermost."""
+        while len(self.stack) > n:
+            tag, boiler, _, _ = self.stack.pop()
+            self.places[tag].pop()
+            self.bad -= boiler
+
+    def has(self, tag: str) -> bool:
+        return bool(self.places.get(tag))
+
+    def ended_by(self, tag: str) -> int | None:
+        """Place of the outermost element that this one's start closes."""
+        limit = self.stack[-1][3] if self.stack else -1
+        inner = [x[i] for t in _ENDS[tag] if (x := self.places.get(t)) and (i := bisect_right(x, limit)) < len(x)]
+        return min(inner) if inner else None
+
+
 def tokens_of(page: str) -> tuple[list[tuple[str, str]], list[tuple[str, str, str, bool]]]:
-    """The page's elements outside boilerplate as (token, element before), and its blocks there as (token, element before, text, in an article)."""
-    stack: list[tuple[str, bool]] = []
+    """The page's elements outside boilerplate as (token, element before), and its blocks there as (token, element before, text, in an article).
+
+    Takes time linear in the page's length, but for the hash of a path per element and the logarithm of the depth.
+    """
+    marks, el = _Marks(page), _Open()
     tokens: list[tuple[str, str]] = []
     blocks: list[tuple[str, str, str, bool]] = []
     run: list[str] = []
-    at, n, bad, path, before = 0, len(page), 0, "", ""
+    at, text_from, n, path, before = 0, 0, len(page), "", ""
 
     def flush() -> None:
         if run:
-            text = _SPACE.sub(" ", html.unescape("".join(run))).strip()
+            text = _SPACE.sub(" ", unescape("".join(run))).strip()
             run.clear()
             if text:
-                blocks.append((f"{path}#{text}", before, text, any(x == "article" for x, _ in stack)))
-
-    def pop() -> None:
-        nonlocal bad
-        bad -= stack.pop()[1]
+                blocks.append((f"{path}#{text}", before, text, el.has("article")))
 
     while at < n:
-        m = _TOKEN.search(page, at)
-        piece = page[at : m.start()] if m else page[at:]
+        m = _OPEN.search(page, at)
+        start = m.start() if m else n
+        if m and not m[1]:
+            if page.startswith("<!--", start):
+                shut = page.find("-->", start + 4)
+                end = n if shut < 0 else shut + 3
+            elif page.startswith("<![CDATA[", start):
+                shut = page.find("]]>", start + 9)
+                end = n if shut < 0 else shut + 3
+            else:
+                end = page.find(">", start) + 1 if start < marks.last else 0
+        elif m:
+            end = marks.close(m.end()) + 1
+        if m and not end:  # no tag, so text
+            at = m.end()
+            continue
+        piece = page[text_from:start]
         if piece and not m and (cut := piece.rfind("<")) >= 0 and re.match(r"</?[a-zA-Z][^>]*\Z|<!.*\Z", piece[cut:], re.S):
             piece = piece[:cut]  # a tag that the page's end cuts off
-        if piece and not bad:
+        if piece and not el.bad:
             run.append(piece)
         if not m:
             break
-        at = m.end()
-        tag = (m[2] or "").lower()
+        at = end
+        tag, closing = (m[1] or "").lower(), page.startswith("</", start)
         if not tag:
-            if page.startswith("<![CDATA[", m.start()) and not bad:
-                run.append(html.escape(m[0][9:].removesuffix("]]>")))
+            if page.startswith("<![CDATA[", start) and not el.bad:
+                run.append(html.escape(page[start + 9 : end].removesuffix("]]>")))
+            text_from = at
             continue
+        attrs = page[m.end() : end - 1]
         if tag in _BLOCK:
             flush()
         elif tag == "br":
             run.append(" ")
-        if m[1]:
-            names = [x for x, _ in stack]
-            if tag in names:
-                while pop_tag := stack[-1][0]:
-                    pop()
-                    if pop_tag == tag:
-                        break
+        if closing:
+            if el.has(tag):
+                el.cut(el.places[tag][-1])
         else:
-            if tag in _ENDS:
-                limit = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] in ("ul", "ol", "dl", "table", "article", "section", "div", "nav", "body", "blockquote")), -1)
-                inner = [i for i in range(limit + 1, len(stack)) if stack[i][0] in _ENDS[tag]]
-                if inner:
-                    while len(stack) > inner[0]:
-                        pop()
-            boiler = _boiler(tag, m[3], any(x == "article" for x, _ in stack))
-            closed = m[3].rstrip().endswith("/")
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at) if tag in _RAW or tag == "form" else None
+            if tag in _ENDS and (outer := el.ended_by(tag)) is not None:
+                el.cut(outer)
+            boiler = _boiler(tag, attrs, el.has("article"))
+            closed = attrs.rstrip().endswith("/")
+            shut, after = marks.find(_END_TAG[tag], at) if tag in _END_TAG else (n, n)
             if tag == "form":  # one that wraps the page's content is a frame
-                boiler = not _CONTENT.search(page, at, end.start() if end else n)
-            if tag in _SCRIPT or tag in _RAW and end and not closed:
-                at = end.end() if end else n
+                boiler = marks.find(_CONTENT, at)[0] >= shut
+            if tag in _SCRIPT or tag in _RAW and shut < n and not closed:
+                at = after
             elif tag not in _VOID and not closed:
                 boiler &= tag not in _RAW
-                stack.append((tag, boiler))
-                bad += boiler
-                if tag in _BLOCK and not bad:
+                el.push(tag, boiler)
+                if tag in _BLOCK and not el.bad:
                     tokens.append((f"{path}<{tag}>", before))
         if tag in _BLOCK:
-            path = "/".join(x for x, _ in stack if x in _BLOCK)
-            before = f"{path}<{m[1]}{tag}>"
+            path = el.path
+            before = f"{path}<{'/' if closing else ''}{tag}>"
+        text_from = at
     flush()
     return tokens, blocks
 

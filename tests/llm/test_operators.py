@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -669,6 +670,21 @@ def test_html_keeps_article_text_and_reads_odd_markup():
     assert [x[2] for x in html_extract.tokens_of(page)[1]] == ["My title", "Lede", "Related work", "Methods", "Let x be", "shown", "Body", "After"]
 
 
+@pytest.mark.parametrize("page", ["<a " * 330_000, '<a "' * 250_000, "<a '\"" * 200_000 + ">", "<form>x" * 140_000 + "<h1>", "<div>" * 200_000, "<b>" * 100_000 + "<p>" * 100_000, "<!" * 500_000, "<title>" * 140_000], ids=["a", "quote", "quotes", "form", "deep", "inline", "mark", "title"])
+def test_html_long_odd_pages_take_linear_time(page):
+    def seconds(text):
+        begin = time.process_time()
+        html_extract.tokens_of(text)
+        return time.process_time() - begin
+
+    # a tenth of the page in about a tenth of the time; quadratic time would be a hundredth
+    assert seconds(page) < 40 * max(seconds(page[: len(page) // 10]), 0.02)
+
+
+def test_html_numbers_of_any_length():
+    assert html_extract.unescape("&#" + "9" * 6000 + "; &#" + "0" * 6000 + "65; &#0000000000; &#x41; &amp;") == "\ufffd A \ufffd A &"
+
+
 def test_html_template_of_made_hosts(spark):
     """Names tell nothing here: what recurs is template text, except in articles; pages of one text count once."""
     frame = "<body><div class=a>Shop of things</div><div class=b><span>Since 1999</span></div><div class=c>{}</div><div class=a>All rights</div></body>"
