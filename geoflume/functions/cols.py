@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 EARTH_KM, EQUATOR_KM = 6371.0, 6378.137
@@ -152,3 +152,8 @@ def euclidean(a, b) -> Column:
 
 
 DEGREE = math.pi / 180
+
+
+def broadcast_small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """df with a broadcast hint if it has no more rows than that; else Spark joins it as it thinks best. Counts up to that many rows at once."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from geoflume.functions.cols import c, round4, weight
+from geoflume.functions.cols import broadcast_small, c, round4, weight
 from geoflume.sources import files
 
 WORLD = "plc:world"
@@ -39,7 +39,7 @@ def registry(spark: SparkSession) -> DataFrame:
 
 def with_family(df: DataFrame, reg: DataFrame) -> DataFrame:
     """df with the metric's family, or its id where the registry has none. The registry is a list of constants."""
-    return df.join(F.broadcast(reg.select("metric_id", "metric_family")), "metric_id", "left").withColumn("metric_family", F.coalesce("metric_family", "metric_id"))
+    return df.join(broadcast_small(reg.select("metric_id", "metric_family")), "metric_id", "left").withColumn("metric_family", F.coalesce("metric_family", "metric_id"))
 
 
 def window_of(ts: str | Column, grain: str) -> tuple[Column, Column]:
@@ -230,7 +230,7 @@ def merge_state(*states: DataFrame) -> DataFrame:
 
 def finalize(state: DataFrame, reg: DataFrame) -> DataFrame:
     """metric_value by the registry's rule."""
-    j = state.join(F.broadcast(reg.select("metric_id", "rollup_rule")), "metric_id")
+    j = state.join(broadcast_small(reg.select("metric_id", "rollup_rule")), "metric_id")
     value = (
         F.when(F.col("rollup_rule") == "weighted_avg", F.when(F.col("weight_sum") == 0, 0.0).otherwise(F.col("value_sum") / F.col("weight_sum")))
         .when(F.col("rollup_rule") == "distinct_sources_per_contribution", F.when(F.col("n") == 0, 0.0).otherwise(F.size("sources") / F.col("n")))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoflume.functions.cols import band, blank, c, canonical_id, clamp, hours, non_blank, percent, round4, round8, weight
+from geoflume.functions.cols import band, blank, broadcast_small, c, canonical_id, clamp, hours, non_blank, percent, round4, round8, weight
 from geoflume.operators.metrics import saturating_score
 
 
@@ -108,7 +108,7 @@ def port_places(csv: DataFrame) -> DataFrame:
 
 def country_by_prefix(df: DataFrame, table: DataFrame, col: str = "mmsi") -> DataFrame:
     """Country by an identifier's first three digits; else the flag, else blank. The table of prefixes has a thousand rows at most."""
-    j = df.withColumn("__p", F.substring(col, 1, 3)).join(F.broadcast(table.select(F.col("prefix").alias("__p"), F.col("country").alias("__c"))), "__p", "left")
+    j = df.withColumn("__p", F.substring(col, 1, 3)).join(broadcast_small(table.select(F.col("prefix").alias("__p"), F.col("country").alias("__c"))), "__p", "left")
     return j.withColumn("country", F.coalesce("__c", non_blank("flag_state") if "flag_state" in df.columns else F.lit(None), F.lit(""))).drop("__p", "__c")
 
 
@@ -295,7 +295,7 @@ def safety_scores(obs: DataFrame) -> DataFrame:
 
 def with_aliases(registry: DataFrame, aliases: DataFrame) -> DataFrame:
     """Registry rows and deprecated copies of them under their old ids. aliases: legacy_id, metric_id."""
-    old = registry.join(F.broadcast(aliases), "metric_id").withColumn("replacement_metric_id", F.col("metric_id")).withColumn("metric_id", F.col("legacy_id")).withColumn("deprecated", F.lit(True)).drop("legacy_id")
+    old = registry.join(broadcast_small(aliases), "metric_id").withColumn("replacement_metric_id", F.col("metric_id")).withColumn("metric_id", F.col("legacy_id")).withColumn("deprecated", F.lit(True)).drop("legacy_id")
     return registry.withColumn("replacement_metric_id", F.lit("")).withColumn("deprecated", F.lit(False)).unionByName(old)
 
 
