@@ -14,7 +14,7 @@ from geoflume.llm.common import stage
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose lines the classifier finds bad; rows without text go too."""
+    """Rejects documents whose lines the classifier finds bad, rows without text among them; without labels of both kinds all rows have one score."""
     model = crf_quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     held = spark.sparkContext.broadcast(model)
 
