@@ -13,6 +13,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ MIN_PLAIN = 2
 SHIFT = 8
 #: Item windows up to which the windows are broadcast (16 MB); beyond, they are joined by shuffle.
 BROADCAST_WINDOWS = 1_000_000
+#: Lower-case words of the benchmark up to which they are broadcast; beyond, each text is joined to those of its own that it needs.
+BROADCAST_WORDS = 1_000_000
 #: Words that stand for units of measure.
 _UNITS = frozenset(
     "mm cm m km mg g kg t ml l s sec secs second seconds min mins minute minutes h hr hrs hour hours day days week weeks month months year years "
@@ -38,6 +41,12 @@ _UNITS = frozenset(
 )
 #: Words that belong to the number before them.
 _SCALES = frozenset("hundred hundreds thousand thousands million millions billion billions trillion trillions dozen".split())
+#: Numbers in words.
+_NUMBERS = {
+    "zero": 0, "one": 1, "two": 2, "three": 3, "four": 4, "five": 5, "six": 6, "seven": 7, "eight": 8, "nine": 9, "ten": 10,
+    "eleven": 11, "twelve": 12, "thirteen": 13, "fourteen": 14, "fifteen": 15, "sixteen": 16, "seventeen": 17, "eighteen": 18, "nineteen": 19,
+    "twenty": 20, "thirty": 30, "forty": 40, "fifty": 50, "sixty": 60, "seventy": 70, "eighty": 80, "ninety": 90,
+}
 #: Leading bits of a window's hash that a task looks up before the hash itself.
 FILTER_BITS = 22
 _SHIFT = np.uint64(64 - FILTER_BITS)
@@ -56,13 +65,28 @@ def _word_hash(w: str) -> int:
     return xxhash.xxh3_64_intdigest(w.lower()) & ~1 | 1 << 63
 
 
+def _figures(run: str) -> str:
+    """A run of number tokens with its words as figures: `twenty five million` is `25 million`."""
+    out: list[str] = []
+    tens = False
+    for w in run.split(" "):
+        v = _NUMBERS.get(w)
+        if v is not None and 0 < v < 10 and tens:
+            out[-1] = str(int(out[-1]) + v)
+        elif w != "and":
+            out.append(w if v is None else str(v))
+        tens = v is not None and v >= 20
+    return " ".join(out)
+
+
 def canonical(text: str, plain: frozenset[str] | None = None) -> tuple[np.ndarray, list[str | None]]:
     """Hashes of the template's tokens, and the value of each placeholder (None for plain words).
 
     A name is a capitalised word, at the start of a sentence only if it isn't
     one of the words in `plain` (without them, never there); texts whose words
     are mostly in upper case are shouting and have no names. A run of names, or
-    of numbers and the words of scale after them, is one placeholder.
+    of numbers and the words of scale after them, is one placeholder. Numbers in
+    words are numbers, with their figures as values.
     """
     if len(_words) > CACHE:
         _words.clear()
@@ -70,12 +94,17 @@ def canonical(text: str, plain: frozenset[str] | None = None) -> tuple[np.ndarra
     toks = _TOKEN.findall(text)
     hashes = list(map(_words.get, toks))
     slots: dict[int, str] = {}
+    spelled = False
     for i in [i for i, h in enumerate(hashes) if h is None] if None in hashes else ():
         w = toks[i]
         if w[0].isdigit():
             hashes[i], slots[i] = int(_NUM), w
         elif w in "$€£%°" or w.lower() in _UNITS:
             hashes[i], slots[i] = int(_UNIT), w.lower()
+        elif w.lower() in _NUMBERS:
+            hashes[i], slots[i], spelled = int(_NUM), w.lower(), True
+            if i - 2 in slots and toks[i - 1] == "and" and toks[i - 2].lower() in _SCALES:
+                hashes[i - 1], slots[i - 1] = int(_NUM), "and"
         elif w.lower() in _SCALES:
             number = i and hashes[i - 1] == int(_NUM)
             hashes[i] = int(_NUM) if number else _word_hash(w)
@@ -100,6 +129,8 @@ def canonical(text: str, plain: frozenset[str] | None = None) -> tuple[np.ndarra
     if drop:
         h[drop] = 0
         word = np.flatnonzero(h)
+    if spelled:
+        slots = {i: _figures(v) if h[i] == _NUM else v for i, v in slots.items()}
     values: list[str | None] = [None] * len(word)
     for i, k in zip(slots, np.searchsorted(word, list(slots)).tolist()):
         values[k] = slots[i]
@@ -111,6 +142,27 @@ def plain_words(text: str) -> set[str]:
     return {w for w in _TOKEN.findall(text) if w[0].islower()}
 
 
+def _capital_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, b, word) of each text with the hashes a and b: its distinct capitalised words, in lower case."""
+    for b in batches:
+        out = []
+        for x, y, t in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3)):
+            out += ((x, y, w) for w in {w.lower() for w in _TOKEN.findall(t.as_py().decode("utf-8", "replace")) if w[0].isupper()})
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 3, (pa.int64(), pa.int64(), pa.string()))], ["a", "b", "word"])
+
+
+def _with_plain(t: DataFrame, words: DataFrame) -> DataFrame:
+    """t (doc_id, text) with the words of `words` that the text has as capitalised ones."""
+    t = t.select("doc_id", F.xxhash64("text").alias("a"), F.xxhash64(F.lit(7), "text").alias("b"), "text")
+    has = t.mapInArrow(_capital_rows, "a long, b long, word string").distinct().join(words, "word").groupBy("a", "b").agg(F.collect_set("word").alias("plain"))
+    return t.join(has, ["a", "b"], "left").select("doc_id", "text", F.coalesce("plain", F.array().cast("array<string>")).alias("plain"))
+
+
+def _plain_of(b: pa.RecordBatch, plain) -> Iterator:
+    """The plain words for each row: the broadcast ones, or the row's own."""
+    return repeat(plain.value, b.num_rows) if plain is not None else (frozenset(x.as_py()) for x in b.column(2))
+
+
 def window_size(n: int, size: int) -> int:
     """Tokens of the windows of an item of n tokens: so few that the windows beside one changed word still cover COVERAGE of it."""
     return n if n < size else min(size, max(3, int(n * (1 - COVERAGE))))
@@ -150,8 +202,8 @@ def _item_rows(size: int, plain):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out: list[tuple] = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
-                h, values = canonical(t.as_py().decode("utf-8", "replace"), plain.value)
+            for i, t, known in zip(b.column(0).to_pylist(), b.column(1), _plain_of(b, plain)):
+                h, values = canonical(t.as_py().decode("utf-8", "replace"), known)
                 k = window_size(len(h), size)
                 for _, w in windows(h, values, [k] if i is not None else []):
                     out += ((i, x, at, k, len(h), values[at : at + k]) for at, x in enumerate(w.view(np.int64).tolist()))
@@ -171,9 +223,9 @@ def _doc_rows(sizes: list[int], held, plain):
             near[(known >> _SHIFT).astype(np.int64)] = True
         for b in batches:
             out: list[tuple] = []
-            for i, t in zip(b.column(0).to_pylist(), b.column(1)):
+            for i, t, lower in zip(b.column(0).to_pylist(), b.column(1), _plain_of(b, plain)):
                 raw = t.as_py()
-                h, values = canonical(raw.decode("utf-8", "replace"), plain.value)
+                h, values = canonical(raw.decode("utf-8", "replace"), lower)
                 key = xxhash.xxh3_64_intdigest(raw) - (1 << 63)
                 for k, w in windows(h, values, sizes):
                     if known is None:
@@ -271,7 +323,7 @@ def _match_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*[best(held)]), kinds)], names)
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, consistency: float = 0.75, broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverage: float = COVERAGE, consistency: float = 0.75, broadcast_windows: int = BROADCAST_WINDOWS, broadcast_words: int = BROADCAST_WORDS) -> DataFrame:
     """Documents that hold a benchmark item's template: doc_id, text_key (hash of the text), item_id, coverage, slot_consistency, reparameterised.
 
     docs: doc_id, text; benchmark: item_id, text; other columns are ignored. A
@@ -283,14 +335,16 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, coverag
     more consistent chain counts. Empty tables give no rows.
     """
     spark = docs.sparkSession
-    words = texts(benchmark, "item_id").mapInArrow(_plain_rows, "word string").distinct().collect()  # the benchmark's vocabulary
-    plain = spark.sparkContext.broadcast(frozenset(r.word for r in words))
-    items = stage(texts(benchmark, "item_id").mapInArrow(_item_rows(window, plain), _ITEM), "bench-windows")
+    words = stage(texts(benchmark, "item_id").mapInArrow(_plain_rows, "word string").distinct(), "bench-words")
+    few = words.count() <= broadcast_words
+    plain = spark.sparkContext.broadcast(frozenset(r.word for r in words.collect())) if few else None
+    read = (lambda t: t) if few else lambda t: _with_plain(t, words)
+    items = stage(read(texts(benchmark, "item_id")).mapInArrow(_item_rows(window, plain), _ITEM), "bench-windows")
     sizes = sorted(r.size for r in items.select("size").distinct().collect())  # at most `window` of them
     held = None
     if items.count() <= broadcast_windows:
         held = spark.sparkContext.broadcast(np.unique(np.array([r.w for r in items.select("w").distinct().collect()], np.int64).view(np.uint64)))
-    d = texts(docs).mapInArrow(_doc_rows(sizes, held, plain), "doc_id long, text_key long, w long, pos int, doc_slots array<string>")
+    d = read(texts(docs)).mapInArrow(_doc_rows(sizes, held, plain), "doc_id long, text_key long, w long, pos int, doc_slots array<string>")
     j = d.join(items, "w").where("size(slots) = size(doc_slots)").select("doc_id", "text_key", "item_id", (F.col("pos") - F.col("at")).alias("diagonal"), "at", "n", "slots", "doc_slots")
     j = j.repartition("doc_id", "text_key", "item_id").sortWithinPartitions("doc_id", "text_key", "item_id", "diagonal", "at")
     return j.mapInArrow(_match_rows, _MATCH).where((F.col("coverage") >= coverage) & (F.col("slot_consistency") >= consistency))

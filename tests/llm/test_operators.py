@@ -716,6 +716,7 @@ def test_decontamination_finds_all_items(spark):
     got = {(r.doc_id, r.item_id) for r in decontaminate.matches(d, b).collect()}
     assert want and got == want
     assert {(r.doc_id, r.item_id) for r in decontaminate.matches(d, b, broadcast_windows=0).collect()} == want
+    assert {(r.doc_id, r.item_id) for r in decontaminate.matches(d, b, broadcast_words=0).collect()} == want
 
 
 @pytest.mark.parametrize(
@@ -746,6 +747,25 @@ def test_decontamination_edit_of_any_word():
     assert h.tolist() == g.tolist() and values == ["Tom", None, "3", "Tom", None, "4"] and others == ["Mary Ann", None, "5 million", "Mary Ann", None, "6"]
 
 
+def test_decontamination_of_numbers_in_words(spark):
+    """Numbers in words are placeholders like figures, with the same values; a run of them is one."""
+    values = lambda t: [v for v in decontaminate.canonical(t, frozenset({"a", "the"}))[1] if v]
+    assert values("the twenty-five men of two hundred and five saw 3 and four; nine million or 9 million") == ["25", "2 hundred 5", "3", "4", "9 million", "9 million"]
+    assert values("the forty two and zero ten") == ["42", "0 10"]
+    items = [(1, "A train travels 60 miles in 2 hours before it stops at the old station, how fast is it?"), (2, "Name three primary colors used in painting."), (3, "See no one at all on the long road to the town today")]
+    docs = [
+        (1, "Look. A train travels sixty miles in two hours before it stops at the old station, how fast is it? Good."),
+        (2, "A train travels ninety-five miles in three hours before it stops at the old station, how fast is it?"),
+        (3, "So. Name four primary colors used in painting. Done"), (4, "Primary colors are used in painting, as four men say."),
+        (5, "See no one at all on the long road to the town today"), (6, None),
+    ]
+    d, b = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    want = [(1, 1, False), (2, 1, True), (3, 2, True), (5, 3, False)]
+    for limit in (1_000_000, 0):  # broadcast, and joined
+        got = decontaminate.matches(d, b, broadcast_words=limit, broadcast_windows=limit).collect()
+        assert sorted((r.doc_id, r.item_id, r.reparameterised) for r in got) == want
+
+
 def test_decontamination_of_changed_parameters(spark):
     item = "If Tom has 12 apples and gives Anna 5 of the 12 apples, how many km must Tom then walk to find 7 more apples today?"
     docs = [
