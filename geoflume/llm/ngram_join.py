@@ -333,6 +333,25 @@ def _named_rows(num: int, den: int, most: int):
     return rows
 
 
+def _tiles(members: DataFrame) -> DataFrame:
+    """members (bucket, cls, label, parts, ...) with the group (i, j) of each comparison that a member takes part in, and its own part.
+
+    A bucket of one part is group (0, 0). In a larger one the members of the commonest component, in parts below 0, meet the
+    others only: they go to each part of the others, so with few others they are sent once or twice however many they are.
+    """
+    n = members.where("parts > 1").groupBy("bucket", "label").agg(F.count("*").alias("n"))
+    n = n.groupBy("bucket").agg(F.max_by("label", F.struct("n", -F.col("label"))).alias("common"), F.max("n").alias("most"), F.sum("n").alias("all"))
+    n = n.select("bucket", "common", F.ceil(F.col("most") / PART).alias("c"), F.ceil((F.col("all") - F.col("most")) / PART).alias("o"))
+    x = members.join(n, "bucket", "left").where("o is null or o > 0")
+    h, same, zero = F.xxhash64("cls"), F.col("label") == F.col("common"), F.lit(0).cast("long")
+    x = x.withColumn("part", F.when(F.col("o").isNull(), zero).when(same, -1 - F.pmod(h, F.col("c"))).otherwise(F.pmod(h, F.col("o"))))
+    pair = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    others, commons = F.sequence(zero, F.col("o") - 1), F.sequence(zero, F.col("c") - 1)
+    met = F.concat(F.transform(others, lambda k: pair(F.least("part", k), F.greatest("part", k))), F.transform(commons, lambda k: pair(-1 - k, F.col("part"))))
+    groups = F.when(F.col("o").isNull(), F.array(pair(zero, zero))).when(same, F.transform(others, lambda k: pair(F.col("part"), k))).otherwise(met)
+    return x.withColumn("at", F.explode(groups)).withColumns({"i": F.col("at.i"), "j": F.col("at.j")}).drop("at", "common", "c", "o")
+
+
 def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """Components of documents whose n-gram sets have Jaccard similarity of num / den at least.
 
@@ -385,9 +404,7 @@ def ngram_components(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) ->
         left = stage(members.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls")), "ngram-left")
         if go_on is None:
             go_on = left.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("bucket")
-        x = left.join(go_on, "bucket", "left_semi").withColumn("part", own)
-        x = x.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))).join(info, "cls")
-        x = x.select("bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "cls", "label", "n", "sk")
+        x = _tiles(left.join(go_on, "bucket", "left_semi").join(info, "cls")).select("bucket", "i", "j", "part", "cls", "label", "n", "sk")
         x = x.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "cls")
         named = stage(x.mapInArrow(_named_rows(num, den, most), "bucket long, a long, b long, more boolean"), "ngram-named")
         new = named.select("a", "b").distinct().join(tested.select("a", "b"), ["a", "b"], "left_anti")

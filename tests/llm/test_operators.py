@@ -76,8 +76,10 @@ def test_ngram_components_equal_brute_force(spark, n, num, den):
     assert {i: r.n_shingles for i, r in got.items()} == {i: len(s) for i, s in sets.items()}
 
 
-def test_ngram_components_of_a_drifting_group(spark):
-    """Near copies of near copies: most pairs of the group are no links, and chains matter."""
+@pytest.mark.parametrize("part", [2048, 20])
+def test_ngram_components_of_a_drifting_group(spark, part, monkeypatch):
+    """Near copies of near copies: most pairs of the group are no links, and chains matter; with 20, in a split bucket."""
+    monkeypatch.setattr(ngram_join, "PART", part)
     rng, docs = random.Random(3), []
     base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
     for i in range(150):
@@ -92,6 +94,25 @@ def test_ngram_components_of_a_drifting_group(spark):
     assert 1 < len(set(want.values())) < 150
 
 
+def test_ngram_tiles_let_all_components_meet(spark, monkeypatch):
+    """Members of different components meet in one group; those of the commonest are sent once if few others are left."""
+    monkeypatch.setattr(ngram_join, "PART", 10)
+    label = {1: lambda i: int(i == 77), 2: lambda i: i % 7, 3: lambda i: i, 4: lambda i: 5, 5: lambda i: i % 2}
+    data = [(b, i, f(i), 1 if b == 5 else 10) for b, f in label.items() for i in range(100)]
+    got = ngram_join._tiles(spark.createDataFrame(data, "bucket long, cls long, label long, parts long")).collect()
+    groups = defaultdict(list)
+    for r in got:
+        groups[r.bucket, r.i, r.j].append((r.part, r.cls))
+    met = Counter()
+    for (b, i, j), members in groups.items():
+        left, right = ([c for p, c in members if p == k] for k in (i, j))
+        assert len(left) + len(right) == len(members) * (1 + (i == j))
+        met.update({(b, min(x, y), max(x, y)) for x in left for y in right if label[b](x) != label[b](y)})
+    assert met == Counter((b, x, y) for b, f in label.items() for x, y in combinations(range(100), 2) if f(x) != f(y))
+    sent = Counter(r.bucket for r in got)
+    assert sent[1] == 99 + 10 + 1 and sent[4] == 0 and sent[5] == 100 and sent[3] <= 100 * 11
+
+
 def test_ngram_edge_cases(spark):
     got = ngram_join.ngram_components(spark.createDataFrame(EDGE, EDGE_SCHEMA), 3, 9, 10).collect()
     assert len(got) == len(EDGE)
