@@ -334,6 +334,54 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(crf_quality._marginal_good(un, tr), crf_quality.forward_backward(un, tr)[0][:, 1])
 
 
+def plain_line(line, before):
+    """Features of one line, byte by byte."""
+    share = lambda chars: sum(c in chars for c in line) / len(line)
+    low, up, dig = (bytes(range(ord(x), ord(y) + 1)) for x, y in ("az", "AZ", "09"))
+    upper, odd, words = share(up), share(b"!|#$%&*+=<>[]{}~^_@\\/"), line.split()
+    count = max(1, len(words))
+    distinct = len(set(words)) / count
+    return [
+        math.log(1 + len(line)) / 8, math.log(1 + count) / 6, share(low), upper, share(dig), share(b" \t\r\x0b\x0c"), share(b".,;:'-?"), min(odd * 5, 1),
+        float(odd > 0.05), len(line) / count / 20, distinct, float(line in before), float(upper > 0.4), float(distinct < 0.5 and count > 12),
+    ]
+
+
+def plain_quality(model, text):
+    """The score by summing over all labellings of the lines."""
+    lines = [x for x in text.split(b"\n") if x.strip()]
+    own = [plain_line(x, lines[:i]) for i, x in enumerate(lines)]
+    n, zero = len(own), [0.0] * 14
+    full = [own[i] + (own[i - 1] if i else zero) + (own[i + 1] if i + 1 < n else zero) + [float(i == 0), float(i == n - 1), 1.0] for i in range(n)]
+    unary = [sum((x - m) / d * w for x, m, d, w in zip(f, model["mean"], model["dev"], model["w"])) for f in full]
+    z, good = 0.0, [0.0] * n
+    for code in range(2**n):
+        y = [(code >> i) & 1 for i in range(n)]
+        p = math.exp(sum(u for u, v in zip(unary, y) if v) + sum(model["trans"][a][b] for a, b in zip(y, y[1:])))
+        z += p
+        good = [g + p * v for g, v in zip(good, y)]
+    p = sum(g / z * len(x) for g, x in zip(good, lines)) / sum(map(len, lines))
+    p = min(max(p, 1e-6), 1 - 1e-6)
+    return 1 / (1 + math.exp(-(model["cal"][0] * math.log(p / (1 - p)) + model["cal"][1])))
+
+
+def test_quality_score_equals_sum_over_labellings(spark):
+    rng = random.Random(8)
+    piece = lambda: rng.choice(["word", "Title", "SHOUT", "12,5", "a|b#c", "été", "word word", "x" * 30, "\t", "ok."])
+    line = lambda: " ".join(piece() for _ in range(rng.randrange(0, 30)))
+    docs = []
+    for i in range(40):
+        lines = [line() for _ in range(rng.randrange(1, 8))]
+        docs.append((i, "\n".join(lines + lines[:2])))
+    docs = [(i, t) for i, t in docs if t.strip()]
+    g = np.random.default_rng(8)
+    model = {"w": g.normal(size=45) / 3, "mean": g.normal(size=45) / 5, "dev": 0.5 + g.random(45), "trans": g.normal(size=(2, 2)), "cal": (0.8, -0.3)}
+    got = {r.doc_id: r for r in crf_quality.classify(spark.createDataFrame(docs, "doc_id long, text string"), model).collect()}
+    want = {i: plain_quality(model, t.encode()) for i, t in docs}
+    assert set(got) == set(want) and len({round(x, 3) for x in want.values()}) > 20
+    assert all(abs(got[i].score - want[i]) < 1e-9 and got[i].predicted == (want[i] >= 0.5) for i in want)
+
+
 def test_quality_edge_cases(spark):
     docs = spark.createDataFrame(EDGE, EDGE_SCHEMA)
     labels = spark.createDataFrame([(4, 1, 0), (7, 0, 0), (None, 1, 0), (6, None, None)], "doc_id long, quality int, toxic int")
