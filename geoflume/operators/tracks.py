@@ -182,42 +182,56 @@ def min_distance(a: DataFrame, b: DataFrame, within: int = 300) -> DataFrame:
     return j.groupBy("entity_id", "peer_id").agg(F.min(haversine("latitude", "longitude", "lat2", "lon2")).alias("distance_km"))
 
 
-#: Sides of the cells, in km, of the rounds of nearest_peer; the last reaches round the globe.
-RINGS = (50.0, 200.0, 800.0, 3200.0, 12800.0)
+#: Distances, in km, of the rounds of nearest_peer; the last reaches round the globe.
+RINGS = (12.5, 50.0, 200.0, 800.0, 3200.0, 12800.0)
+#: A cell's side, in distances of its round and in times of `within`: a point has about (1 + 2 / CELL) ** 3 copies.
+CELL = 4
+
+
+def _meet(left: DataFrame, right: DataFrame, km: float | None, within: int) -> DataFrame:
+    """Pairs of points at most km (None: any distance) and `within` seconds apart. The copied side is never broadcast: Spark doesn't count copies when it guesses its size."""
+    wide, long = (km or 0) * CELL, within * CELL * 1000
+    near = lambda v, by, size: F.explode(F.sequence(F.floor((F.col(v) - by) / size), F.floor((F.col(v) + by) / size)))
+    x = left.withColumn("slot", F.floor(F.col("t") / long))
+    y = right.select(F.col("entity_id").alias("peer_id"), F.col("t").alias("t2"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"), *[F.col(v).alias(f"{v}2") for v in "xyz"]).withColumn("slot", near("t2", within * 1000, long))
+    keys = ["slot"]
+    if km is not None:
+        for v in "xyz":
+            x, y = x.withColumn(f"c{v}", F.floor(F.col(v) / wide)), y.withColumn(f"c{v}", near(f"{v}2", km, wide))
+            keys.append(f"c{v}")
+    j = x.join(y.hint("merge"), keys).where((F.col("entity_id") != F.col("peer_id")) & (F.abs(F.col("t") - F.col("t2")) <= within * 1000))
+    if km is not None:  # a chord is no longer than its arc
+        j = j.where(sum((F.col(v) - F.col(f"{v}2")) * (F.col(v) - F.col(f"{v}2")) for v in "xyz") <= km * km * (1 + 1e-6) + 1e-6)
+    return j
 
 
 def nearest_peer(a: DataFrame, b: DataFrame, within: int = 300, rings: tuple = RINGS) -> DataFrame:
     """(entity_id, peer_id, distance_km): of each entity of a the nearest of b's others, at most `within` seconds apart; ties by id.
 
     Points lie in cells of space (not of the map, so poles and the date line are
-    nothing special) and time. A round finds all pairs at most a cell's side
-    apart, so an entity whose best is no farther is settled; the rest go on with
-    wider cells, of which there are fewer: the copies of b's points stay few.
-    Busy cells of wide rounds are split by the adaptive skew join.
+    nothing special) and time. A round finds all pairs at most its distance
+    apart, so an entity that has one is settled; the rest go on to the next, with
+    wider cells, until none is left. Cells are wider than the distance, so a point of b has
+    few copies. Busy cells of wide rounds are split by the adaptive skew join.
     """
-    slot = _slots(within)
 
     def placed(df: DataFrame) -> DataFrame:
         la, lo = F.radians("latitude"), F.radians("longitude")
-        return df.select("entity_id", F.unix_millis("observed_at").alias("t"), "latitude", "longitude", slot("observed_at").alias("slot"), (F.cos(la) * F.cos(lo) * EARTH_KM).alias("x"), (F.cos(la) * F.sin(lo) * EARTH_KM).alias("y"), (F.sin(la) * EARTH_KM).alias("z"))
+        df = df.where("latitude is not null and longitude is not null and observed_at is not null")
+        return df.select("entity_id", F.unix_millis("observed_at").alias("t"), "latitude", "longitude", (F.cos(la) * F.cos(lo) * EARTH_KM).alias("x"), (F.cos(la) * F.sin(lo) * EARTH_KM).alias("y"), (F.sin(la) * EARTH_KM).alias("z"))
 
-    left, right = placed(a.where("latitude is not null and longitude is not null and observed_at is not null")), placed(b.where("latitude is not null and longitude is not null and observed_at is not null"))
+    left, right = placed(a), placed(b)
     done = None
-    for n, side in enumerate(rings):
-        at = lambda v: F.floor(F.col(v) / side)  # noqa: E731,B023
-        most = int(EARTH_KM // side) + 1  # cells are -most to most - 1 along each axis
-        x = left.withColumns({v: at(v) for v in "xyz"})
-        beside = lambda v: F.filter(F.array(*[at(v) + k for k in (-1, 0, 1)]), lambda i: i.between(-most, most - 1))  # noqa: E731,B023
-        y = right.select(F.col("entity_id").alias("peer_id"), F.col("t").alias("t2"), F.col("latitude").alias("lat2"), F.col("longitude").alias("lon2"), F.explode(F.array(*[F.col("slot") + k for k in (-1, 0, 1)])).alias("slot"), *[beside(v).alias(v) for v in "xyz"])
-        for v in "xyz":
-            y = y.withColumn(v, F.explode(v))
-        j = x.join(y, ["slot", "x", "y", "z"]).where((F.col("entity_id") != F.col("peer_id")) & (F.abs(F.col("t") - F.col("t2")) <= within * 1000))
-        best = j.groupBy("entity_id").agg(F.min(F.struct(haversine("latitude", "longitude", "lat2", "lon2").alias("d"), "peer_id")).alias("b"))
+    for n, km in enumerate(rings):
         last = n == len(rings) - 1
-        found = files.staged(best.select("entity_id", "b.peer_id", F.col("b.d").alias("distance_km")).where(F.lit(last) | (F.col("b.d") <= side)), "nearest-peer")
+        j = _meet(left, right, None if last else km, within).withColumn("d", haversine("latitude", "longitude", "lat2", "lon2"))
+        best = j.where(F.lit(last) | (F.col("d") <= km)).groupBy("entity_id").agg(F.min(F.struct("d", "peer_id")).alias("b"))
+        found = files.staged(best.select("entity_id", "b.peer_id", F.col("b.d").alias("distance_km")), "nearest-peer")
         done = found if done is None else done.unionByName(found)
         if not last:
-            left = left.join(found.select("entity_id"), "entity_id", "left_anti")
+            left = files.staged(left.join(found.select("entity_id"), "entity_id", "left_anti"), "nearest-peer-left")
+            if left.isEmpty():
+                break
     return done
 
 
