@@ -16,6 +16,28 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_pairs_that_met_are_not_shuffled(spark, sf, monkeypatch):
+    """Several parts and shares, chunks of few pairs, and missing positions, ids and times."""
+    monkeypatch.setattr(tracks, "PEERS", 40)
+    monkeypatch.setattr(tracks, "PAIRS", 7)
+    rng = random.Random(8)
+    lat = lambda: rng.choice([None, math.nan, *[rng.uniform(-90, 90) for _ in range(20)]])
+    rows = [(rng.choice([None, *[f"e{k}" for k in range(12)]]), T0 + timedelta(milliseconds=rng.randrange(4_000_000)), lat(), lat()) for _ in range(150)] + [("e1", None, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "entity_id string, observed_at timestamp, latitude double, longitude double")
+    want = {}
+    for e, t, a, b in rows:
+        for p, u, x, y in rows[:100]:
+            if None not in (e, p, t, u) and e != p and abs((t - u) / timedelta(milliseconds=1)) <= 300_000:
+                d = (2, 0.0) if None in (a, b, x, y) else (1, 0.0) if math.isnan(a + b + x + y) else (0, round(km(a, b, x, y), 6))
+                want[e, p] = min(want.get((e, p), (3, 0.0)), d)
+    got = tracks.min_distance(df, spark.createDataFrame(rows[:100], df.schema)).collect()
+    assert len(got) == len(want) > 100
+    assert {(r.entity_id, r.peer_id): (2, 0.0) if r.distance_km is None else (1, 0.0) if math.isnan(r.distance_km) else (0, round(r.distance_km, 6)) for r in got} == want
+    p = views.points(spark, sf)
+    assert "peer_id" not in "".join(x for x in plan(tracks.min_distance(p, p)).splitlines() if "Exchange" in x)
+    assert tracks.min_distance(df, df.where("false")).count() == tracks.min_distance(df.where("false"), df).count() == 0
+
+
 def test_nearest_peers_copies_are_not_broadcast(spark, sf, monkeypatch):
     seen = []
     keep = tracks.files.staged
