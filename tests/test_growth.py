@@ -38,6 +38,25 @@ def test_pairs_that_met_are_not_shuffled(spark, sf, monkeypatch):
     assert tracks.min_distance(df, df.where("false")).count() == tracks.min_distance(df.where("false"), df).count() == 0
 
 
+def test_circles_cells_are_not_broadcast(spark, sf):
+    p, a = views.points(spark, sf), views.airports(spark, sf).withColumn("radius_km", F.lit(400.0))
+    lines = [x for x in plan(tracks.place_intersections(p, a)).splitlines() if "Join" in x]
+    assert any("SortMergeJoin" in x and "cy" in x for x in lines) and not any("Broadcast" in x and "cy" in x for x in lines)
+
+
+def test_circles_of_all_sizes_equal_all_pairs(spark):
+    rng = random.Random(5)
+    at = lambda: (rng.choice([rng.uniform(-90, 90), rng.uniform(88, 90), rng.uniform(0, 2)]), rng.choice([rng.uniform(-180, 180), rng.uniform(179, 180), -179.9, 190.0, rng.uniform(0, 2)]))
+    circles = [(f"c{k}", *at(), r) for k, r in enumerate([0.0, 0.5, 60.0, 400.0, 400.0, 3000.0, 9000.0, 20037.5, 30000.0, -1.0, None] * 3)] + [("here", 1.0, 1.0, 0.0)]
+    pts = [(k, *at()) for k in range(300)] + [(300, 1.0, 1.0), (301, None, 1.0)]
+    c = spark.createDataFrame(circles, "place_id string, latitude double, longitude double, radius_km double")
+    p = spark.createDataFrame(pts, "point_id long, latitude double, longitude double")
+    near = lambda a, b, x, y: km(a, b, x, y) * 6378.137 / 6371
+    want = {(i, k) for i, a, b in pts for k, x, y, r in circles if a is not None and r is not None and near(a, b, x, y) <= r}
+    got = [(r.point_id, r.place_id) for r in tracks.place_intersections(p, c).collect()]
+    assert len(got) == len(set(got)) and set(got) == want and (300, "here") in want
+
+
 def test_nearest_peers_copies_are_not_broadcast(spark, sf, monkeypatch):
     seen = []
     keep = tracks.files.staged
