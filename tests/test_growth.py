@@ -57,6 +57,23 @@ def test_circles_of_all_sizes_equal_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want and (300, "here") in want
 
 
+def test_families_pairs_are_not_counted_by_a_shuffle(spark, sf):
+    tags = [None, [], ["a", "A "], ["a", "b"], ["b", "a", None], ["c"]]
+    scopes = [None, "", "National x", "subnational", "city"]
+    t = [(f"t{k}", *x) for k, x in enumerate(itertools.product(tags, scopes))] * 2
+    m = [(f"m{k}", u, *x) for k, (u, *x) in enumerate(itertools.product(["http://x", " "], tags, scopes))]
+    got = discovery.expand_families(spark.createDataFrame(t[:31], "template_id string, tags array<string>, scope string"), spark.createDataFrame(m, "member_id string, candidate_url string, tags array<string>, scope string"))
+    assert "template_id" not in "".join(x for x in plan(got).splitlines() if "Exchange hashpartitioning" in x.split(", ENSURE")[0] and "member_id" in x)
+    assert not any("Exchange hashpartitioning(template_id" in x for x in plan(got).splitlines())
+    norm = lambda x: {y.strip().lower() for y in x or [] if y is not None}
+    want = []
+    for (ti, tt, ts), (mi, u, mt, ms) in itertools.product(t[:30], m):
+        n, a, b = len(norm(tt) & norm(mt)), (ts or "").strip().lower(), (ms or "").strip().lower()
+        if u.strip() and n and (not a or not b or n >= 2 or any(k in a and k in b for k in ("national", "subnational", "global"))):
+            want.append((f"{ti}:{mi}", n))
+    assert sorted((r.source_id, r.shared) for r in got.distinct().collect()) == sorted(want)
+
+
 def test_nearest_peers_copies_are_not_broadcast(spark, sf, monkeypatch):
     seen = []
     keep = tracks.files.staged
