@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from geoflume.functions.cols import broadcast_small
+
 
 def latest_version(df: DataFrame, keys: list[str], version: str | list[str]) -> DataFrame:
     """One row per key, of the greatest version; ties by all other columns, so the result is always the same."""
@@ -31,8 +33,8 @@ def insert_if_absent(target: DataFrame, new: DataFrame, keys: list[str]) -> Data
 
 
 def restrict_to(df: DataFrame, wanted: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows whose tuple of keys is wanted."""
-    return df.join(wanted.select(*keys), keys, "left_semi")
+    """Rows whose tuple of keys is wanted. A few wanted tuples are broadcast: by a shuffle, all rows of a tuple would go to one task."""
+    return df.join(broadcast_small(wanted.select(*keys).distinct()), keys, "left_semi")
 
 
 def named_version(df: DataFrame, name: str, version: str | None = None) -> DataFrame:
@@ -55,6 +57,6 @@ def merge_candidates(old: DataFrame, new: DataFrame, now) -> DataFrame:
 
 def backfill_marking(entities: DataFrame, sources: DataFrame) -> DataFrame:
     """Entities whose marking is blank or differs from their source's default, with the default and the next version."""
-    j = entities.join(sources.select("source_id", F.col("default_marking").alias("__d")), "source_id", "left")
+    j = entities.join(broadcast_small(sources.select("source_id", F.col("default_marking").alias("__d"))), "source_id", "left")
     changed = j.where(F.col("__d").isNotNull() & (F.coalesce("marking", F.lit("")) != F.col("__d")))
     return changed.withColumn("marking", F.col("__d")).withColumn("record_version", F.col("record_version") + 1).drop("__d")

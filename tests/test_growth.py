@@ -7,11 +7,14 @@ from datetime import timedelta
 
 from pyspark.sql import functions as F
 
-from geoflume.operators import discovery, tracks
+from geoflume.operators import discovery, metrics, tracks, versions
 from geoflume.sources import views
 from tests.test_scale import T0, km
 
 
+metrics_once = ("entity_count_approx", "source_count_approx")
+
+
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -82,3 +85,12 @@ def test_nearest_peers_copies_are_not_broadcast(spark, sf, monkeypatch):
     assert tracks.nearest_peer(p, p).count() > 0
     rounds = [x for n, x in seen if n == "nearest-peer"]
     assert rounds and not any("BroadcastHashJoin [slot" in x for x in rounds)
+
+
+def test_a_few_wanted_tuples_are_broadcast(spark, sf):
+    li = views.read_table(spark, sf, "lineitem")
+    want = spark.createDataFrame([("A", "F"), ("A", "F"), (None, "O")], "l_returnflag string, l_linestatus string")
+    got = versions.restrict_to(li, want, ["l_returnflag", "l_linestatus"])
+    assert "BroadcastHashJoin" in plan(got) and got.count() == li.where("l_returnflag = 'A' and l_linestatus = 'F'").count()
+    e = spark.createDataFrame([("a", "s", "", 1)], "entity_id string, source_id string, marking string, record_version int")
+    assert "BroadcastHashJoin" in plan(versions.backfill_marking(e, spark.createDataFrame([("s", "open")], "source_id string, default_marking string")))
