@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -99,41 +101,66 @@ def _key() -> Column:
     return F.concat_ws("|", *SUBJECT[:5], F.unix_millis("window_start"))
 
 
+def _weighed(records: DataFrame) -> DataFrame:
+    """A row for each record, with its weight, its count of evidence and its scopes."""
+    base = records.withColumn("conf", weight("confidence")).withColumn("occurred_at", F.timestamp_millis(F.unix_millis("occurred_at")))
+    return base.withColumn("evidence_items", F.size("evidence") if "evidence" in records.columns else F.lit(0)).withColumn("scopes", scopes())
+
+
 def _scoped(records: DataFrame) -> DataFrame:
     """A row for each record and scope, with the record's weight and count of evidence."""
-    base = records.withColumn("conf", weight("confidence")).withColumn("occurred_at", F.timestamp_millis(F.unix_millis("occurred_at")))
-    return base.withColumn("evidence_items", F.size("evidence") if "evidence" in records.columns else F.lit(0)).withColumn("scope", F.explode(scopes()))
+    return _weighed(records).withColumn("scope", F.explode("scopes")).drop("scopes")
+
+
+_PLACES = ["place_id", "admin0_place_id", "continent_place_id"]
+
+
+def first_records(records: DataFrame, key: Column, start: Column) -> DataFrame:
+    """(subject_grain, subject_id, window_start, k, f): the first record of each key that isn't blank, in a scope and window.
+
+    The least of a struct is found by sorting, so records are first combined by the places that they name, before a row
+    is made for each scope; what is left has a row per scope and combination of places, and is sorted once.
+    """
+    least = lambda x: F.min(x).alias("f")
+    one = records.select(*_PLACES, start.alias("window_start"), key.alias("k"), F.struct("occurred_at", "record_id", "record_type", "source_id").alias("f")).where("k <> ''").groupBy(*_PLACES, "window_start", "k").agg(least("f"))
+    keys = ["subject_grain", "subject_id", "window_start", "k"]
+    each = one.select(F.explode(scopes()).alias("scope"), "window_start", "k", "f").select(F.col("scope.grain").alias("subject_grain"), F.col("scope.id").alias("subject_id"), "window_start", "k", "f")
+    return each.repartition(*keys).groupBy(*keys).agg(least("f"))
 
 
-def emit_contributions(records: DataFrame) -> DataFrame:
-    """A row for each record, scope and metric that applies.
+def emit_contributions(records: DataFrame, only: tuple[str, ...] | None = None) -> DataFrame:
+    """A row for each record, scope and metric (of `only`, else of all) that applies.
 
     entity_count_approx and source_count_approx count the first record (by
-    occurred_at, record_id) of an entity or source in a scope and day. They come
-    from an aggregate over (scope, day, key), which combines before its shuffle.
+    occurred_at, record_id) of an entity or source in a scope and day (first_records).
+    Values are computed for a record once, then repeated for its scopes.
     """
     grain = {m: g for m, _, _, g in REGISTRY}
-    base = _scoped(records)
+    base = _weighed(records)
     starts = {g: window_of("occurred_at", g) for g in ("day", "24h", "7d", "30d")}
     made = F.array(
         *[
             F.when(use, F.struct(F.lit(m).alias("metric_id"), F.lit(grain[m]).alias("window_grain"), starts[grain[m]][0].alias("window_start"), starts[grain[m]][1].alias("window_end"), round4(v).alias("contribution_value"), round4(w).alias("contribution_weight")))
             for m, use, v, w in _values()
+            if only is None or m in only
         ]
     )
-    keep = ["record_id", "record_type", "source_id", F.col("scope.grain").alias("subject_grain"), F.col("scope.id").alias("subject_id")]
-    plain = base.select(*keep, F.explode(F.filter(made, lambda x: x.isNotNull())).alias("m")).select("m.*", "record_id", "record_type", "source_id", "subject_grain", "subject_id")
+    keep = ["record_id", "record_type", "source_id"]
+    parts = []
+    if only is None or any(m in only for m, *_ in _values()):
+        plain = base.select(*keep, "scopes", F.explode(made).alias("m")).where("m is not null").select("m.*", *keep, F.explode("scopes").alias("scope"))
+        parts.append(plain.select("*", F.col("scope.grain").alias("subject_grain"), F.col("scope.id").alias("subject_id")).drop("scope"))
 
     def once(metric: str, rows: DataFrame, key: Column) -> DataFrame:
-        first = F.min(F.struct("occurred_at", "record_id", "record_type", "source_id")).alias("f")
-        g = rows.select(*keep, "occurred_at", starts["day"][0].alias("window_start"), key.alias("k")).where("k <> ''").groupBy("subject_grain", "subject_id", "window_start", "k").agg(first)
-        return g.select(
+        return first_records(rows, key, starts["day"][0]).select(
             F.lit(metric).alias("metric_id"), F.lit("day").alias("window_grain"), "window_start", (F.col("window_start") + F.expr("interval 24 hours")).alias("window_end"),
             F.lit(1.0).alias("contribution_value"), F.lit(1.0).alias("contribution_weight"), "f.record_id", "f.record_type", "f.source_id", "subject_grain", "subject_id",
         )
 
-    out = plain.unionByName(once("entity_count_approx", base.where(F.col("record_type").isin("observation", "event")), _entity()))
-    out = out.unionByName(once("source_count_approx", base, _filled("source_id")))
+    for metric, rows, key in (("entity_count_approx", base.where(F.col("record_type").isin("observation", "event")), _entity()), ("source_count_approx", base, _filled("source_id"))):
+        if only is None or metric in only:
+            parts.append(once(metric, rows, key))
+    out = reduce(DataFrame.unionByName, parts)
     out = out.withColumn("place_id", F.col("subject_id"))
     return out.withColumn("materialization_key", _key()).withColumn("contribution_id", F.concat_ws(":", F.lit("mc"), "metric_id", "subject_grain", "subject_id", "record_id", F.floor(F.unix_millis("window_start") / 1000)))
 
@@ -201,8 +228,7 @@ def state_of_records(records: DataFrame) -> DataFrame:
 
     hourly = [m for m in grain if grain[m] == "24h"]
     daily = [m for m in grain if grain[m] != "24h" and m != "entity_count_approx"]
-    first = base.where(F.col("record_type").isin("observation", "event")).select(*scope, F.date_trunc("day", "occurred_at").alias("at"), _entity().alias("k"), "occurred_at", "record_id", "record_type", "source_id").where("k <> ''")
-    first = first.groupBy(*scope, "at", "k").agg(F.min(F.struct("occurred_at", "record_id", "record_type", "source_id")).alias("f"))
+    first = first_records(_weighed(records).where(F.col("record_type").isin("observation", "event")), _entity(), F.date_trunc("day", "occurred_at")).withColumnRenamed("window_start", "at")
     by_source = first.groupBy(*scope, "at", "f.source_id").agg(F.count("*").alias("n0"))
     known = F.when(F.col("source_id").isNotNull(), F.struct("source_id", F.lit(1).cast("long").alias("mask")))
     entities = by_source.groupBy(*scope, "at").agg(F.sum("n0").alias("n0"), F.collect_list(known).alias("src"))

@@ -392,8 +392,8 @@ def _(s, d):
 # metrics
 
 
-def _contributions(s, d):
-    return metrics.emit_contributions(views.records(s, d))
+def _contributions(s, d, *only):
+    return metrics.emit_contributions(views.records(s, d), only or None)
 
 
 _DAY = "date_trunc('day', occurred_at)"
@@ -436,7 +436,7 @@ def _(s, d):
 
 @query("ref_36_distinct_once", _chain("select metric_id, subject_grain, subject_id, record_id, window_start from contrib where metric_id in ('entity_count_approx', 'source_count_approx')"), "records")
 def _(s, d):
-    return _contributions(s, d).where("metric_id in ('entity_count_approx', 'source_count_approx')").select("metric_id", "subject_grain", "subject_id", "record_id", "window_start")
+    return _contributions(s, d, "entity_count_approx", "source_count_approx").select("metric_id", "subject_grain", "subject_id", "record_id", "window_start")
 
 
 @query("ref_37_windows", f"select record_id, {', '.join(f'{a} as s_{k}, {b} as e_{k}' for k, (a, b) in _WIN.items())} from records", "records")
@@ -492,13 +492,13 @@ def _(s, d):
 
 @query("ref_61_rollup_places", f"select * from (with {_CHAIN}, cl as (select place_id as d, place_id as a from places union all select place_id, parent_place_id from places where parent_place_id <> '' union all select p.place_id, q.parent_place_id from places p join places q on p.parent_place_id = q.place_id where q.parent_place_id <> '') select metric_id, window_start, a as ancestor_id, {r4('sum(metric_value)')} as metric_value from snap join cl on subject_id = d where subject_grain = 'place' and metric_id = 'obs_count' group by all)", "records", "places")
 def _(s, d):
-    snap = metrics.build_snapshots(metrics.build_state(_contributions(s, d).where("metric_id = 'obs_count'")), metrics.registry(s), NOW)
+    snap = metrics.build_snapshots(metrics.build_state(_contributions(s, d, "obs_count")), metrics.registry(s), NOW)
     return metrics.rollup_places(snap, places.closure(views.places(s, d))).select("metric_id", "window_start", "ancestor_id", "metric_value")
 
 
 @query("ref_141_time_series", _chain("select metric_id || '|' || subject_grain || '|' || subject_id || '|' || window_grain as series, window_start, metric_value from snap where metric_id = 'trend_7d'"), "records")
 def _(s, d):
-    return metrics.time_series(metrics.build_snapshots(metrics.build_state(_contributions(s, d).where("metric_id = 'trend_7d'")), metrics.registry(s), NOW)).select("series", "window_start", "metric_value")
+    return metrics.time_series(metrics.build_snapshots(metrics.build_state(_contributions(s, d, "trend_7d")), metrics.registry(s), NOW)).select("series", "window_start", "metric_value")
 
 
 @query("ref_140_backfill_explain", "select p_partkey, p_size % 2 = 0 as had, case when p_size % 2 = 0 then 'own' else cast(p_partkey as varchar) end as summary from part")

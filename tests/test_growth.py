@@ -87,6 +87,17 @@ def test_nearest_peers_copies_are_not_broadcast(spark, sf, monkeypatch):
     assert rounds and not any("BroadcastHashJoin [slot" in x for x in rounds)
 
 
+def test_first_records_are_combined_before_scopes(spark, sf):
+    """No row per record and scope goes into a sort: the first aggregate is by places, and metrics that aren't asked for aren't made."""
+    lines = plan(metrics.emit_contributions(views.records(spark, sf), metrics_once)).splitlines()
+    assert not any("partial_min" in x and "subject_grain" in x and "Exchange" in y for x, y in zip(lines[1:], lines)) and "contribution_value" not in "".join(x for x in lines if "Generate" in x)
+    every = metrics.emit_contributions(views.records(spark, sf))
+    for only in (metrics_once, ("trend_7d",), ("trend_7d", "source_count_approx")):
+        got, want = metrics.emit_contributions(views.records(spark, sf), only), every.where(F.col("metric_id").isin(*only))
+        assert got.columns == every.columns and got.count() == want.count() > 0
+        assert got.exceptAll(want).isEmpty()
+
+
 def test_a_few_wanted_tuples_are_broadcast(spark, sf):
     li = views.read_table(spark, sf, "lineitem")
     want = spark.createDataFrame([("A", "F"), ("A", "F"), (None, "O")], "l_returnflag string, l_linestatus string")
