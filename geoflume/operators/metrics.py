@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -178,6 +179,41 @@ def build_state(contributions: DataFrame) -> DataFrame:
     )
 
 
+_GRAINS = {m: g for m, _, _, g in REGISTRY}
+_SCOPE = ["subject_grain", "subject_id"]
+
+
+def _metric_rows(g: DataFrame, names: list[str]) -> DataFrame:
+    """Metric rows of wide sums; bit i of a source's mask says that metric i has it."""
+
+    def row(i: int, m: str) -> Column:
+        start, end = window_of("at", _GRAINS[m])
+        bit = F.lit(1 << i).cast("long")
+        have = F.transform(F.filter("src", lambda x: x["mask"].bitwiseAND(bit) != 0), lambda x: x["source_id"])
+        parts = {"metric_id": F.lit(m), "window_grain": F.lit(_GRAINS[m]), "window_start": start, "window_end": end, "n": F.col(f"n{i}"), "value_sum": F.col(f"v{i}"), "weight_sum": F.col(f"w{i}"), "peak_value": F.col(f"p{i}"), "sources": have}
+        return F.when(F.col(f"n{i}") > 0, F.struct(*[x.alias(k) for k, x in parts.items()]))
+
+    made = F.array(*[row(i, m) for i, m in enumerate(names)])
+    return g.select(*_SCOPE, F.explode(F.filter(made, lambda x: x.isNotNull())).alias("m")).select(*_SCOPE, "m.*")
+
+
+def _first_rows(metric: str, records: DataFrame, key: Column, part: Callable[[Column], Column] | None = None) -> DataFrame:
+    """Metric rows of the first records of a day's keys, and for each part those whose first record is of it."""
+    first = first_records(records, key, F.date_trunc("day", "occurred_at")).withColumnRenamed("window_start", "at")
+    at = ["at"]
+    if part:
+        first, at = first.withColumn("part", part(F.col("f.record_id"))), ["at", "part"]
+    known = F.when(F.col("source_id").isNotNull(), F.struct("source_id", F.lit(1).cast("long").alias("mask")))
+    g = first.groupBy(*_SCOPE, *at, "f.source_id").agg(F.count("*").alias("n0")).groupBy(*_SCOPE, *at).agg(F.sum("n0").alias("n0"), F.collect_list(known).alias("src"))
+    return _metric_rows(g.withColumns({"v0": F.col("n0").cast("double"), "w0": F.col("n0").cast("double"), "p0": F.lit(1.0)}), [metric])
+
+
+def _as_state(rows: list[DataFrame]) -> DataFrame:
+    out = reduce(DataFrame.unionByName, rows)
+    out = out.withColumn("place_id", F.col("subject_id")).withColumn("latest", F.struct("window_end", F.col("peak_value").alias("contribution_value")))
+    return out.withColumn("materialization_key", _key()).select(*SUBJECT, "materialization_key", "window_end", "n", "value_sum", "weight_sum", "peak_value", "sources", "latest")
+
+
 def state_of_records(records: DataFrame) -> DataFrame:
     """build_state(emit_contributions(records)), without a row per metric before the sums.
 
@@ -187,28 +223,14 @@ def state_of_records(records: DataFrame) -> DataFrame:
     that. Sources come from a second such aggregate, which notes the metrics of
     a source as bits, and only an entity's first record needs a sorted one.
     """
-    grain = {m: g for m, _, _, g in REGISTRY}
+    grain, scope = _GRAINS, _SCOPE
     values = [(m, use, round4(v), round4(w)) for m, use, v, w in _values()]
     base = _scoped(records).withColumn("subject_grain", F.col("scope.grain")).withColumn("subject_id", F.col("scope.id"))
-    scope = ["subject_grain", "subject_id"]
 
     def with_sources(sums: DataFrame, sources: DataFrame) -> DataFrame:
         sources = sources.where("source_id is not null").groupBy(*scope, "at").agg(F.collect_list(F.struct("source_id", "mask")).alias("src"))
         return sums.join(sources, [*scope, "at"], "left").withColumn("src", F.coalesce("src", F.array().cast("array<struct<source_id:string,mask:long>>")))
 
-    def rows(g: DataFrame, names: list[str]) -> DataFrame:
-        """Metric rows of wide sums; bit i of a source's mask says that metric i has it."""
-
-        def row(i: int, m: str) -> Column:
-            start, end = window_of("at", grain[m])
-            bit = F.lit(1 << i).cast("long")
-            have = F.transform(F.filter("src", lambda x: x["mask"].bitwiseAND(bit) != 0), lambda x: x["source_id"])
-            parts = {"metric_id": F.lit(m), "window_grain": F.lit(grain[m]), "window_start": start, "window_end": end, "n": F.col(f"n{i}"), "value_sum": F.col(f"v{i}"), "weight_sum": F.col(f"w{i}"), "peak_value": F.col(f"p{i}"), "sources": have}
-            return F.when(F.col(f"n{i}") > 0, F.struct(*[x.alias(k) for k, x in parts.items()]))
-
-        made = F.array(*[row(i, m) for i, m in enumerate(names)])
-        return g.select(*scope, F.explode(F.filter(made, lambda x: x.isNotNull())).alias("m")).select(*scope, "m.*")
-
     def wide(at: str, names: list[str]) -> DataFrame:
         took, day = [x for x in values if x[0] in names], base.withColumn("at", F.date_trunc(at, "occurred_at"))
         sums = day.groupBy(*scope, "at").agg(*[x for i, (_, use, v, w) in enumerate(took) for x in (F.count(F.when(use, 1)).alias(f"n{i}"), F.sum(F.when(use, v)).alias(f"v{i}"), F.sum(F.when(use, w)).alias(f"w{i}"), F.max(F.when(use, v)).alias(f"p{i}"))])
@@ -224,18 +246,48 @@ def state_of_records(records: DataFrame) -> DataFrame:
             i, n = len(order), F.size(F.filter("src", lambda x: x["source_id"] != ""))
             order.append("source_count_approx")
             g = g.withColumns({f"n{i}": n.cast("long"), f"v{i}": n.cast("double"), f"w{i}": n.cast("double"), f"p{i}": F.lit(1.0)})
-        return rows(g, order)
+        return _metric_rows(g, order)
 
     hourly = [m for m in grain if grain[m] == "24h"]
     daily = [m for m in grain if grain[m] != "24h" and m != "entity_count_approx"]
-    first = first_records(_weighed(records).where(F.col("record_type").isin("observation", "event")), _entity(), F.date_trunc("day", "occurred_at")).withColumnRenamed("window_start", "at")
-    by_source = first.groupBy(*scope, "at", "f.source_id").agg(F.count("*").alias("n0"))
-    known = F.when(F.col("source_id").isNotNull(), F.struct("source_id", F.lit(1).cast("long").alias("mask")))
-    entities = by_source.groupBy(*scope, "at").agg(F.sum("n0").alias("n0"), F.collect_list(known).alias("src"))
-    entities = entities.withColumns({"v0": F.col("n0").cast("double"), "w0": F.col("n0").cast("double"), "p0": F.lit(1.0)})
-    out = wide("day", daily).unionByName(wide("hour", hourly)).unionByName(rows(entities, ["entity_count_approx"]))
-    out = out.withColumn("place_id", F.col("subject_id")).withColumn("latest", F.struct("window_end", F.col("peak_value").alias("contribution_value")))
-    return out.withColumn("materialization_key", _key()).select(*SUBJECT, "materialization_key", "window_end", "n", "value_sum", "weight_sum", "peak_value", "sources", "latest")
+    entities = _first_rows("entity_count_approx", _weighed(records).where(F.col("record_type").isin("observation", "event")), _entity())
+    return _as_state([wide("day", daily), wide("hour", hourly), entities])
+
+
+def partial_states(records: DataFrame, part: Callable[[Column], Column] | None = None, without: tuple[str, ...] = ()) -> DataFrame:
+    """States of the records' contributions for merge_state: one for each value of part, a function of record_id.
+
+    All metrics are summed side by side by the places and source that the
+    records name, before a row is made for each scope; then by scope. Which
+    sources a metric has follows from its counts. So a scope's sum is one of
+    sums, in another order than state_of_records has it: as near, but a mean
+    that lies on a half of its last digit may turn the other way.
+    """
+    grain = {m: g for m, g in _GRAINS.items() if m not in without}
+    values = [(m, use, round4(v), round4(w)) for m, use, v, w in _values() if m in grain]
+    base, at = _weighed(records).drop("scopes"), ["at"]
+    if part:
+        base, at = base.withColumn("part", part(F.col("record_id"))), ["at", "part"]
+
+    def wide(cut: str, names: list[str]) -> DataFrame:
+        took = [x for x in values if x[0] in names]
+        cols = [f"{x}{i}" for i in range(len(took)) for x in "nvwp"]
+        added = [(F.max if x[0] == "p" else F.sum)(x).alias(x) for x in cols]
+        one = base.withColumn("at", F.date_trunc(cut, "occurred_at")).groupBy(*_PLACES, *at, "source_id")
+        one = one.agg(*[x for i, (_, use, v, w) in enumerate(took) for x in (F.count(F.when(use, 1)).alias(f"n{i}"), F.sum(F.when(use, v)).alias(f"v{i}"), F.sum(F.when(use, w)).alias(f"w{i}"), F.max(F.when(use, v)).alias(f"p{i}"))])
+        each = one.select(F.explode(scopes()).alias("scope"), *at, "source_id", *cols).select(F.col("scope.grain").alias("subject_grain"), F.col("scope.id").alias("subject_id"), *at, "source_id", *cols)
+        each = each.groupBy(*_SCOPE, *at, "source_id").agg(*added)
+        mask = reduce(Column.__add__, [(F.col(f"n{i}") > 0).cast("long") * F.lit(1 << i) for i in range(len(took))])
+        source = F.when(F.col("source_id").isNotNull(), F.struct("source_id", mask.cast("long").alias("mask")))
+        return _metric_rows(each.groupBy(*_SCOPE, *at).agg(*added, F.collect_list(source).alias("src")), [m for m, *_ in took])
+
+    summed = [m for m, *_ in values]
+    cuts = (("day", [m for m in summed if grain[m] != "24h"]), ("hour", [m for m in summed if grain[m] == "24h"]))
+    out = [wide(cut, names) for cut, names in cuts if names]
+    for metric, recs, key in (("entity_count_approx", base.where(F.col("record_type").isin("observation", "event")), _entity()), ("source_count_approx", base, _filled("source_id"))):
+        if metric in grain:
+            out.append(_first_rows(metric, recs, key, part))
+    return _as_state(out)
 
 
 def merge_state(*states: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from geoflume.operators import discovery, metrics, tracks, versions
+from geoflume.plans.queries import QUERIES
 from geoflume.sources import views
 from tests.test_scale import T0, km
 
@@ -98,6 +99,25 @@ def test_first_records_are_combined_before_scopes(spark, sf):
         assert got.exceptAll(want).isEmpty()
 
 
+def test_partial_states_equal_those_of_contributions(spark, sf):
+    """Halves by record, records without source or places too; no row per record and scope, and none per contribution, is aggregated."""
+    part = lambda r: F.pmod(F.xxhash64(r), F.lit(2))
+    odd = lambda k, n, x, v: F.when(F.pmod(F.hash("record_id"), F.lit(n)) == k, v).otherwise(F.col(x)).alias(x)
+    rec = views.records(spark, sf)
+    rec = rec.withColumns({"source_id": odd(0, 5, "source_id", None), "place_id": odd(1, 5, "place_id", ""), "continent_place_id": odd(2, 5, "continent_place_id", None), "entity_id": odd(3, 5, "entity_id", ""), "confidence": odd(4, 5, "confidence", None)})
+    key = lambda df: sorted((r.materialization_key, r.n, round(r.value_sum, 4), round(r.weight_sum, 4), r.peak_value, tuple(sorted(r.sources)), r.window_end, r.latest) for r in df.collect())
+    c = metrics.emit_contributions(rec).persist()
+    got = metrics.partial_states(rec, part).persist()
+    assert key(got) == sorted(sum((key(metrics.build_state(c.where(part(F.col("record_id")) == k))) for k in (0, 1)), []))
+    assert key(metrics.merge_state(got)) == key(metrics.build_state(c))
+    once = metrics.partial_states(rec, None, metrics_once)
+    assert key(once) == key(metrics.build_state(c.where(~F.col("metric_id").isin(*metrics_once))))
+    lines = plan(QUERIES["ref_38_metric_state"](spark, sf)).splitlines()
+    assert not any("contribution_value" in x and "Generate" in x for x in lines)
+    assert any("HashAggregate(keys=[place_id" in x for x in lines)
+    c.unpersist(), got.unpersist()
+
+
 def test_a_few_wanted_tuples_are_broadcast(spark, sf):
     li = views.read_table(spark, sf, "lineitem")
     want = spark.createDataFrame([("A", "F"), ("A", "F"), (None, "O")], "l_returnflag string, l_linestatus string")
