@@ -1,32 +1,34 @@
-"""The metric chain as streams: all 18 metrics, distinct-once ones with retractions, and snapshots refreshed by timers.
+"""The metric chain as streams: all 18 metrics, distinct-once ones from first records, and snapshots refreshed by timers.
 
 Three queries share a folder. `sums` folds each batch's partial states into a
-bucket table. `firsts` keeps, as keyed state, the first record of an entity or
-source in a scope and day; a later delivery of an earlier record takes the
-former first back and puts its own in its place. Both leave a tick when an epoch
-is finished; `refresh` reads ticks and holds a timer per grain of windows.
+bucket table. `firsts` folds the first record of an entity or source, in the
+places that it names and a day, into another; a later delivery of an earlier
+record takes the place of the former first. Scopes count them when the state is
+read. Both leave a tick when an epoch is finished; `refresh` reads ticks and
+holds a timer per grain of windows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from geoflume.operators import metrics
-from geoflume.streaming.tables import BucketTable, summed
+from geoflume.streaming.tables import BucketTable
 
 ONCE = ("entity_count_approx", "source_count_approx")
 #: Seconds between refreshes of a grain's snapshots.
 CADENCE = {"day": 900, "24h": 3600, "7d": 3600, "30d": 3600}
 #: Buckets of each table.
 BUCKETS = 64
-#: Shares of the keys of a grain, metric and day: so many tasks may hold the world of one day.
+#: Buckets of the table of first records.
 SHARES = 64
-_FIRST = ["subject_grain", "subject_id", "metric_id", "day", "source_id"]
-
+_FIRST = ["metric_id", *metrics._PLACES, "day", "k"]
+_RECORD = ["at", "record_id", "record_type", "source_id"]
 
 
 def _with_state_store(spark: SparkSession) -> None:
@@ -39,51 +41,17 @@ def once_per_record(records: DataFrame, delay: str | None = None) -> DataFrame:
     return records.withWatermark("occurred_at", delay).dropDuplicatesWithinWatermark(["record_id"]) if delay else records.dropDuplicates(["record_id"])
 
 
+def _first_of(df: DataFrame) -> DataFrame:
+    """The least (at, record_id, record_type, source_id) of each key; a fold."""
+    return df.groupBy(*_FIRST).agg(F.min(F.struct(*_RECORD)).alias("f")).select(*_FIRST, *[F.col(f"f.{x}").alias(x) for x in _RECORD])
+
+
 def _candidates(records: DataFrame) -> DataFrame:
-    """(scope, metric, day, k, record): what may be the first record of k; each task sends one for a key and Arrow batch."""
-    base = metrics._scoped(records)
+    """What may be the first record of an entity or source on a day, among those that name the same places: a row for a record and metric, none for a scope."""
     pair = lambda m, k, use: F.when(use & (k != ""), F.struct(F.lit(m).alias("metric_id"), k.alias("k")))
     made = F.array(pair(ONCE[0], metrics._entity(), F.col("record_type").isin("observation", "event")), pair(ONCE[1], metrics._filled("source_id"), F.lit(True)))
-    day = F.unix_micros(F.date_trunc("day", "occurred_at")).alias("day")
-    x = base.select(F.col("scope.grain").alias("subject_grain"), F.col("scope.id").alias("subject_id"), day, F.unix_micros("occurred_at").alias("at"), *[metrics._filled(c).alias(c) for c in ("record_id", "record_type")], F.coalesce("source_id", F.lit("\0")).alias("source_id"), F.explode(F.filter(made, lambda x: x.isNotNull())).alias("m"))
-    x = x.select("subject_grain", "subject_id", "m.metric_id", "day", "m.k", "at", "record_id", "record_type", "source_id")
-
-    def least(batches):
-        for p in batches:
-            yield p.sort_values(["at", "record_id", "record_type", "source_id"]).drop_duplicates(["subject_grain", "subject_id", "metric_id", "day", "k"])
-
-    return x.mapInPandas(least, x.schema)
-
-
-class FirstRecord(StatefulProcessor):
-    """Keeps the least (at, record_id, record_type, source_id) of each key of a share; a change is -1 for the old source and +1 for the new one."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.first = handle.getMapState("first", "subject_id string, k string", "at long, record_id string, record_type string, source_id string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator:
-        import pandas as pd
-
-        best: dict = {}
-        for p in rows:
-            for k, *r in zip(*(p[c] for c in ("subject_id", "k", "at", "record_id", "record_type", "source_id"))):
-                x = (k, r[0])
-                best[x] = min(best.get(x, tuple(r[1:])), tuple(r[1:]))
-        grain, metric, day, _ = key
-        change = []
-        for x, now in best.items():
-            had = self.first.getValue(x)
-            had = None if had is None else tuple(had)
-            if had is not None and had <= now:
-                continue
-            self.first.updateValue(x, (int(now[0]), *now[1:]))
-            if had is None or had[3] != now[3]:  # else nothing that is counted has changed
-                change += [(grain, x[0], metric, day, now[3], 1)] + ([(grain, x[0], metric, day, had[3], -1)] if had else [])
-        if change:
-            yield pd.DataFrame(change, columns=[*_FIRST, "n"])
-
-    def close(self) -> None:
-        pass
+    x = metrics._weighed(records).select(F.explode(F.filter(made, lambda x: x.isNotNull())).alias("m"), *[metrics._filled(c).alias(c) for c in (*metrics._PLACES, "record_id", "record_type")], "occurred_at", F.coalesce("source_id", F.lit("\0")).alias("source_id"))
+    return x.select("m.metric_id", *metrics._PLACES, F.unix_micros(F.date_trunc("day", "occurred_at")).alias("day"), "m.k", F.unix_micros("occurred_at").alias("at"), *_RECORD[1:])
 
 
 class Cadence(StatefulProcessor):
@@ -132,7 +100,7 @@ def sums_table(spark: SparkSession, path: str) -> BucketTable:
 
 
 def firsts_table(spark: SparkSession, path: str) -> BucketTable:
-    return BucketTable(spark, f"{path}/firsts", _FIRST, summed(_FIRST, "n"), BUCKETS)
+    return BucketTable(spark, f"{path}/firsts", _FIRST, _first_of, SHARES)
 
 
 def snapshots_table(spark: SparkSession, path: str) -> BucketTable:
@@ -150,9 +118,15 @@ def _tick(spark: SparkSession, path: str, name: str, epoch: int) -> None:
 def start_sums(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, delay: str | None = None) -> StreamingQuery:
     """The sixteen metrics that add up."""
 
+    _with_state_store(records.sparkSession)
+
     def fold(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        sums_table(spark, path).merge(metrics.state_of_records(batch).where(~F.col("metric_id").isin(*ONCE)), epoch)
+        batch = batch.persist(StorageLevel.DISK_ONLY)  # else the state of record ids is gone through for each of its readers
+        try:
+            sums_table(spark, path).merge(metrics.partial_states(batch, without=ONCE), epoch)
+        finally:
+            batch.unpersist()
         _tick(spark, path, "sums", epoch)
 
     return once_per_record(records, delay).writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
@@ -160,17 +134,13 @@ def start_sums(records: DataFrame, path: str, checkpoint: str, trigger: dict | N
 
 def start_firsts(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
     """The two metrics that count a key once. Repeated and late records need no memory of their own: the first stays the first."""
-    _with_state_store(records.sparkSession)
 
     def fold(batch: DataFrame, epoch: int) -> None:
         spark = batch.sparkSession
-        firsts_table(spark, path).merge(batch, epoch)
+        firsts_table(spark, path).merge(_candidates(batch), epoch)
         _tick(spark, path, "firsts", epoch)
 
-    out = ", ".join(f"{c} {'long' if c == 'day' else 'string'}" for c in _FIRST) + ", n long"
-    share = F.pmod(F.xxhash64("subject_id", "k"), F.lit(SHARES))
-    changes = _candidates(records).withColumn("share", share).groupBy("subject_grain", "metric_id", "day", "share").transformWithStateInPandas(FirstRecord(), out, "Append", "None")
-    return changes.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
+    return records.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()
 
 
 def start_refresh(spark: SparkSession, path: str, checkpoint: str, trigger: dict | None = None, cadence: dict[str, float] = CADENCE, now=None) -> StreamingQuery:
@@ -194,7 +164,11 @@ def metric_state(spark: SparkSession, path: str) -> DataFrame | None:
     """The state of all metrics as of the last finished epochs, as metrics.state_of_records has it."""
     sums, firsts = sums_table(spark, path).read(), firsts_table(spark, path).read()
     if firsts is not None:
-        f = firsts.where("n > 0").groupBy(*_FIRST[:4]).agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("source_id") != "\0", F.col("source_id"))).alias("sources"))
+        scope = ["subject_grain", "subject_id", "metric_id", "day"]
+        each = firsts.select(F.explode(metrics.scopes()).alias("scope"), "metric_id", "day", "k", F.struct(*_RECORD).alias("f"))
+        each = each.select(F.col("scope.grain").alias("subject_grain"), F.col("scope.id").alias("subject_id"), "metric_id", "day", "k", "f").groupBy(*scope, "k").agg(F.min("f").alias("f"))
+        f = each.groupBy(*scope, "f.source_id").agg(F.count("*").alias("n"))
+        f = f.groupBy(*scope).agg(F.sum("n").alias("n"), F.collect_list(F.when(F.col("source_id") != "\0", F.col("source_id"))).alias("sources"))
         start, one = F.timestamp_micros("day"), F.lit(1.0)
         f = f.withColumns({"place_id": F.col("subject_id"), "window_grain": F.lit("day"), "window_start": start, "window_end": start + F.expr("interval 24 hours"), "value_sum": F.col("n").cast("double"), "weight_sum": F.col("n").cast("double"), "peak_value": one})
         f = f.withColumn("latest", F.struct("window_end", F.col("peak_value").alias("contribution_value"))).withColumn("materialization_key", metrics._key()).select(*_STATE)

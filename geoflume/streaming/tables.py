@@ -12,6 +12,8 @@ from geoflume.sources import files
 
 #: Epochs whose files are kept: readers that began under the last manifest can finish.
 KEPT = 2
+#: Rows of a bucket that one task writes.
+ROWS = 500_000
 
 
 class BucketTable:
@@ -75,8 +77,10 @@ class BucketTable:
                 runs[b] = [*before, [epoch, n]]
             if fresh:
                 out = self.fold(batch.unionByName(self._rows(m["schema"], taken))) if taken else batch
-                # the bucket alone would be one task each for a hot one, so rows are dealt by key within it
-                out.withColumn("bucket", bucket).write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/epoch={epoch}")
+                # the bucket alone would be one task each for a hot one, so rows are dealt by key within it, as many shares as they fill
+                shares = 1 + max(rs[-1][1] for b, rs in runs.items() if b in fresh) // ROWS
+                out = out.withColumn("bucket", bucket).repartition("bucket", F.pmod(F.xxhash64(F.lit(7), *self.keys), F.lit(shares)))
+                out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/epoch={epoch}")
             done = files.put(self.spark, f"{self.path}/manifest/{epoch:012d}", json.dumps({"schema": m["schema"] or schema, "runs": runs}))
         finally:
             batch.unpersist()

@@ -107,6 +107,18 @@ def test_metric_streams_equal_the_batch(spark, sf, tmp_path, monkeypatch):
         refresh.stop()
 
 
+def test_first_records_are_kept_by_places_in_few_files(spark, sf, tmp_path, monkeypatch):
+    """No row for each scope, and one file a bucket for a small batch, however many tasks made it."""
+    monkeypatch.setattr(streams, "SHARES", 2)
+    rec, src, path = views.records(spark, sf).orderBy("record_id").limit(200), str(tmp_path / "in"), str(tmp_path / "m")
+    rec.unionByName(rec).coalesce(1).write.parquet(src)
+    assert streams.start_firsts(jobs.read_stream(spark, src, rec.schema), path, f"{path}-b").awaitTermination(240)
+    keys = lambda k: rec.select("place_id", "admin0_place_id", "continent_place_id", F.date_trunc("day", "occurred_at"), k).distinct().count()
+    data = f"{path}/firsts/data/epoch=0"
+    assert spark.read.parquet(data).count() == keys("entity_id") + keys("source_id")
+    assert all(len([x for x in files.names(spark, f"{data}/{b}") if x.endswith(".parquet")]) == 1 for b in ("bucket=0", "bucket=1"))
+
+
 def test_publishing_twice_is_once(spark, tmp_path, monkeypatch):
     target = str(tmp_path / "t")
     read = lambda: sorted(r.k for r in ingest.published(spark, target, "k long, v long").collect())
