@@ -50,47 +50,61 @@ def _inherit(rows: DataFrame) -> DataFrame:
     own = lambda when: F.when(when, me).otherwise(F.lit(""))
     admin = [F.greatest(F.col(f"p.admin{k}_place_id"), own((F.col("n.admin_level") == k) & (kind != "continent"))).alias(f"admin{k}_place_id") for k in range(5)]
     return rows.select(
-        *[F.col(f"n.{x}") for x in _OWN], (F.col("p.depth") + 1).alias("depth"), F.concat("p.key", me, F.lit(SEP)).alias("key"), F.concat_ws(">", "p.path", me).alias("path"), *admin,
+        *[F.col(f"n.{x}") for x in (*_OWN, "inner")], (F.col("p.depth") + 1).alias("depth"), F.concat("p.key", me, F.lit(SEP)).alias("key"), F.concat_ws(">", "p.path", me).alias("path"), *admin,
         F.greatest(F.col("p.continent_place_id"), own(kind == "continent")).alias("continent_place_id"), F.greatest("p.deepest_level", F.col("n.admin_level").cast("int")).alias("deepest_level"), F.col("p.parent_missing").alias("parent_missing"),
     )
 
 
 def _down(first: DataFrame, nodes: DataFrame, max_levels: int) -> list[DataFrame]:
-    """Lines of the first places and of all below them, a table a level."""
+    """Lines of the first places and of all below them, a table a level. nodes: with inner, whether a place has others below it; the rest is never looked up."""
     levels = [staged(first, "tree")]
-    while not levels[-1].isEmpty():
+    while not (above := levels[-1].where("inner")).isEmpty():
         if len(levels) > max_levels:
             raise ValueError(f"more than {max_levels} levels of places, or a cycle")
-        kids = nodes.alias("n").join(levels[-1].alias("p"), F.col("n.parent_place_id") == F.col("p.place_id"))
+        kids = nodes.alias("n").join(above.alias("p"), F.col("n.parent_place_id") == F.col("p.place_id"))
         levels.append(staged(_inherit(kids), "tree"))
-    return levels[:-1] or levels
+    return levels
+
+
+def _own(level: DataFrame) -> DataFrame:
+    """A place's own part of its totals."""
+    return level.select("place_id", "parent_place_id", *[F.col(x).alias(f"sub_{x}") for x in _OWN[4:]], F.col("admin_level").alias("sub_level"), F.lit(1).cast("long").alias("n_places"))
 
 
 def _up(levels: list[DataFrame], kept: list[DataFrame | None]) -> DataFrame:
-    """Totals of the places of the levels, deepest last. kept[i]: places below level i that are no rows of a level, with totals that hold."""
+    """Totals of the inner places of the levels, deepest last; those of others are their own. kept[i]: places below level i that are no rows of a level, with totals that hold."""
     box = [F.min("sub_min_lat"), F.min("sub_min_lon"), F.max("sub_max_lat"), F.max("sub_max_lon"), F.max("sub_level"), F.sum("n_places")]
     done: list[DataFrame] = []
-    below = None
+    below: list[DataFrame] = []
     for level, others in zip(reversed(levels), reversed(kept)):
-        own = level.select("place_id", *[F.col(x).alias(f"sub_{x}") for x in _OWN[4:]], F.col("admin_level").alias("sub_level"), F.lit(1).cast("long").alias("n_places"))
-        parts = [own] + [x.select(F.col("parent_place_id").alias("place_id"), *_TOTALS) for x in (below, others) if x is not None]
-        total = _union(parts).groupBy("place_id").agg(*[a.alias(n) for a, n in zip(box, _TOTALS)])
-        below = staged(total.join(level.select("place_id", "parent_place_id"), "place_id"), "tree-totals")
-        done.append(below)
+        inner = _own(level.where("inner"))
+        parts = [x.select(F.col("parent_place_id").alias("place_id"), *_TOTALS) for x in (*below, *([] if others is None else [others]))]
+        total = _union([inner.select("place_id", *_TOTALS), *parts]).groupBy("place_id").agg(*[a.alias(n) for a, n in zip(box, _TOTALS)])
+        done.append(staged(total.join(inner.select("place_id", "parent_place_id"), "place_id"), "tree-totals"))
+        below = [done[-1], _own(level.where("not inner"))]
     return _union(done).select("place_id", *_TOTALS)
 
 
 def labels(places: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
     """A row per place: its own columns, _LINE and _TOTALS. Blank ids are left out; a parent that isn't there makes a root with parent_missing."""
-    nodes = staged(_nodes(places), "tree-nodes")
-    ids = nodes.select(F.col("place_id").alias("parent_place_id"))
-    roots = nodes.join(ids, "parent_place_id", "left_anti").select(*_OWN)
+    return _labels(places, max_levels).select(*_OWN, *_LINE, *_TOTALS)
+
+
+def _labels(places: DataFrame, max_levels: int) -> DataFrame:
+    """labels, with inner. Places without others below them, mostly the larger part, are read from their level's table as it was written."""
+    nodes = _nodes(places)
+    ids = nodes.select(F.col("parent_place_id").alias("place_id")).distinct().withColumn("inner", F.lit(True))
+    nodes = staged(nodes.join(ids, "place_id", "left").withColumn("inner", F.coalesce("inner", F.lit(False))).select(*_OWN, "inner"), "tree-nodes")
+    known = nodes.where("inner").select(F.col("place_id").alias("parent_place_id"))
+    roots = nodes.join(known, "parent_place_id", "left_anti").select(*_OWN, "inner")
     first = roots.alias("n").join(roots.select(F.col("place_id"), *_root_line()).alias("p"), "place_id")
     levels = _down(_inherit(first), nodes, max_levels)
     lines = _union(levels)
     if lines.count() != nodes.count():
         raise ValueError("places on a cycle, or ids that aren't unique")
-    return staged(lines.join(_up(levels, [None] * len(levels)), "place_id").select(*_OWN, *_LINE, *_TOTALS), "tree-labels")
+    inner = staged(lines.where("inner").join(_up(levels, [None] * len(levels)), "place_id").select(*_OWN, "inner", *_LINE, *_TOTALS), "tree-labels")
+    own = dict(zip(_TOTALS, [F.col(x).alias(f"sub_{x}") for x in _OWN[4:]] + [F.col("admin_level").alias("sub_level"), F.lit(1).cast("long").alias("n_places")]))
+    return inner.unionByName(lines.where("not inner").select(*_OWN, "inner", *_LINE, *own.values()))
 
 
 def lineage(tree: DataFrame) -> DataFrame:
@@ -116,36 +130,39 @@ def relabel(tree: DataFrame, moves: DataFrame, max_levels: int = MAX_LEVELS) ->
     Moves of unknown places are ignored; a move below itself is an error. Write
     the rows with versions.upsert on place_id.
     """
-    new = moves.select("place_id", F.when(blank("parent_place_id"), F.lit("")).otherwise(F.col("parent_place_id")).alias("to"))
-    now = staged(tree.join(new, "place_id", "left").withColumn("parent_place_id", F.coalesce("to", "parent_place_id")).withColumn("moved", F.col("to").isNotNull()).drop("to"), "tree-moved")
-    moved = now.where("moved").select(*_OWN)
-    lines = tree.select(F.col("place_id").alias("at"), *_LINE)
+    new = staged(moves.select("place_id", F.when(blank("parent_place_id"), F.lit("")).otherwise(F.col("parent_place_id")).alias("to")), "tree-moves")
+    goals = new.select(F.col("to").alias("place_id")).distinct().withColumn("goal", F.lit(True))
+    # a place that may have others below it: it has had, or some move there. Keys and paths, the wide part of a row, stay in the tree
+    now = tree.select(*_OWN, *_TOTALS).join(new, "place_id", "left").join(goals, "place_id", "left").withColumn("parent_place_id", F.coalesce("to", "parent_place_id"))
+    now = staged(now.select(*_OWN, *_TOTALS, ((F.col("n_places") > 1) | F.col("goal").isNotNull()).alias("inner"), F.col("to").isNotNull().alias("moved")), "tree-moved")
+    moved = now.where("moved").select(*_OWN, "inner")
+    lines = tree.join(goals, "place_id", "left_semi").select(F.col("place_id").alias("at"), *_LINE)
     start = moved.join(lines, F.col("parent_place_id") == F.col("at"), "left")
     root = [F.when(F.col("at").isNull(), r).otherwise(F.col(x)).alias(x) for x, r in zip(_LINE, _root_line())]
     first = moved.alias("n").join(start.select("place_id", *root).alias("p"), "place_id")
-    walks = _down(_inherit(first), now.select(*_OWN), max_levels)
+    walks = _down(_inherit(first), now.select(*_OWN, "inner"), max_levels)
     # of a place that several walks met, the walk from the topmost moved place took most steps, and only that one began at a line that holds
     walked = _union([w.withColumn("step", F.lit(i)) for i, w in enumerate(walks)])
-    lined = walked.groupBy("place_id").agg(F.max_by(F.struct(*_OWN[1:], *_LINE), "step").alias("x")).select("place_id", "x.*")
-    lined = staged(lined, "tree-lines")
+    own = [*_OWN, "inner"]
+    lined = staged(walked.groupBy("place_id").agg(F.max_by(F.struct(*own[1:], *_LINE), "step").alias("x")).select("place_id", "x.*"), "tree-lines")
 
     ids = lambda df: df.select(F.explode(F.split("key", SEP)).alias("place_id")).where("place_id <> ''")
     mine = new.select("place_id")
-    todo = ids(tree.join(mine, "place_id", "left_semi")).union(ids(lined.join(mine, "place_id", "left_semi"))).distinct()
-    current = now.join(lined.select("place_id", *[F.col(x).alias(f"new_{x}") for x in _LINE]), "place_id", "left")
-    hit = F.col("new_key").isNotNull()
-    current = current.select(*_OWN, *[F.when(hit, F.col(f"new_{x}")).otherwise(F.col(x)).alias(x) for x in _LINE], *_TOTALS, hit.alias("hit"))
-    todo = staged(current.join(todo, "place_id", "left_semi"), "tree-todo")
-    kept = current.join(todo.select(F.col("place_id").alias("parent_place_id")), "parent_place_id", "left_semi").join(todo.select("place_id"), "place_id", "left_anti")
-    kept = staged(kept.select("place_id", "parent_place_id", "depth", *_TOTALS), "tree-kept")
+    todo = staged(ids(tree.join(mine, "place_id", "left_semi")).union(ids(lined.join(mine, "place_id", "left_semi"))).distinct(), "tree-ids")
+    still = tree.select(*_OWN, *_LINE).join(todo, "place_id", "left_semi").join(lined.select("place_id"), "place_id", "left_anti").withColumn("inner", F.lit(True))
+    todo = staged(lined.join(todo, "place_id", "left_semi").unionByName(still), "tree-todo")
     most = todo.agg(F.max("depth")).first()[0]
     if most is None:
         return tree.limit(0)
+    above = todo.select(F.col("place_id").alias("parent_place_id"), (F.col("depth") + 1).alias("depth"))
+    kept = now.select("place_id", "parent_place_id", *_TOTALS).join(above, "parent_place_id").join(todo.select("place_id"), "place_id", "left_anti")
+    kept = staged(kept.select("place_id", "parent_place_id", "depth", *_TOTALS), "tree-kept")
     totals = _up([todo.where(F.col("depth") == d) for d in range(most + 1)], [kept.where(F.col("depth") == d + 1) for d in range(most + 1)])
     totals = totals.select("place_id", *[F.col(x).alias(f"new_{x}") for x in _TOTALS])
-    out = current.join(totals, "place_id", "left").where(F.col("hit") | F.col("new_n_places").isNotNull())
+    rows = lined.unionByName(todo.join(lined.select("place_id"), "place_id", "left_anti"))
+    out = rows.join(now.select("place_id", *_TOTALS), "place_id").join(totals, "place_id", "left")
     fresh = F.col("new_n_places").isNotNull()
-    return out.select(*_OWN, *_LINE, *[F.when(fresh, F.col(f"new_{x}")).otherwise(F.col(x)).alias(x) for x in _TOTALS])
+    return staged(out.select(*_OWN, *_LINE, *[F.when(fresh, F.col(f"new_{x}")).otherwise(F.col(x)).alias(x) for x in _TOTALS]), "tree-changed")
 
 
 def rollup(tree: DataFrame, snapshots: DataFrame) -> DataFrame:

@@ -69,6 +69,20 @@ def test_moves_change_only_branches_and_ancestors(spark):
         tree.relabel(t, spark.createDataFrame([("p0", "p7")], m.schema), 20).count()
 
 
+def test_places_without_others_below_are_not_looked_up(spark, monkeypatch):
+    """The last level is neither joined nor totalled: no empty round, and tables of totals and labels hold inner places only; moves don't write the tree's keys anew."""
+    wrote, real = [], tree.staged
+    monkeypatch.setattr(tree, "staged", lambda df, name="x": (lambda out: wrote.append((name, out.count(), out.columns)) or out)(real(df, name)))
+    t = tree.labels(made(spark, {"w": "", "c": "w", "d": "w", **{f"o{k}": "c" for k in range(40)}}))
+    assert sorted(r.n_places for r in t.collect()) == [1] * 41 + [41, 43]
+    assert [n for name, n, _ in wrote if name == "tree"] == [1, 2, 40]
+    assert sum(n for name, n, _ in wrote if name in ("tree-totals", "tree-labels")) == 4
+    wrote.clear()
+    moved = tree.relabel(t, spark.createDataFrame([("o1", "d")], "place_id string, parent_place_id string"))
+    assert {r.place_id: (r.path, r.n_places) for r in moved.collect()} == {"o1": ("w>d>o1", 1), "w": ("w", 43), "c": ("w>c", 40), "d": ("w>d", 2)}
+    assert not any(n > 10 and "key" in cols for _, n, cols in wrote)
+
+
 def test_cycles_empty_tables_and_deep_trees(spark):
     with pytest.raises(ValueError, match="cycle"):
         tree.labels(made(spark, {"a": "b", "b": "a", "c": ""}))
