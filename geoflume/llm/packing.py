@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from geoflume.llm.common import texts
 
-#: Encoded chunks, and words, that one Python worker keeps in each of two generations.
+#: Encoded chunks, words among them, that one Python worker keeps in each of two generations, which take some 200 bytes each.
 CACHE = 300_000
 #: Marks that may follow a word; an apostrophe isn't among them, as the vocabulary has endings that begin with one.
 _MARKS = '.,;:!?"*$%&#@()[]{}/\\|+=<>~^_-`'
@@ -81,7 +81,8 @@ class Chunks(dict):
     The vocabulary's pre-tokeniser drops white space and cuts between letters
     and marks, so a word and the marks after it are encoded apart. A plain Latin
     word in lower case is what the normaliser makes of it and goes straight to
-    the merges; anything else goes through the whole tokenizer.
+    the merges; anything else goes through the whole tokenizer. Words are kept
+    as chunks too, so a word that also stands alone is held once.
     """
 
     def __init__(self, path: str):
@@ -89,32 +90,30 @@ class Chunks(dict):
 
         self.tok = Tokenizer.from_file(path)
         self.letters = _byte_letters()
-        self.words: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.old_words: dict[str, bytes] = {}
 
     def whole(self, s: str) -> bytes:
         return _packed(self.tok.encode(s, add_special_tokens=False).ids)
 
-    def word(self, low: str) -> bytes:
-        ids = self.words.get(low)
-        if ids is None:
-            ids = self.old_words.get(low)
-            if ids is None:
-                ids = _packed([t.id for t in self.tok.model.tokenize(low.encode().decode("latin-1").translate(self.letters))])
-            if len(self.words) > CACHE:
-                self.old_words, self.words = self.words, {}
-            self.words[low] = ids
+    def keep(self, chunk: bytes, ids: bytes) -> bytes:
+        if len(self) > CACHE:
+            self.old = dict(self)
+            self.clear()
+        self[chunk] = ids
         return ids
 
+    def word(self, low: bytes) -> bytes:
+        ids = self.get(low) or self.old.get(low)
+        return ids or self.keep(low, _packed([t.id for t in self.tok.model.tokenize(low.decode("latin-1").translate(self.letters))]))
+
     def __missing__(self, chunk: bytes) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
             s = chunk.decode("utf-8", "replace")
             word = s.rstrip(_MARKS)
             if word.isalpha() and (word.isascii() or max(word) < "\u0180" and unicodedata.is_normalized("NFC", word)) and len(low := word.lower()) == len(word):
-                ids = self.word(low)
+                ids = self.word(low.encode())
                 if len(word) < len(s):
                     marks = s[len(word) :]
                     if len(self.marks) > CACHE:
@@ -122,11 +121,7 @@ class Chunks(dict):
                     ids += self.marks.get(marks) or self.marks.setdefault(marks, self.whole(marks))
             else:
                 ids = self.whole(s)
-        if len(self) > CACHE:
-            self.old = dict(self)
-            self.clear()
-        self[chunk] = ids
-        return ids
+        return self.keep(chunk, ids)
 
     def encode(self, text: bytes) -> bytes:
         return b"".join([self[c] for c in text.split()])

@@ -5,10 +5,11 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline as cp
-from geoflume.llm import crf_quality
+from geoflume.llm import crf_quality, packing
 from tests.llm.test_operators import brute_links, brute_pii, components, word_sets
 
 
@@ -103,3 +104,28 @@ def test_stages_stand_empty_and_odd_rows(spark, sf):
         rows = cp.stage(f(spark, rows, sf), "test-odd")
     kept = {r.doc_id for r in rows.collect()}
     assert kept == {r.doc_id for r in alone["quality"].collect()}  # no labels, so one score for all: all stay or none
+
+
+def test_batches_for_python_are_bounded_by_bytes(spark, sf):
+    """Long texts came 10,000 rows at a time."""
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    docs = spark.range(0, 400, 1, 1).selectExpr("id as doc_id", "repeat('a word ', 10000) as text", "'en' as lang", "'s' as source", "70000L as n_chars")
+    for name, f in cp.STAGES:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+        f(spark, docs.limit(0), sf)
+        sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in batches), "n long").collect()
+        assert sum(r.n for r in sizes) > 28e6 and max(r.n for r in sizes) < 2 * cp.BATCH_BYTES, name
+
+
+def test_a_packing_worker_holds_two_generations_of_chunks(monkeypatch):
+    """Words were held beside the chunks that they stand in, in two generations of their own."""
+    import public_tokenizers as P
+
+    monkeypatch.setattr(packing, "CACHE", 100)
+    path = P.path("word_bpe_49k.json")
+    chunks = packing.Chunks(path)
+    text = " ".join(f"{a}{b}{c}{m}" for a in "kmnprst" for b in "aeiou" for c in "klmnrst" for m in ("", ",", ".")).encode()
+    for _ in range(2):
+        got = chunks.encode(text)
+        assert np.frombuffer(got, "<u4").tolist() == chunks.tok.encode(text.decode(), add_special_tokens=False).ids
+        assert len(chunks) + sum(len(x) for x in vars(chunks).values() if isinstance(x, dict) and x is not chunks.letters and x is not chunks.marks) <= 2 * 101
