@@ -9,6 +9,8 @@ from geoflume.functions.cols import EARTH_KM, bearing, blank, c, clamp, elapsed_
 from geoflume.sources import files
 
 GAP_MIN, GROUND_MIN, AIRPORT_KM, LOW_M = 20, 45, 25.0, 1500.0
+#: Rows that a task of an as-of match sorts, some 0.2 kB each in memory.
+ASOF_ROWS = 500_000
 #: Words in an owner's name or type, and call sign prefixes.
 MILITARY_OWNER = ("AIR FORCE", "NAVY", "ARMY", "DEFENSE", "DEFENCE", "MILITARY", "AIR NATIONAL GUARD")
 MILITARY_TYPE = ("GOVERNMENT", "PUBLIC")
@@ -390,18 +392,24 @@ def join_registry(df: DataFrame, reg: DataFrame, key: str = "hex", order: str =
     return df.withColumn("__k", F.lower(F.trim(F.col(key)))).drop(key).join(last, F.col("__k") == F.col(key), "left").drop(key).withColumnRenamed("__k", key)
 
 
-def asof_match(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts: str, cond: Column | None = None, keep: list[str] = (), left_id: str = "call_id") -> DataFrame:
+def asof_match(left: DataFrame, right: DataFrame, by: str, left_ts: str, right_ts: str, cond: Column | None = None, keep: list[str] = (), left_id: str = "call_id", rows: int | None = None) -> DataFrame:
     """Each row of left with the latest row of right of the same key that ends before it (and meets cond), else none.
 
     The key's rows are merged in time order by one window, so a key with many
-    rows on both sides makes no pairs. A cond on both sides falls back to a join.
+    rows on both sides makes no pairs. Given about how many rows both sides have, they are
+    dealt over so many tasks that each sorts about ASOF_ROWS. A cond on both sides falls back to a join.
     """
     if cond is None:
-        r = right.select(F.col(by), F.col(right_ts).alias("__t"), F.lit(0).alias("__side"), F.struct(*keep).alias("__r"), *[F.lit(None).alias(x) for x in ()])
-        low = left.select(F.col(by), F.col(left_ts).alias("__t"), F.lit(1).alias("__side"), F.struct(*left.columns).alias("__l"))
+        r = right.where(F.col(by).isNotNull() & F.col(right_ts).isNotNull()).select(F.col(by), F.col(right_ts).alias("__t"), F.lit(0).alias("__side"), F.struct(*keep).alias("__r"))
+        # the key and the time are carried once, unless the union widens their type
+        kind = lambda df, x: df.schema[x].dataType
+        once = {x: y for x, k, y in ((by, by, by), (left_ts, right_ts, "__t")) if kind(left, x) == kind(right, k)}
+        rest = {x: f"__l{i}" for i, x in enumerate(left.columns) if x not in once}
+        low = left.select(F.col(by), F.col(left_ts).alias("__t"), F.lit(1).alias("__side"), *[F.col(x).alias(y) for x, y in rest.items()])
         both = r.unionByName(low, allowMissingColumns=True)
+        both = both.repartition(max(1, -(-rows // ASOF_ROWS)), by) if rows is not None else both
         w = Window.partitionBy(by).orderBy("__t", "__side").rowsBetween(Window.unboundedPreceding, -1)
-        return both.withColumn("__m", F.last(F.col("__r"), ignorenulls=True).over(w)).where("__side = 1").select("__l.*", "__m.*")
+        return both.withColumn("__m", F.last(F.col("__r"), ignorenulls=True).over(w)).where("__side = 1").select(*[F.col((once | rest)[x]).alias(x) for x in left.columns], "__m.*")
     j = left.join(right.withColumnRenamed(by, "__by"), (F.col(by) == F.col("__by")) & (F.col(right_ts) <= F.col(left_ts)) & cond, "left").drop("__by")
     best = j.groupBy(*left.columns).agg(F.max_by(F.struct(*keep), F.struct(right_ts, *keep)).alias("__m"))
     return best.select(*left.columns, "__m.*")

@@ -105,9 +105,11 @@ def event_entities(spark: SparkSession, d: str) -> DataFrame:
     return li.select(F.concat(F.lit("evt:"), "l_orderkey").alias("event_id"), F.concat(F.lit("ent:supplier:"), "l_suppkey").alias("entity_id"), F.col("l_returnflag").alias("role"), F.col("l_linenumber").alias("n"))
 
 
-def stays(spark: SparkSession, d: str) -> DataFrame:
-    """Port calls from lineitem: from order to shipment, at the supplier's nation."""
+def stays(spark: SparkSession, d: str, tasks: int | None = None) -> DataFrame:
+    """Port calls from lineitem: from order to shipment, at the supplier's nation. Given tasks, lines meet their orders in so many."""
     li, o, s = (read_table(spark, d, t) for t in ("lineitem", "orders", "supplier"))
+    if tasks:
+        li, o = li.repartition(tasks, "l_orderkey"), o.repartition(tasks, "o_orderkey")
     j = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(s, F.col("l_suppkey") == F.col("s_suppkey"))
     return j.select(
         F.concat_ws(":", F.lit("call"), "l_orderkey", "l_linenumber").alias("call_id"), F.concat(F.lit("ent:customer:"), "o_custkey").alias("entity_id"), F.concat(F.lit("plc:"), "s_nationkey").alias("place_id"),
@@ -115,11 +117,12 @@ def stays(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-def gaps(spark: SparkSession, d: str) -> DataFrame:
-    """Gaps between consecutive orders of a customer."""
+def gaps(spark: SparkSession, d: str, tasks: int | None = None) -> DataFrame:
+    """Gaps between consecutive orders of a customer. Given tasks, customers are dealt over so many."""
     from pyspark.sql import Window
 
     o = read_table(spark, d, "orders")
+    o = o.repartition(tasks, "o_custkey") if tasks else o
     w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
     g = o.select(F.concat(F.lit("gap:"), "o_orderkey").alias("gap_id"), F.concat(F.lit("ent:customer:"), "o_custkey").alias("entity_id"), F.lag("o_orderdate").over(w).alias("starts_at"), F.col("o_orderdate").alias("ends_at"), F.when(F.col("o_orderkey") % 3 == 0, "").otherwise(F.concat(F.lit("plc:"), F.col("o_orderkey") % 25)).alias("next_known_port_id"))
     return g.where(F.col("starts_at").isNotNull() & (F.col("ends_at") > F.col("starts_at")))

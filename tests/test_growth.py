@@ -125,3 +125,22 @@ def test_a_few_wanted_tuples_are_broadcast(spark, sf):
     assert "BroadcastHashJoin" in plan(got) and got.count() == li.where("l_returnflag = 'A' and l_linestatus = 'F'").count()
     e = spark.createDataFrame([("a", "s", "", 1)], "entity_id string, source_id string, marking string, record_version int")
     assert "BroadcastHashJoin" in plan(versions.backfill_marking(e, spark.createDataFrame([("s", "open")], "source_id string, default_marking string")))
+
+
+def test_asof_match_deals_out_tasks_by_rows(spark, sf, monkeypatch):
+    """A task's rows grew with the input, and its sort stood beside a table of all its calls."""
+    monkeypatch.setattr(tracks, "ASOF_ROWS", 500, raising=False)
+    out = QUERIES["ref_31_asof_match"](spark, sf)
+    sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 12 and max(sizes) < 1000
+
+
+def test_asof_match_of_repeated_orders_and_missing_keys(spark, tmp_path):
+    """A call under two orders is one row with the latest gap, and a missing customer has no gap."""
+    o = [(1, 7, T0), (2, 7, T0 + timedelta(days=1)), (3, 7, T0 + timedelta(days=2)), (3, 7, T0 + timedelta(days=5)), (4, 8, T0), *[(k, None, T0 + timedelta(days=k)) for k in (5, 6, 7)], (9, 7, None)]
+    spark.createDataFrame(o, "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(f"{tmp_path}/orders.parquet")
+    li = [(k, 1, 1, "A", T0) for k in (1, 2, 3, 4, 7, 9)]
+    spark.createDataFrame(li, "l_orderkey long, l_linenumber int, l_suppkey long, l_returnflag string, l_shipdate timestamp").write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(1, 3)], "s_suppkey long, s_nationkey long").write.parquet(f"{tmp_path}/supplier.parquet")
+    got = sorted((r.call_id, r.gap_end) for r in QUERIES["ref_31_asof_match"](spark, str(tmp_path)).collect())
+    assert got == [("call:1:1", None), ("call:2:1", None), ("call:3:1", T0 + timedelta(days=2)), ("call:4:1", None), ("call:7:1", None), ("call:9:1", None)]
