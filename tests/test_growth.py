@@ -61,6 +61,28 @@ def test_circles_of_all_sizes_equal_all_pairs(spark):
     assert len(got) == len(set(got)) and set(got) == want and (300, "here") in want
 
 
+def test_points_of_one_position_meet_a_circle_once(spark, monkeypatch):
+    """Their rows for a circle stand together, so files stay small; small shares and blocks give the same rows, and missing ids stay."""
+    rng = random.Random(9)
+    at = [(rng.uniform(-3, 3), rng.uniform(-3, 3)) for _ in range(20)]
+    pts = [(None if k % 50 == 7 else k, *at[k % 20]) for k in range(500)] + [(k, None, 1.0) for k in range(3)]
+    circles = [(f"c{k}", rng.uniform(-3, 3), rng.uniform(-3, 3), r) for k, r in enumerate([60.0, 300.0, 400.0, 3000.0] * 5)]
+    c = spark.createDataFrame(circles, "place_id string, latitude double, longitude double, radius_km double")
+    p = spark.createDataFrame(pts, "point_id long, latitude double, longitude double").repartition(5)
+    near = lambda a, b, x, y: km(a, b, x, y) * 6378.137 / 6371
+    order = lambda x: (x[0] is None, x)
+    want = sorted(((i, k) for i, a, b in pts for k, x, y, r in circles if a is not None and near(a, b, x, y) <= r), key=order)
+    got = [(r.point_id, r.place_id, r.distance_km) for r in tracks.place_intersections(p, c).collect()]
+    assert sorted(((i, k) for i, k, _ in got), key=order) == want and len(want) > 3000
+    runs = sum(x[1:] != y[1:] for x, y in zip(got, got[1:])) + 1
+    assert runs <= len(set(x[1:] for x in got)) <= len(got) / 20
+    monkeypatch.setattr(tracks, "CELL_PAIRS", 300, raising=False)
+    monkeypatch.setattr(tracks, "BLOCK", 10, raising=False)
+    small = [(r.point_id, r.place_id, r.distance_km) for r in tracks.place_intersections(p, c).collect()]
+    assert sorted(small, key=order) == sorted(got, key=order)
+    assert tracks.place_intersections(p, c.where("false")).count() == tracks.place_intersections(p.where("false"), c).count() == 0
+
+
 def test_families_pairs_are_not_counted_by_a_shuffle(spark, sf):
     tags = [None, [], ["a", "A "], ["a", "b"], ["b", "a", None], ["c"]]
     scopes = [None, "", "National x", "subnational", "city"]
