@@ -100,6 +100,22 @@ def test_families_pairs_are_not_counted_by_a_shuffle(spark, sf):
     assert sorted((r.source_id, r.shared) for r in got.distinct().collect()) == sorted(want)
 
 
+def test_templates_of_a_family_come_again_within_a_chunk(spark, monkeypatch):
+    """Ids a few rows apart pack well; a template without id and one that stands twice keep their rows."""
+    monkeypatch.setattr(discovery, "SHARES", 2)
+    monkeypatch.setattr(discovery, "CHUNK", 5, raising=False)
+    t = [(None if k == 3 else f"t{k % 60}", ["a", "b"], "") for k in range(62)]
+    m = [(f"m{k}", "http://x", ["b"], "") for k in range(40)]
+    got = discovery.expand_families(spark.createDataFrame(t, "template_id string, tags array<string>, scope string"), spark.createDataFrame(m, "member_id string, candidate_url string, tags array<string>, scope string")).collect()
+    assert sorted((r.template_id or "", r.member_id) for r in got) == sorted((x[0] or "", y[0]) for x in t for y in m)
+    assert {r.source_id for r in got if r.template_id is None} == {y[0] for y in m}
+    last, apart = {}, []
+    for k, r in enumerate(got):
+        apart += [k - last[r.template_id]] if r.template_id in last else []
+        last[r.template_id] = k
+    assert sorted(apart)[len(apart) * 9 // 10] <= 20
+
+
 def test_nearest_peers_copies_are_not_broadcast(spark, sf, monkeypatch):
     seen = []
     keep = tracks.files.staged
