@@ -42,6 +42,18 @@ def test_pairs_that_met_are_not_shuffled(spark, sf, monkeypatch):
     assert tracks.min_distance(df, df.where("false")).count() == tracks.min_distance(df.where("false"), df).count() == 0
 
 
+def test_shares_of_pairs_have_a_task_each_and_few_peers(spark, monkeypatch):
+    """Hashed blocks left tasks without rows beside tasks with several; peers of a task are so few that a file's dictionary holds them."""
+    monkeypatch.setattr(tracks, "PEERS", 500)
+    monkeypatch.setattr(tracks, "ID_BYTES", 400, raising=False)
+    rows = [(f"e{k % 120:03}", T0 + timedelta(milliseconds=k), k % 7 * 1.0, k % 11 * 1.0) for k in range(960)]
+    df = spark.createDataFrame(rows, "entity_id string, observed_at timestamp, latitude double, longitude double")
+    out = tracks.min_distance(df, df)
+    by = out.groupBy(F.spark_partition_id().alias("k")).agg(F.count("*").alias("n"), F.count_distinct("peer_id").alias("peers")).collect()
+    assert len(by) == out.rdd.getNumPartitions() and max(r.peers for r in by) <= 50
+    assert out.count() == sum(r.n for r in by) == 120 * 119 == out.select("entity_id", "peer_id").distinct().count()
+
+
 def test_circles_cells_are_not_broadcast(spark, sf):
     p, a = views.points(spark, sf), views.airports(spark, sf).withColumn("radius_km", F.lit(400.0))
     lines = [x for x in plan(tracks.place_intersections(p, a)).splitlines() if "Join" in x]
